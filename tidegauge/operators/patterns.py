@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.functions.time import micros
-from tidegauge.operators.timeline import DEFAULT_SLOT, SLOT, carry_over, in_slot, with_slot
+from tidegauge.operators.timeline import DEFAULT_SLOT, SLOT, carry_over, in_slot, on_timeline, with_slot
 
 NEXT = "next"
 FOLLOWED_BY = "followed_by"
@@ -49,7 +49,7 @@ def match_sequence(
     backward = in_slot(keys, F.col(ts).desc(), F.col(seq).desc())
     later = backward.rowsBetween(Window.unboundedPreceding, -1)
 
-    line = with_slot(df, ts, slot)
+    line = with_slot(on_timeline(df, keys, ts), ts, slot)
     line = line.select(
         *keys, ts, seq, SLOT, F.struct(*columns).alias("__row"), *[c.alias(f"__fits{i}") for i, (_, c) in enumerate(steps)]
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -31,11 +32,11 @@ def rising_run(
     A reading that does not exceed the one before begins a new run; a run needs two readings.
     """
     runs = islands(
-        df.select(key, ts, value, seq), [key], ts, seq, F.struct(F.col(value).alias("v")), lambda p, c: c["v"] <= p["v"], slot
+        df, [key], ts, seq, F.struct(F.col(value).alias("__v")), lambda p, c: c["__v"] <= p["__v"], slot
     )
     grouped = runs.groupBy(key, "run_start").agg(
-        F.max(F.struct(F.col(ts).alias("ts"), F.col(seq).alias("seq"), F.col(value).alias("v"))).alias("end"),
-        F.min(value).alias("first_value"),
+        F.max(F.struct(F.col(ts).alias("ts"), F.col(seq).alias("seq"), F.col("__v").alias("v"))).alias("end"),
+        F.min("__v").alias("first_value"),
         F.count(F.lit(1)).alias("readings"),
     )
     lasted = F.unix_micros("end.ts") - F.unix_micros("run_start.ts")
@@ -151,19 +152,18 @@ def fail_burst(
     holding one open burst.
     """
     width = micros(gap)
-    events = df.select(key, ts, seq, is_fail.alias("__fail"))
     runs = islands(
-        events,
+        df,
         [key],
         ts,
         seq,
-        F.struct(F.col(ts).alias("ts"), F.col("__fail").alias("fail")),
-        lambda p, c: ~p["fail"] | ~c["fail"] | (F.unix_micros(c["ts"]) - F.unix_micros(p["ts"]) > width),
+        F.struct(F.unix_micros(ts).alias("__at"), is_fail.alias("__fail")),
+        lambda p, c: ~p["__fail"] | ~c["__fail"] | (c["__at"] - p["__at"] > width),
         slot,
     )
     ticks = (
         runs.where("__fail")
-        .groupBy(key, F.col("run_start.seq").alias("__run"), F.unix_micros(ts).alias("__at"))
+        .groupBy(key, F.col("run_start.seq").alias("__run"), "__at")
         .agg(F.count(F.lit(1)).alias("__n"))
         .repartition(key, "__run")
         .sortWithinPartitions(key, "__run", "__at")
@@ -180,28 +180,34 @@ def fail_burst(
 
 def _cut(key: str, width: int):
     """Greedy bursts over batches sorted by (key, run, time); a burst may span batches."""
+    columns = [key, "first_us", "last_us", "fails"]
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        open_run, burst = None, None
+        run, burst = None, None
         for batch in batches:
-            done = []
-            for run, rows in batch.groupby([key, "__run"], sort=False):
-                at, n = rows["__at"].to_numpy(), rows["__n"].to_numpy()
-                before = np.concatenate(([0], np.cumsum(n)))
-                i = 0
-                if run == open_run:
-                    i = int(np.searchsorted(at, burst[1] + width, side="right"))
-                    if i:
-                        burst = (burst[0], burst[1], int(at[i - 1]), burst[3] + int(before[i]))
-                while i < len(at):
+            owner, at = batch[key].to_numpy(), batch["__at"].to_numpy()
+            runs = batch["__run"].to_numpy()
+            before = np.concatenate(([0], np.cumsum(batch["__n"].to_numpy())))
+            # run ids are unique within a key only, so both mark where a run ends
+            ends = np.flatnonzero((owner[1:] != owner[:-1]) | (runs[1:] != runs[:-1])) + 1
+            done, i = [], 0
+            for end in (*ends.tolist(), len(at)):
+                if i == end:
+                    continue
+                if run == (owner[i], runs[i]):
+                    j = bisect_right(at, burst[1] + width, i, end)
+                    if j > i:
+                        burst = (burst[0], burst[1], at[j - 1], burst[3] + before[j] - before[i])
+                    i = j
+                while i < end:
                     if burst:
                         done.append(burst)
-                    j = int(np.searchsorted(at, at[i] + width, side="right"))
-                    burst = (run[0], int(at[i]), int(at[j - 1]), int(before[j] - before[i]))
+                    j = bisect_right(at, at[i] + width, i, end)
+                    burst = (owner[i], at[i], at[j - 1], before[j] - before[i])
                     i = j
-                open_run = run
-            yield pd.DataFrame(done, columns=[key, "first_us", "last_us", "fails"])
+                run = (owner[end - 1], runs[end - 1])
+            yield pd.DataFrame(done, columns=columns)
         if burst:
-            yield pd.DataFrame([burst], columns=[key, "first_us", "last_us", "fails"])
+            yield pd.DataFrame([burst], columns=columns)
 
     return scan

@@ -32,6 +32,17 @@ def with_slot(df: DataFrame, ts: str, width: str = DEFAULT_SLOT) -> DataFrame:
     return df.withColumn(SLOT, bucket_start(F.col(ts), micros(width)))
 
 
+def on_timeline(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
+    """Rows that have a key and a time; only they take part in runs and sequences.
+
+    Spark adds this filter to the joined side anyway. Stating it for both sides makes their
+    exchanges equal, and Spark then shuffles the rows once and reuses the files.
+    """
+    for name in (*keys, ts):
+        df = df.where(F.col(name).isNotNull())
+    return df
+
+
 def in_slot(keys: Sequence[str], *order: Column) -> WindowSpec:
     return Window.partitionBy(*keys, SLOT).orderBy(*order)
 
@@ -78,7 +89,7 @@ def islands(
     starts: Callable[[Column, Column], Column],
     slot: str = DEFAULT_SLOT,
 ) -> DataFrame:
-    """Add ``run_start``, the (time, seq) of the row that began each row's run.
+    """(keys, ts, seq, fields of ``row``, ``run_start``): the (time, seq) that began each row's run.
 
     ``starts(previous, current)`` tells from two neighbouring ``row`` structs whether the current
     row begins a new run; a key's first row always does. Inside a slot that is a window function.
@@ -87,7 +98,8 @@ def islands(
     """
     at = F.struct(F.col(ts).alias("ts"), F.col(seq).alias("seq"))
     order = in_slot(keys, F.col(ts), F.col(seq))
-    base = with_slot(df, ts, slot).withColumn("__row", row)
+    # nothing but these columns, so that both sides of the join below share one exchange
+    base = with_slot(on_timeline(df, keys, ts), ts, slot).select(*keys, ts, seq, SLOT, row.alias("__row"))
     marked = base.withColumn("__prev", F.lag("__row").over(order)).withColumn(
         "__local",
         F.last(F.when(F.col("__prev").isNotNull() & starts(F.col("__prev"), F.col("__row")), at), True).over(
@@ -115,9 +127,7 @@ def islands(
         },
         resolve,
     )
-    return joined.withColumn("run_start", F.coalesce("__local", "__inherited")).drop(
-        SLOT, "__row", "__prev", "__local", "__inherited"
-    )
+    return joined.select(*keys, ts, seq, "__row.*", F.coalesce("__local", "__inherited").alias("run_start"))
 
 
 def choose_slot(df: DataFrame, keys: Sequence[str], ts: str, rows_per_slot: int = 5_000_000) -> str:

@@ -151,10 +151,13 @@ def sliding_count(
             change(leave_chunk, leave, loss),
         )
     )
-    # one exchange on (key, piece) serves the aggregate below and the window after it
+    # One exchange on (key, piece) serves the aggregate and the window after it. Its number of
+    # partitions is explicit: adaptive coalescing goes by input size and would merge small pieces
+    # that the last step expands into many windows.
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     steps = (
         panes.select(*keys, F.inline(changes))
-        .repartition(*keys, "piece")
+        .repartition(partitions, *keys, "piece")
         .groupBy(*keys, "piece", "at")
         .agg(F.sum("d").alias("d"))
     )

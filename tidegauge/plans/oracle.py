@@ -20,7 +20,7 @@ def sliding(source: str, keys: str, size: int, slide: int) -> str:
 def top3(counts: str, key: str) -> str:
     return f"""
         SELECT window_end, {key}, "count", rank FROM (
-            SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY "count" DESC, {key}) AS rank
+            SELECT *, CAST(row_number() OVER (PARTITION BY window_end ORDER BY "count" DESC, {key}) AS INTEGER) AS rank
             FROM ({counts})) WHERE rank <= 3"""
 
 

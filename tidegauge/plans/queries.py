@@ -54,18 +54,17 @@ def hot_items_report(spark, sf_dir):
     return ranking.report_text(top, "window_end", "count", "item_id")
 
 
+# request paths by ``k % 10``; some are static files or the root
+PATHS = ("/static/{k}.css", "/favicon.ico", "/img/{k}.png", "/") + ("/{type}/{k}",) * 6
+
+
 def access_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events written as access-log lines; some requests are for static files or the root."""
-    k = F.get_json_object("props", "$.k").cast("int")
-    path = (
-        F.when(k % 10 == 0, F.concat(F.lit("/static/"), k, F.lit(".css")))
-        .when(k % 10 == 1, F.lit("/favicon.ico"))
-        .when(k % 10 == 2, F.concat(F.lit("/img/"), k, F.lit(".png")))
-        .when(k % 10 == 3, F.lit("/"))
-        .otherwise(F.concat(F.lit("/"), "event_type", F.lit("/"), k))
-    )
+    """The events written as access-log lines."""
+    rows = events(spark, sf_dir).withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    path = F.element_at(F.array(*[F.lit(p) for p in PATHS]), F.col("k") % len(PATHS) + 1)
+    path = F.replace(F.replace(path, F.lit("{k}"), F.col("k").cast("string")), F.lit("{type}"), F.col("event_type"))
     user = F.col("user_id").cast("string")
-    return events(spark, sf_dir).select(
+    return rows.select(
         F.concat_ws(
             " ",
             F.concat(F.lit("10.0.0."), (F.col("user_id") % 256).cast("string")),
