@@ -11,10 +11,13 @@ from tidegauge.functions.time import bucket_start, event_time, floor_micros, int
 
 
 def with_event_time(
-    df: DataFrame, col: str, unit: str = "seconds", delay: str = "0 seconds", lateness: str = "0 seconds", name: str = "ts"
+    df: DataFrame, col: str, unit: str = "seconds", delay: str = "1 millisecond", lateness: str = "0 seconds", name: str = "ts"
 ) -> DataFrame:
     """Event-time column plus a watermark of ``delay`` (disorder bound) and ``lateness`` (grace).
 
+    The default suits rows that arrive in time order: a row is late only when older than the newest
+    one seen, where Spark with no delay at all would drop a later batch's row of equal time.
+
     On a batch DataFrame the watermark has no effect. On a stream in append mode a window is
     emitted once, after delay and lateness; in update mode late rows inside the grace refine it.
     """

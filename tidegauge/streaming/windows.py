@@ -7,6 +7,7 @@ functions of ``routing`` and ``parse`` take a stream as it is.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -66,8 +67,8 @@ def interval_join(
     if how not in ("inner", "full_outer"):
         raise ValueError(f"unknown how {how!r}")
     l, r = left.alias("l"), right.alias("r")
-    seconds = [micros(lower) / 1e6, micros(upper) / 1e6]
-    low, high = [F.make_dt_interval(secs=F.lit(s).cast("decimal(18,6)")) for s in seconds]
+    # literals, so that Spark can read the state bounds off the condition
+    low, high = [F.lit(timedelta(microseconds=micros(d))) for d in (lower, upper)]
     lt, rt = F.col(f"l.{lts}"), F.col(f"r.{rts}")
     same = (rt >= lt + low) & (rt <= lt + high)
     for k in keys:
