@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegauge.functions.time import micros
+from tidegauge.functions.time import floor_micros, micros
 from tidegauge.operators.patterns import match_sequence
 from tidegauge.operators.timeline import DEFAULT_SLOT, SLOT, carry_last, in_slot, islands, with_slot
 
@@ -147,11 +148,20 @@ def fail_burst(
     reported as (key, first_fail, last_fail, fails).
 
     A success ends a run, and so does a silence longer than ``gap``: the fail after it cannot be
-    in a burst begun earlier. Fails with equal times always share a burst, so a run folds to one
-    row per distinct time before it is shuffled, and ``_cut`` walks each run in time order
-    holding one open burst.
+    in a burst begun earlier. A key that only ever fails makes one endless run, so runs are cut
+    into segments of the calendar and walked segment by segment:
+
+    1. Which burst is open when a segment ends depends only on which of its first fails begins a
+       burst, so ``_exits`` maps each possible first start (those within ``gap`` of the segment's
+       beginning) to the last start.
+    2. ``_entries`` follows these maps through a run, one small row set per segment, and tells each
+       segment the burst it begins in.
+    3. ``_cut`` walks every segment from there, and the parts of a burst add up.
+
+    Only step 2 reads a run in one task, and it reads about ``gap / segment`` of its fails.
     """
     width = micros(gap)
+    length = max(micros(slot), 16 * width)
     runs = islands(
         df,
         [key],
@@ -161,53 +171,148 @@ def fail_burst(
         lambda p, c: ~p["__fail"] | ~c["__fail"] | (c["__at"] - p["__at"] > width),
         slot,
     )
-    ticks = (
+    place = [key, "__run", "__segment"]
+    pieces = (
         runs.where("__fail")
-        .groupBy(key, F.col("run_start.seq").alias("__run"), "__at")
-        .agg(F.count(F.lit(1)).alias("__n"))
+        .select(
+            key,
+            F.col("run_start.seq").alias("__run"),
+            floor_micros(F.col("__at"), length).alias("__segment"),
+            "__at",
+            (floor_micros(F.unix_micros("run_start.ts"), length) == floor_micros(F.col("__at"), length)).alias("__opens"),
+        )
+        .repartition(*place)
+    )
+    kinds = {f.name: f.dataType.simpleString() for f in pieces.schema.fields}
+    owner = ", ".join(f"`{c}` {kinds[c]}" for c in place)
+    entries = (
+        pieces.sortWithinPartitions(*place, "__at")
+        .mapInPandas(_exits(place, width, length), f"{owner}, first_us long, exit_us long, opens boolean")
         .repartition(key, "__run")
-        .sortWithinPartitions(key, "__run", "__at")
+        .sortWithinPartitions(*place, "first_us")
+        .mapInPandas(_entries(place, width), f"{owner}, __open long")
     )
-    kind = {f.name: f.dataType.simpleString() for f in df.schema.fields}[key]
-    bursts = ticks.mapInPandas(_cut(key, width), f"`{key}` {kind}, first_us long, last_us long, fails long")
-    return bursts.where(F.col("fails") >= max_fails).select(
-        key,
-        F.timestamp_micros("first_us").alias("first_fail"),
-        F.timestamp_micros("last_us").alias("last_fail"),
-        "fails",
+    parts = (
+        pieces.join(entries, place, "left")
+        .sortWithinPartitions(*place, "__at")
+        .mapInPandas(_cut(place, width), f"`{key}` {kinds[key]}, `__run` {kinds['__run']}, first_us long, last_us long, n long")
+    )
+    return (
+        parts.groupBy(key, "__run", "first_us")
+        .agg(F.max("last_us").alias("last_us"), F.sum("n").alias("fails"))
+        .where(F.col("fails") >= max_fails)
+        .select(key, F.timestamp_micros("first_us").alias("first_fail"), F.timestamp_micros("last_us").alias("last_fail"), "fails")
     )
 
 
-def _cut(key: str, width: int):
-    """Greedy bursts over batches sorted by (key, run, time); a burst may span batches."""
-    columns = [key, "first_us", "last_us", "fails"]
+def _segments(batches: Iterator[pd.DataFrame], place: list[str], last_matters: int) -> Iterator[list[tuple]]:
+    """Per sorted batch the (place, times, opens) of segments; one cut by a batch border is put together.
+
+    A run goes on in the next segment only if its opening segment has a fail at ``last_matters`` or
+    later; opening segments without one, nearly all, are left out.
+    """
+    rest = None
+    for batch in chain(batches, [None]):
+        rows = rest if batch is None else batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+        if rows is None or rows.empty:
+            continue
+        edges = np.array(_edges(rows, place))
+        # the last segment may go on in the next batch
+        closed = edges if batch is None else edges[:-1]
+        begin, end = closed[:-1], closed[1:]
+        at, opens = rows["__at"].to_numpy(), rows["__opens"].to_numpy()
+        goes_on = ~opens[begin] | (at[end - 1] - rows["__segment"].to_numpy()[begin] >= last_matters)
+        owner = [rows[c].to_numpy() for c in place]
+        yield [
+            (tuple(c[b] for c in owner), np.unique(at[b:e]), bool(opens[b]))
+            for b, e in zip(begin[goes_on], end[goes_on])
+        ]
+        rest = rows.iloc[edges[-2] :]
+
+
+def _edges(rows: pd.DataFrame, place: list[str]) -> list[int]:
+    changed = np.zeros(len(rows) - 1, dtype=bool)
+    for name in place:
+        values = rows[name].to_numpy()
+        changed |= values[1:] != values[:-1]
+    return [0, *(np.flatnonzero(changed) + 1).tolist(), len(rows)]
+
+
+def _exits(place: list[str], width: int, length: int):
+    """Per segment: start of its last burst for each fail that may begin its first one."""
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        run, burst = None, None
+        for segments in _segments(batches, place, length - width):
+            out = []
+            for owner, at, opens in segments:
+                reach = np.searchsorted(at, at + width, side="right")
+                last = np.where(reach == len(at), np.arange(len(at)), np.minimum(reach, len(at) - 1))
+                while not np.array_equal(last, last[last]):
+                    last = last[last]
+                # a burst open at the segment's beginning is over before beginning + width
+                until = 1 if opens else 1 + int(np.searchsorted(at, owner[2] + width))
+                out += [(*owner, first, leave, opens) for first, leave in zip(at[:until], at[last[:until]])]
+            yield pd.DataFrame(out, columns=[*place, "first_us", "exit_us", "opens"])
+
+    return scan
+
+
+def _entries(place: list[str], width: int):
+    """Per segment after a run's first: start of the burst that is open when it begins."""
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        segment, start, after = None, None, None
         for batch in batches:
-            owner, at = batch[key].to_numpy(), batch["__at"].to_numpy()
-            runs = batch["__run"].to_numpy()
-            before = np.concatenate(([0], np.cumsum(batch["__n"].to_numpy())))
-            # run ids are unique within a key only, so both mark where a run ends
-            ends = np.flatnonzero((owner[1:] != owner[:-1]) | (runs[1:] != runs[:-1])) + 1
-            done, i = [], 0
-            for end in (*ends.tolist(), len(at)):
-                if i == end:
+            out = []
+            for key, run, begins, first, exits, opens in batch.itertuples(index=False, name=None):
+                if opens:
+                    segment, start, after = (key, run, begins), None, exits
                     continue
-                if run == (owner[i], runs[i]):
-                    j = bisect_right(at, burst[1] + width, i, end)
-                    if j > i:
-                        burst = (burst[0], burst[1], at[j - 1], burst[3] + before[j] - before[i])
-                    i = j
+                if segment != (key, run, begins):
+                    # the segment before has been read whole: its last start is now the open one
+                    segment, start = (key, run, begins), after
+                    out.append((key, run, begins, start))
+                if after == start and first > start + width:
+                    after = exits
+            yield pd.DataFrame(out, columns=[*place, "__open"])
+
+    return scan
+
+
+def _cut(place: list[str], width: int):
+    """Greedy bursts of each segment, the first continuing the burst that is open, if any."""
+    columns = [*place[:2], "first_us", "last_us", "n"]
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, burst = None, None
+        for batch in batches:
+            if batch.empty:
+                continue
+            at, entry = batch["__at"].to_numpy(), batch["__open"].to_numpy()
+            owners = list(zip(*[batch[c].to_numpy() for c in place]))
+            done, edges = [], _edges(batch, place)
+            for i, end in zip(edges[:-1], edges[1:]):
+                if owners[i] != held:
+                    if burst:
+                        done.append(burst)
+                    held, burst = owners[i], None
+                    if not pd.isna(entry[i]):
+                        burst = (*held[:2], int(entry[i]), None, 0)
                 while i < end:
                     if burst:
+                        j = bisect_right(at, burst[2] + width, i, end)
+                        if j > i:
+                            burst = (*burst[:3], int(at[j - 1]), burst[4] + j - i)
+                            i = j
+                            continue
                         done.append(burst)
-                    j = bisect_right(at, at[i] + width, i, end)
-                    burst = (owner[i], at[i], at[j - 1], before[j] - before[i])
-                    i = j
-                run = (owner[end - 1], runs[end - 1])
-            yield pd.DataFrame(done, columns=columns)
+                    burst = (*held[:2], int(at[i]), None, 0)
+            yield _parts(done, columns)
         if burst:
-            yield pd.DataFrame([burst], columns=columns)
+            yield _parts([burst], columns)
 
     return scan
+
+
+def _parts(rows: list[tuple], columns: list[str]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=columns).astype({"last_us": "Int64"})
