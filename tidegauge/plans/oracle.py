@@ -242,3 +242,20 @@ ORACLE: dict[str, str] = {
     "text_records": """
         SELECT 'word count' AS label, '(' || event_type || ',' || count(*) || ')' AS "value" FROM events GROUP BY event_type""",
 }
+
+# streams read to their end: the same answers, of windows only those the watermark has passed
+CLOSED = "window_end <= (SELECT max(ts) - INTERVAL 1 MILLISECOND FROM events{where})"
+CLOSED_VIEWS = CLOSED.format(where=" WHERE event_type = 'view'")
+ORACLE |= {
+    "stream_page_view": f"SELECT window_end, pv FROM ({ORACLE['page_view']}) WHERE {CLOSED_VIEWS}",
+    "stream_unique_visitor": f"SELECT * FROM ({ORACLE['unique_visitor']}) WHERE {CLOSED_VIEWS}",
+    "stream_uv_bitmap": ORACLE["uv_bitmap"],
+    "stream_hot_items": f"SELECT * FROM ({ORACLE['hot_items']}) WHERE {CLOSED.format(where='')}",
+    "stream_temp_jump": ORACLE["temp_jump"],
+    "stream_login_fail_pair": ORACLE["login_fail_pair"],
+    "stream_ad_blacklist": f"""
+        SELECT user_id, ad_id, ts, event_id, CASE WHEN rn <= 2 THEN 'main' ELSE 'warning' END AS route
+        FROM {CLICKS} WHERE rn <= 3""",
+    "stream_pay_match": ORACLE["pay_match"],
+    "stream_latest_per_key": ORACLE["latest_per_key"],
+}
