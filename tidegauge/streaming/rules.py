@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,8 +22,14 @@ from tidegauge.operators.rules import RISING_TEXT
 _DAY = 86_400_000_000
 
 
-def _ordered(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    return pd.concat(list(rows), ignore_index=True).sort_values(["us", "seq"], kind="stable")
+def _ordered(rows: Iterator[pd.DataFrame]) -> dict[str, np.ndarray]:
+    """Columns of one key's rows in (time, seq) order. Keys are many and their rows few, so this
+    stays with plain arrays, whose fixed costs are small."""
+    frames = list(rows)
+    frame = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+    columns = {c: frame[c].to_numpy() for c in frame.columns}
+    order = np.lexsort((columns["seq"], columns["us"]))
+    return {c: values[order] for c, values in columns.items()}
 
 
 def _ms(us: int) -> int:
@@ -50,8 +57,9 @@ class _Keyed(StatefulProcessor):
     def __init__(self, keys: Sequence[str], columns: Sequence[str]):
         self.keys, self.columns = list(keys), [*keys, *columns]
 
-    def out(self, key: tuple, rows: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame([(*key, *row) for row in rows], columns=self.columns)
+    def out(self, key: tuple, rows: list[tuple]) -> Iterator[pd.DataFrame]:
+        if rows:
+            yield pd.DataFrame([(*key, *row) for row in rows], columns=self.columns)
 
     def close(self) -> None:
         pass
@@ -67,13 +75,12 @@ class _Jump(_Keyed):
 
     def handleInputRows(self, key, rows, timerValues):
         batch = _ordered(rows)
-        known = self.last.get() if self.last.exists() else ((0.0,) if self.first_as_zero else None)
-        before = batch["value"].shift(1)
-        if known is not None:
-            before.iloc[0] = known[0]
-        jumped = (batch["value"] - before).abs() > self.threshold
-        self.last.update((float(batch["value"].iloc[-1]),))
-        yield self.out(key, list(zip(batch["seq"][jumped], before[jumped], batch["value"][jumped])))
+        value = batch["value"]
+        known = self.last.get()[0] if self.last.exists() else (0.0 if self.first_as_zero else np.nan)
+        before = np.concatenate(([known], value[:-1]))
+        jumped = np.abs(value - before) > self.threshold
+        self.last.update((float(value[-1]),))
+        yield from self.out(key, list(zip(batch["seq"][jumped], before[jumped], value[jumped])))
 
 
 def jump_alert(
@@ -118,11 +125,11 @@ class _Rising(_Keyed):
             if armed is not None:
                 self.handle.registerTimer(armed)
                 self.timer.update((armed,))
-        yield self.out(key, [])
+        return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         self.timer.clear()
-        yield self.out(key, [(f"{key[0]}{RISING_TEXT}",)])
+        yield from self.out(key, [(f"{key[0]}{RISING_TEXT}",)])
 
 
 def rising_alert(df: DataFrame, key: str, ts: str, value: str, seq: str, hold: str = "10 seconds") -> DataFrame:
@@ -145,31 +152,31 @@ class _Clicks(_Keyed):
 
     def handleInputRows(self, key, rows, timerValues):
         batch = _ordered(rows)
-        day, clicks = self.seen.get() if self.seen.exists() else (None, 0)
-        passed = []
-        for of_day, part in batch.groupby(batch["us"] // _DAY, sort=True):
-            if day is not None and of_day < day:
-                continue
-            if of_day != day:
-                day, clicks = int(of_day), 0
-                self.handle.registerTimer(_ms((day + 1) * _DAY))
-            room = max(self.max_count - clicks, 0)
-            for i, (us, seq) in enumerate(zip(part["us"][: room + 1], part["seq"][: room + 1])):
-                if i < room:
-                    passed.append((us, seq, "main"))
-                elif clicks <= self.max_count:
-                    passed.append((us, seq, "warning"))
+        today, clicks = self.seen.get() if self.seen.exists() else (-1, 0)
+        day = batch["us"] // _DAY
+        begins = np.concatenate(([True], day[1:] != day[:-1]))
+        place = np.arange(len(day))
+        rank = place - np.maximum.accumulate(np.where(begins, place, 0)) + 1 + clicks * (day == today)
+        passed = np.flatnonzero((day >= today) & (rank <= self.max_count + 1))
+        newest = int(day[-1])
+        if newest > today:
+            self.handle.registerTimer(_ms((newest + 1) * _DAY))
+        if newest >= today:
             # past the limit the count only has to say that the warning went out
-            clicks = min(clicks + len(part), self.max_count + 1)
-        if day is not None:
-            self.seen.update((day, clicks))
-        yield self.out(key, passed)
+            self.seen.update((newest, min(int(rank[-1]), self.max_count + 1)))
+        yield from self.out(
+            key,
+            [
+                (batch["us"][i], batch["seq"][i], "main" if rank[i] <= self.max_count else "warning")
+                for i in passed
+            ],
+        )
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         due = expiredTimerInfo.getExpiryTimeInMs()
         if self.seen.exists() and _ms((self.seen.get()[0] + 1) * _DAY) <= due:
             self.seen.clear()
-        yield self.out(key, [])
+        return iter(())
 
 
 def click_blacklist(df: DataFrame, keys: Sequence[str], ts: str, seq: str, max_count: int = 100) -> DataFrame:
@@ -213,7 +220,7 @@ class _Burst(_Keyed):
             self.open.update(burst)
         elif held:
             self.open.clear()
-        yield self.out(key, [b for b in done if b[2] >= self.max_fails])
+        yield from self.out(key, [b for b in done if b[2] >= self.max_fails])
 
     def due(self, burst: tuple) -> int:
         return _ms(burst[0] + self.gap) + 1
@@ -225,7 +232,7 @@ class _Burst(_Keyed):
             if self.due(burst) <= expiredTimerInfo.getExpiryTimeInMs():
                 done = [burst]
                 self.open.clear()
-        yield self.out(key, [b for b in done if b[2] >= self.max_fails])
+        yield from self.out(key, [b for b in done if b[2] >= self.max_fails])
 
 
 def fail_burst(
@@ -258,13 +265,13 @@ class _Pair(_Keyed):
 
     def handleInputRows(self, key, rows, timerValues):
         batch = _ordered(rows)
-        before_us, before_fail = batch["us"].shift(1), batch["fail"].astype(object).shift(1)
-        if self.last.exists():
-            before_us.iloc[0], before_fail.iloc[0] = self.last.get()
-        hit = batch["fail"] & before_fail.eq(True) & (batch["us"] - before_us < self.gap)
-        self.last.update((int(batch["us"].iloc[-1]), bool(batch["fail"].iloc[-1])))
-        first = before_us[hit].astype("int64")
-        yield self.out(key, list(zip(first, batch["us"][hit], batch["seq"][hit])))
+        us, fail = batch["us"], batch["fail"].astype(bool)
+        known = self.last.get() if self.last.exists() else (0, False)
+        before_us = np.concatenate(([known[0]], us[:-1]))
+        before_fail = np.concatenate(([known[1]], fail[:-1]))
+        hit = fail & before_fail & (us - before_us < self.gap)
+        self.last.update((int(us[-1]), bool(fail[-1])))
+        yield from self.out(key, list(zip(before_us[hit], us[hit], batch["seq"][hit])))
 
 
 def fail_pair(df: DataFrame, key: str, ts: str, seq: str, is_fail: Column, gap: str = "2 seconds") -> DataFrame:
@@ -298,7 +305,7 @@ class _Orders(_Keyed):
         batch = _ordered(rows)
         create, pay, msg = self.state.get() if self.state.exists() else (None, None, None)
         knew = (create, pay)
-        creates, pays = batch["us"][batch["create"]], batch["us"][batch["pay"]]
+        creates, pays = batch["us"][batch["create"].astype(bool)], batch["us"][batch["pay"].astype(bool)]
         if create is None and len(creates):
             create = int(creates.min())
         if pay is None and len(pays):
@@ -317,7 +324,7 @@ class _Orders(_Keyed):
             due = create + self.threshold if create is not None else pay + self.disorder
             self.handle.registerTimer(_ms(due) + 1)
         self.state.update((create, pay, msg))
-        yield self.out(key, told)
+        yield from self.out(key, told)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         told = []
@@ -327,7 +334,7 @@ class _Orders(_Keyed):
                 msg = orders.NO_CREATE if create is None else orders.UNPAID
                 self.state.update((create, pay, msg))
                 told.append((msg,))
-        yield self.out(key, told)
+        yield from self.out(key, told)
 
 
 def order_match(
@@ -367,7 +374,7 @@ class _Warnings(_Keyed):
     def handleInputRows(self, key, rows, timerValues):
         batch = _ordered(rows)
         create, pay = self.state.get() if self.state.exists() else (None, None)
-        creates, pays = batch["us"][batch["create"]], batch["us"][batch["pay"]]
+        creates, pays = batch["us"][batch["create"].astype(bool)], batch["us"][batch["pay"].astype(bool)]
         if pay is None and len(pays):
             pay = int(pays.min())
         if create is None and len(creates):
@@ -375,12 +382,12 @@ class _Warnings(_Keyed):
             if pay is None or pay >= create:
                 self.handle.registerTimer(_ms(create + self.threshold) + 1)
         self.state.update((create, pay))
-        yield self.out(key, [])
+        return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         create, pay = self.state.get()
         paid = pay is not None and pay <= create + self.threshold
-        yield self.out(key, [(orders.WARN_PAID if paid else orders.WARN_UNPAID,)])
+        yield from self.out(key, [(orders.WARN_PAID if paid else orders.WARN_UNPAID,)])
 
 
 def order_warning(
@@ -423,7 +430,7 @@ class _FollowedBy(_Keyed):
             self.waiting.put(waiting)
         else:
             self.waiting.clear()
-        yield self.nullable(key, done)
+        yield from self.nullable(key, done)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         due = expiredTimerInfo.getExpiryTimeInMs()
@@ -435,10 +442,11 @@ class _FollowedBy(_Keyed):
                 self.waiting.put(rest)
             else:
                 self.waiting.clear()
-        yield self.nullable(key, [(*w, None, None, "timeout") for w in late])
+        yield from self.nullable(key, [(*w, None, None, "timeout") for w in late])
 
     def nullable(self, key, rows):
-        return self.out(key, rows).astype({"second_us": "Int64", "second_seq": "Int64"})
+        for frame in self.out(key, rows):
+            yield frame.astype({"second_us": "Int64", "second_seq": "Int64"})
 
 
 def followed_by(
