@@ -57,15 +57,28 @@ def test_upsert_keeps_the_latest_and_may_be_repeated(spark, rows, tmp_path):
         assert stored() == {"s_1": 1.0, "s_2": 15.4, "s_3": 7.0}
 
 
-def test_upsert_leaves_untouched_parts_alone(spark, tmp_path):
+def test_upsert_writes_only_touched_parts_and_ignores_unfinished_merges(spark, tmp_path):
     out = str(tmp_path / "table")
     many = spark.range(200).select("id", F.lit(1).alias("ts"), F.col("id").alias("v"))
+    change = many.where("id = 5").select("id", F.lit(2).alias("ts"), F.lit(-1).cast("long").alias("v"))
+
+    def parts(n):
+        return [d for d in os.listdir(f"{out}/gen={n}") if d.startswith("part=")]
+
+    def stored():
+        return {r.id: r.v for r in tables.read_table(spark, out).collect()}
+
     tables.upsert_table(many, out, ["id"], ["ts"], ["v"], parts=8)
-    before = {d: set(os.listdir(f"{out}/{d}")) for d in os.listdir(out) if d.startswith("part=")}
-    tables.upsert_table(many.where("id = 5").withColumn("ts", F.lit(2)), out, ["id"], ["ts"], ["v"], parts=8)
-    after = {d: set(os.listdir(f"{out}/{d}")) for d in os.listdir(out) if d.startswith("part=")}
-    assert sum(before[d] != after[d] for d in before) == 1
-    assert tables.read_table(spark, out).count() == 200
+    tables.upsert_table(change, out, ["id"], ["ts"], ["v"], parts=8)
+    assert (len(parts(0)), len(parts(1))) == (8, 1)
+    assert stored() == {i: -1 if i == 5 else i for i in range(200)}
+    os.remove(f"{out}/gen=1/_SUCCESS")  # as if the job had died before its commit
+    assert stored() == {i: i for i in range(200)}
+    tables.upsert_table(change, out, ["id"], ["ts"], ["v"], parts=8)
+    assert stored()[5] == -1 and len(stored()) == 200
+    tables.expire(spark, out, keep=1)
+    assert (len(parts(0)), len(parts(1))) == (7, 1)
+    assert stored()[5] == -1 and len(stored()) == 200
 
 
 def test_merge_statement():

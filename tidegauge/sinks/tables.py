@@ -1,50 +1,93 @@
-"""Keyed upsert tables: the stored value of a key is that of its latest row."""
+"""Keyed upsert tables: the stored value of a key is that of its latest row.
+
+Layout: ``<path>/gen=<n>/part=<p>/*.parquet``. Keys are split in parts by hash, and a merge writes
+the parts it touches as a new generation. Spark puts ``_SUCCESS`` into a generation when all of it is
+written; readers take each part from its newest generation that has one. Nothing is changed in place,
+so a merge that dies on the way leaves the table as it was.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.operators.aggregates import latest_per_key
 
 PART = "part"
+GENERATION = "gen"
+
+
+def _glob(spark: SparkSession, pattern: str) -> tuple[list, object]:
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [status.getPath() for status in files.globStatus(path) or []], files
+
+
+def _generations(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the complete generations."""
+    marks, _ = _glob(spark, f"{path}/{GENERATION}=*/_SUCCESS")
+    return sorted(int(m.getParent().getName().split("=")[1]) for m in marks)
+
+
+def _folders(spark: SparkSession, path: str) -> dict[str, list[int]]:
+    """Part folder name -> the complete generations it is in, oldest first. Names only, no data."""
+    complete = set(_generations(spark, path))
+    found: dict[str, list[int]] = {}
+    for folder in _glob(spark, f"{path}/{GENERATION}=*/{PART}=*")[0]:
+        n = int(folder.getParent().getName().split("=")[1])
+        if n in complete:
+            found.setdefault(folder.getName(), []).append(n)
+    return {part: sorted(ns) for part, ns in found.items()}
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    newest = [f"{path}/{GENERATION}={ns[-1]}/{part}" for part, ns in _folders(spark, path).items()]
+    return spark.read.option("basePath", path).parquet(*newest) if newest else None
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(PART)
+    stored = _stored(spark, path)
+    if stored is None:
+        raise FileNotFoundError(f"no table at {path}")
+    return stored.drop(PART, GENERATION)
 
 
 def upsert_table(
     df: DataFrame, path: str, keys: Sequence[str], order: Sequence[str], values: Sequence[str], parts: int = 64
 ) -> None:
-    """Merge ``df`` into the parquet table at ``path``.
+    """Merge ``df`` into the table at ``path``.
 
-    The table is split in ``parts`` by key hash. The batch shrinks to one row per key, only the
-    parts it touches are read (partition pruning through the join on ``part``) and replaced. The
-    outcome depends on ``order`` alone, so applying a batch twice changes nothing.
+    The batch shrinks to one row per key before anything is read; of the stored table only the
+    parts the batch touches are read and written. The outcome depends on ``order`` alone, so
+    applying a batch twice changes nothing. One writer at a time.
     """
     spark = df.sparkSession
     kept = [*keys, *dict.fromkeys([*order, *values])]
     part = F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(parts)).cast("int")
     rest = [c for c in kept if c not in keys]
     merged = fresh = latest_per_key(df.select(*kept), keys, order, rest).withColumn(PART, part)
-    try:
-        stored = spark.read.parquet(path)
-    except AnalysisException:
-        stored = None
+    stored = _stored(spark, path)
     if stored is not None:
         # at most ``parts`` small integers
         touched = F.broadcast(fresh.select(PART).distinct())
         both = stored.join(touched, PART, "left_semi").select(*kept).unionByName(fresh.select(*kept))
         merged = latest_per_key(both, keys, order, rest).withColumn(PART, part)
+    following = max(_generations(spark, path), default=-1) + 1
     (
         merged.select(*kept, PART)
         .repartition(parts, PART)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
         .partitionBy(PART)
-        .parquet(path)
+        .parquet(f"{path}/{GENERATION}={following}")
     )
+
+
+def expire(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Delete part folders superseded by ``keep`` newer ones; run it when no older reader is left."""
+    for part, generations in _folders(spark, path).items():
+        for n in generations[: -keep or None]:
+            folders, files = _glob(spark, f"{path}/{GENERATION}={n}/{part}")
+            for folder in folders:
+                files.delete(folder, True)
