@@ -55,6 +55,14 @@ def stream(spark, path, delay="1 millisecond"):
     return with_event_time(raw, "us", "microseconds", delay)
 
 
+@pytest.fixture(scope="module", autouse=True)
+def few_state_stores(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 @pytest.fixture(scope="module")
 def source(spark, tmp_path_factory):
     return feed(spark, str(tmp_path_factory.mktemp("feed")), ROWS)

@@ -126,3 +126,31 @@ def stream_latest_per_key(spark, sf_dir):
         ),
     )
     return read_table(spark, out).select("user_id", "value")
+
+
+@query
+def stream_login_fail_burst(spark, sf_dir):
+    rows = timed(events(spark, sf_dir).select("user_id", "ts", "event_id", "event_type"))
+    bursts = rules.fail_burst(rows, "user_id", "ts", "event_id", of_type("error"), "12 hours", 2)
+    return stored(bursts, "login_fail_burst")
+
+
+@query
+def stream_order_sequence(spark, sf_dir):
+    rows = events(spark, sf_dir).where(of_type("signup") | of_type("purchase"))
+    found = rules.followed_by(
+        timed(rows), ["user_id"], "ts", "event_id", of_type("signup"), of_type("purchase"), "12 hours"
+    )
+    ids = found.select(
+        "user_id", F.col("first_seq").alias("create_id"), F.col("second_seq").alias("pay_id"), "route"
+    )
+    return stored(ids, "order_sequence")
+
+
+@query
+def stream_order_status(spark, sf_dir):
+    rows = events(spark, sf_dir).where(of_type("signup") | of_type("purchase"))
+    told = rules.order_match(
+        timed(rows), ["user_id"], "ts", "event_id", of_type("signup"), of_type("purchase"), "72 hours"
+    )
+    return stored(told, "order_status")

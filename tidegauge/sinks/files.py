@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 
 def tuple_text(df: DataFrame) -> DataFrame:
@@ -23,13 +24,13 @@ def labelled(df: DataFrame, label: str) -> DataFrame:
     return df.select(F.lit(label).alias("label"), "*")
 
 
-def show_labelled(df: DataFrame, label: str, rows: int = 20) -> None:
+def show_labelled(df: DataFrame, label: str, rows: int = 20) -> StreamingQuery | None:
     """Print under a label: a stream goes to the console sink, a table shows its first rows."""
     tagged = labelled(df, label)
     if df.isStreaming:
-        tagged.writeStream.format("console").outputMode("append").start()
-    else:
-        tagged.show(rows, truncate=False)
+        return tagged.writeStream.format("console").option("numRows", rows).outputMode("append").start()
+    tagged.show(rows, truncate=False)
+    return None
 
 
 def documents(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
