@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions.hashing import masked_hash
 from tidegauge.functions.time import bucket_start, micros
-from tidegauge.operators.timeline import DEFAULT_SLOT, SLOT, carry_over, in_slot, with_slot
+from tidegauge.operators.timeline import SLOT, carry_over, in_slot, with_slot
 from tidegauge.operators.windows import event_window
 
 

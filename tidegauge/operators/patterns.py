@@ -43,16 +43,17 @@ def match_sequence(
     if len(links) != len(steps) - 1 or set(links) - {NEXT, FOLLOWED_BY}:
         raise ValueError("contiguity must name next or followed_by for each link")
     names = [name for name, _ in steps]
-    columns = list(columns) if columns else [c for c in df.columns if c not in keys]
+    columns = list(columns or [c for c in df.columns if c not in keys])
+    if ts not in columns:
+        columns.append(ts)
 
     at = F.struct(F.col(ts), F.col(seq))
     backward = in_slot(keys, F.col(ts).desc(), F.col(seq).desc())
     later = backward.rowsBetween(Window.unboundedPreceding, -1)
 
     line = with_slot(on_timeline(df, keys, ts), ts, slot)
-    line = line.select(
-        *keys, ts, seq, SLOT, F.struct(*columns).alias("__row"), *[c.alias(f"__fits{i}") for i, (_, c) in enumerate(steps)]
-    )
+    fits = [condition.alias(f"__fits{i}") for i, (_, condition) in enumerate(steps)]
+    line = line.select(*keys, ts, seq, SLOT, F.struct(*columns).alias("__row"), *fits)
     final = len(steps) - 1
     line = line.withColumn(
         "__chain",
@@ -103,8 +104,5 @@ def match_sequence(
         return F.coalesce(F.unix_micros(when) - begin < limit, F.lit(False))
 
     route = F.when(in_time(F.col("__chain.__end")), "match").when(~in_time(F.col("__chain.__broke")), "timeout")
-    reached = [
-        F.when(in_time(F.col(f"__chain.{n}.{ts}")), F.col(f"__chain.{n}")).alias(n) if ts in columns else F.col(f"__chain.{n}").alias(n)
-        for n in names
-    ]
+    reached = [F.when(in_time(F.col(f"__chain.{n}.{ts}")), F.col(f"__chain.{n}")).alias(n) for n in names]
     return line.where("__chain is not null").select(*keys, *reached, route.alias("route")).where("route is not null")

@@ -184,7 +184,7 @@ def fail_burst(
         .repartition(*place)
     )
     kinds = {f.name: f.dataType.simpleString() for f in pieces.schema.fields}
-    owner = ", ".join(f"`{c}` {kinds[c]}" for c in place)
+    run, owner = (", ".join(f"`{c}` {kinds[c]}" for c in columns) for columns in (place[:2], place))
     entries = (
         pieces.sortWithinPartitions(*place, "__at")
         .mapInPandas(_exits(place, width, length), f"{owner}, first_us long, exit_us long, opens boolean")
@@ -195,13 +195,18 @@ def fail_burst(
     parts = (
         pieces.join(entries, place, "left")
         .sortWithinPartitions(*place, "__at")
-        .mapInPandas(_cut(place, width), f"`{key}` {kinds[key]}, `__run` {kinds['__run']}, first_us long, last_us long, n long")
+        .mapInPandas(_cut(place, width), f"{run}, first_us long, last_us long, n long")
     )
     return (
         parts.groupBy(key, "__run", "first_us")
         .agg(F.max("last_us").alias("last_us"), F.sum("n").alias("fails"))
         .where(F.col("fails") >= max_fails)
-        .select(key, F.timestamp_micros("first_us").alias("first_fail"), F.timestamp_micros("last_us").alias("last_fail"), "fails")
+        .select(
+            key,
+            F.timestamp_micros("first_us").alias("first_fail"),
+            F.timestamp_micros("last_us").alias("last_fail"),
+            "fails",
+        )
     )
 
 

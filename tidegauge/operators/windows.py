@@ -11,7 +11,12 @@ from tidegauge.functions.time import bucket_start, event_time, floor_micros, int
 
 
 def with_event_time(
-    df: DataFrame, col: str, unit: str = "seconds", delay: str = "1 millisecond", lateness: str = "0 seconds", name: str = "ts"
+    df: DataFrame,
+    col: str,
+    unit: str = "seconds",
+    delay: str = "1 millisecond",
+    lateness: str = "0 seconds",
+    name: str = "ts",
 ) -> DataFrame:
     """Event-time column plus a watermark of ``delay`` (disorder bound) and ``lateness`` (grace).
 

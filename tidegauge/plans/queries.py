@@ -148,7 +148,7 @@ def _marketing(spark, sf_dir):
 
 
 def _as_text(counts: DataFrame) -> DataFrame:
-    return counts.withColumns({"window_start": epoch_text(F.col("window_start")), "window_end": epoch_text(F.col("window_end"))})
+    return counts.withColumns({c: epoch_text(F.col(c)) for c in ("window_start", "window_end")})
 
 
 @query

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidegauge.operators.windows import window_agg, with_event_time
 from tidegauge.plans.queries import of_type, query
-from tidegauge.plans.tables import load
+from tidegauge.plans.tables import SCHEMAS
 from tidegauge.session import SETTINGS, checkpoint_dir
 from tidegauge.sinks.tables import read_table
 from tidegauge.streaming import rules, run, windows
@@ -27,7 +27,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set(STATE_STORE, SETTINGS[STATE_STORE])
     # the pattern lets the table be one file or a folder of files
-    return spark.readStream.schema(load(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/{{events.parquet}}")
+    return spark.readStream.schema(SCHEMAS["events"]).parquet(f"{sf_dir}/{{events.parquet}}")
 
 
 def timed(rows: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType, _parse_datatype_string
+from pyspark.sql.types import StringType, StructType
 
 # fixed values: record layouts, field order as in the line
 SENSOR = "id string, timestamp long, temperature double"
@@ -32,7 +32,7 @@ def parse_delimited(
     if mode not in ("strict", "lenient"):
         raise ValueError(f"unknown mode {mode!r}")
     if isinstance(schema, str):
-        schema = _parse_datatype_string(schema)
+        schema = StructType.fromDDL(schema)
     parts = F.split(F.col(line), _literal(sep))
     split = df.withColumn("__parts", parts)
 
