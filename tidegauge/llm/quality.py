@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.llm.boosting import boost, sigmoid
 from tidegauge.llm.common import small_batches, texts_of
-from tidegauge.llm.sampling import labelled, remainder, sampled
+from tidegauge.llm.sampling import class_share, labelled, remainder, sampled
 from tidegauge.llm.words import word_hashes
 
 PER_CLASS = 5000  # labelled rows of either class that a model is fitted on, at most
@@ -104,14 +104,15 @@ def _holds(x: np.ndarray, rules: list) -> np.ndarray:
     ).astype(float)
 
 
-def fit_rules(x: np.ndarray, y: np.ndarray, penalty: float = 2e-3, steps: int = 400) -> RuleModel:
-    """Classes weigh the same. With one class only, the score is a constant."""
+def fit_rules(x: np.ndarray, y: np.ndarray, prior: float = 0.5, penalty: float = 5e-4, steps: int = 600) -> RuleModel:
+    """``prior`` is the share of label 1 that the model is to expect, whatever its share in ``y``. With
+    one class only, the score is a constant."""
     if len(np.unique(y)) < 2:
         share = (y.sum() + 1) / (len(y) + 1.5)
         return RuleModel(float(np.log(share / (1 - share))) if 0 < share < 1 else 1.0, [])
     rules = list(dict.fromkeys(p for t in boost(x, y, trees=20).trees for p in t.paths()))
     r = _holds(x, rules)
-    weigh = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean())) / len(y)
+    weigh = np.where(y == 1, prior / y.mean(), (1 - prior) / (1 - y.mean())) / len(y)
     a = np.hstack([r, np.ones((len(y), 1))])
     rate = 4 / np.linalg.norm(a * np.sqrt(weigh)[:, None], 2) ** 2
     w = v = np.zeros(a.shape[1])
@@ -126,9 +127,10 @@ def fit_rules(x: np.ndarray, y: np.ndarray, penalty: float = 2e-3, steps: int =
 
 def train(docs: DataFrame, labels: DataFrame, usable: Column, per_class: int = PER_CLASS) -> RuleModel:
     """A model of ``labels.quality`` from at most ``per_class`` rows of either class among ``usable``."""
+    share = class_share(labels, "quality", usable)
     found = with_statistics(sampled(docs, labelled(labels, "quality", usable, per_class))).toPandas()
     found = found.sort_values(["doc_id", *STATS])
-    return fit_rules(found[STATS].to_numpy(float), found["y"].to_numpy(float))
+    return fit_rules(found[STATS].to_numpy(float), found["y"].to_numpy(float), share)
 
 
 def quality_scores(docs: DataFrame, model: RuleModel) -> DataFrame:

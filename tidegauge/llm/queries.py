@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import decontam, exact_dedup, mixing, near_dedup, quality, toxicity, warc
+from tidegauge.llm import decontam, exact_dedup, mixing, near_dedup, quality, substrings, toxicity, warc
 from tidegauge.llm.common import load, shared_dir
 from tidegauge.llm.sampling import remainder
 
@@ -64,6 +64,11 @@ def op7_quality(spark, sf_dir):
     return quality.quality_scores(docs, quality.train(docs, labels, remainder("doc_id", 3) != 1))
 
 
+@query
+def op8_substring_dedup(spark, sf_dir):
+    return substrings.remove_repeats(load(spark, sf_dir, "documents")).drop("kept")
+
+
 @query
 def op10_toxicity(spark, sf_dir):
     docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")

@@ -23,6 +23,12 @@ def labelled(labels: DataFrame, label: str, usable: Column, per_class: int) -> D
     return ones.union(zeros)
 
 
+def class_share(labels: DataFrame, label: str, usable: Column) -> float:
+    """The share of label 1 among the usable labels; 0.5 without any."""
+    share = labels.where(F.col(label).isNotNull() & usable).agg(F.avg((F.col(label) == 1).cast("int"))).first()[0]
+    return 0.5 if share is None else share
+
+
 def sampled(docs: DataFrame, sample: DataFrame) -> DataFrame:
     """The sample's texts: (doc_id, text, y). The sample is bounded, so it may be broadcast."""
     return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_LIMIT = 1 << 16
+BLOCK = 1 << 19  # bytes hashed at a time
 
 # A-Z to a-z
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -28,34 +28,37 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 _TABLE = mix(np.arange(1, 257, dtype=np.uint64) * _BASE)
+OTHER = mix(np.arange(1001, 1257, dtype=np.uint64) * _BASE)
 _UP, _DOWN = _powers(1)
 
 
-def prefix_sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(sums, inverse powers) with which ``span_hash`` hashes any span of ``data`` (uint8)."""
+def hash_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray, table: np.ndarray = _TABLE) -> np.ndarray:
+    """Polynomial hash of each data[start:end] (uint8), the same wherever the bytes stand. Spans come in
+    order of start; the work arrays cover a block of them at a time. Another ``table`` of values for bytes
+    makes another hash."""
     global _UP, _DOWN
-    if len(_UP) <= len(data):
-        _UP, _DOWN = _powers(max(len(data) + 1, 2 * len(_UP)))
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_TABLE[data] * _UP[: len(data)], out=sums[1:])
-    return sums, _DOWN
-
-
-def span_hash(sums: tuple[np.ndarray, np.ndarray], start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Polynomial hash of data[start:end], the same wherever the span stands."""
-    return mix((sums[0][end] - sums[0][start]) * sums[1][start] + (end - start).astype(np.uint64) * _TABLE[0])
+    out = np.empty(len(start), np.uint64)
+    cuts = np.flatnonzero(np.diff(start // BLOCK, prepend=-1)).tolist() + [len(start)]
+    for low, high in zip(cuts, cuts[1:]):
+        a, b = start[low:high], end[low:high]
+        piece = data[a[0] : b.max()]
+        if len(_UP) <= len(piece):
+            _UP, _DOWN = _powers(max(len(piece) + 1, 2 * BLOCK))
+        sums = np.zeros(len(piece) + 1, np.uint64)
+        np.cumsum(table[piece] * _UP[: len(piece)], out=sums[1:])
+        a, b = a - a[0], b - a[0]
+        out[low:high] = mix((sums[b] - sums[a]) * _DOWN[a] + (b - a).astype(np.uint64) * table[0])
+    return out
 
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each word, number of words of each text); words are runs without white space, in
-    A-Z lower-cased."""
+    """(hash of each word, number of words of each text); words are runs without white space, with A-Z
+    lower-cased."""
     data = np.frombuffer((b"\n".join(texts) + b"\n").translate(LOWER), np.uint8)
-    blank = SPACE[data]
-    edges = np.flatnonzero(np.diff(np.concatenate(([True], blank)).astype(np.int8)))
+    edges = np.flatnonzero(np.diff(SPACE[data].astype(np.int8), prepend=1))
     start, end = edges[::2], edges[1::2]
-    ends = np.cumsum([len(t) + 1 for t in texts])
-    last = np.searchsorted(start, ends)
-    return span_hash(prefix_sums(data), start, end), np.diff(np.concatenate(([0], last)))
+    last = np.searchsorted(start, np.cumsum([len(t) + 1 for t in texts]))
+    return hash_spans(data, start, end), np.diff(last, prepend=0)
 
 
 def shingle_sets(texts: list[bytes], n: int) -> list[np.ndarray]:
