@@ -268,7 +268,7 @@ def decontaminate(
     """``docs`` without benchmark text. A document goes if more than ``max_coverage`` of its words are
     hit; from the others, the runs of hit words are cut out, so n_chars (where there is such a column)
     is the new length. Documents without hits stay as they are."""
-    rows = _through(docs, benchmark, window, max_words)
+    rows, names = _through(docs, benchmark, window, max_words), docs.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -278,10 +278,8 @@ def decontaminate(
                 keep.append(hits.sum() <= max_coverage * n)
                 if keep[-1] and hits.any():
                     texts[i] = _without(texts[i].encode(), hits).decode()
-            columns = [
-                pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in docs.columns
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=docs.columns).filter(pa.array(keep, pa.bool_()))
+            columns = [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in names]
+            yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(keep, pa.bool_()))
 
     out = rows.mapInArrow(cut, docs.schema)
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out

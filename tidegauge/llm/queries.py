@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import decontam, exact_dedup, mixing, near_dedup, quality, substrings, toxicity, warc
+from tidegauge.llm import decontam, exact_dedup, html_main, mixing, near_dedup, pii, quality, substrings, toxicity, warc
 from tidegauge.llm.common import load, shared_dir
 from tidegauge.llm.sampling import remainder
 
@@ -58,6 +58,12 @@ def op5_near_dedup(spark, sf_dir):
     return near_dedup.near_groups(load(spark, sf_dir, "documents"), words=3, part=85, whole=100)
 
 
+@query
+def op6_personal_data(spark, sf_dir):
+    docs = load(spark, sf_dir, "documents")
+    return pii.find_personal(docs, pii.train(docs))
+
+
 @query
 def op7_quality(spark, sf_dir):
     docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
@@ -69,6 +75,11 @@ def op8_substring_dedup(spark, sf_dir):
     return substrings.remove_repeats(load(spark, sf_dir, "documents")).drop("kept")
 
 
+@query
+def op9_main_text(spark, sf_dir):
+    return html_main.main_text(load(spark, sf_dir, "pages"))
+
+
 @query
 def op10_toxicity(spark, sf_dir):
     docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
