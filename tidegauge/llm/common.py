@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,3 +66,47 @@ def _sizes(column: pa.Array) -> list[int]:
 def texts_of(column: pa.Array) -> list[bytes]:
     """A string column as UTF-8 bytes, null as empty."""
     return [b"" if x is None else x for x in column.cast(pa.large_binary()).to_pylist()]
+
+
+FILTER_BITS = 24  # a filter is 2^FILTER_BITS bits (2 MB), however many ids there are
+_PIECE = 1 << 16
+
+
+def _bit(ids: np.ndarray) -> np.ndarray:
+    x = ids.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return ((x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def only_ids(rows: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
+    """``rows`` without most of those whose ``column`` (long) is not in ``wanted``, before a join sends
+    them around. A hashed bit per wanted id is shared with all tasks; the filter never drops a wanted
+    row, and lets more others pass the more ids there are."""
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(1 << FILTER_BITS, bool)
+        for batch in batches:
+            bits[_bit(batch.column(column).to_numpy())] = True
+        packed = np.packbits(bits)
+        pieces = {i // _PIECE: packed[i : i + _PIECE].tobytes() for i in range(0, len(packed), _PIECE)}
+        some = {i: p for i, p in pieces.items() if any(p)}
+        yield pa.RecordBatch.from_arrays([pa.array(some.keys(), pa.int32()), pa.array(some.values(), pa.binary())], ["piece", "bits"])
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        piece, bits = None, np.zeros(_PIECE, np.uint8)
+        for batch in batches:
+            for piece, part in zip(batch.column("piece").to_pylist(), batch.column("bits").to_pylist()):
+                bits |= np.frombuffer(part, np.uint8)
+        yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([bits.tobytes()])], ["piece", "bits"])
+
+    kind = "piece int, bits binary"
+    found = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
+    for piece, part in wanted.select(column).mapInArrow(marked, kind).groupBy("piece").applyInArrow(merged, kind).collect():
+        found[piece * _PIECE : (piece + 1) * _PIECE] = np.frombuffer(part, np.uint8)
+    shared = rows.sparkSession.sparkContext.broadcast(found)
+
+    def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bit = _bit(batch.column(column).to_numpy())
+            yield batch.filter(pa.array((shared.value[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1 == 1))
+
+    return rows.mapInArrow(passed, rows.schema)

@@ -23,12 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import small_batches, texts_of, written
+from tidegauge.llm.common import only_ids, small_batches, texts_of, written
 from tidegauge.llm.components import components
 from tidegauge.llm.words import shingle_sets
 
 BITS, CHUNK = 20, 1 << 14  # counters, and how many of them travel in a row
-SKETCH = 64
+SKETCH = 32
 FIRST = 8  # nodes of a list that the first round compares with all others
 NO_ID = -(1 << 63)  # stands for a null doc_id
 
@@ -52,23 +52,27 @@ def _digests(words: int):
                     batch.column("doc_id"),
                     pa.array(classes, pa.binary()),
                     pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([s[:SKETCH].tobytes() for s in sets], pa.binary()),
                     pa.nulls(n, pa.int32()),
                     pa.nulls(n, pa.binary()),
                 ],
-                names=["doc_id", "class", "size", "chunk", "counts"],
+                names=["doc_id", "class", "size", "sketch", "chunk", "counts"],
             )
         if counts.any():
             parts = [counts[i : i + CHUNK].tobytes() for i in range(0, len(counts), CHUNK)]
             n = len(parts)
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()),
+                [pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()),
                  pa.array(range(n), pa.int32()), pa.array(parts, pa.binary())],
-                names=["doc_id", "class", "size", "chunk", "counts"],
+                names=["doc_id", "class", "size", "sketch", "chunk", "counts"],
             )
 
     return scan
 
 
+DIGESTS = "doc_id long, class binary, size long, sketch binary, chunk int, counts binary"
+
+
 def _rarity(rows: DataFrame) -> np.ndarray:
     """log2 of how many shingles fell on each counter; 2^BITS bytes, whatever the input."""
 
@@ -157,7 +161,8 @@ def _candidates(begin: int, end: int, part: int, whole: int) -> Callable:
                     break
                 first = starts[run[alive]] + d
                 n, m, i, j = size[first], size[alive], place[first], place[alive]
-                overlap = np.minimum(i, j) + 1 + np.minimum(n - i, m - j) - 1
+                # if this is the first value they share, no more than what follows it can be common
+                overlap = np.minimum(n - i, m - j)
                 fits = (comp[first] != comp[alive]) & (whole * np.minimum(n, m) >= part * np.maximum(n, m))
                 fits &= (whole + part) * overlap >= part * (n + m)
                 a, b = node[first[fits]], node[alive[fits]]
@@ -211,10 +216,9 @@ def _full_sets(words: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("node").take(pa.array(mine, pa.int64())),
-                    pa.array([sets[i][:SKETCH].tobytes() for i in mine], pa.binary()),
                     pa.array([sets[i].tobytes() for i in mine], pa.binary()),
                 ],
-                names=["node", "sketch", "whole"],
+                names=["node", "whole"],
             )
 
     return scan
@@ -231,12 +235,11 @@ def near_groups(docs: DataFrame, words: int = 5, part: int = 80, whole: int = 10
     """
     spark = docs.sparkSession
     texts = docs.select("doc_id", "text")
-    found = written(
-        texts.mapInArrow(_digests(words), "doc_id long, class binary, size long, chunk int, counts binary"), "shingles"
-    )
+    found = written(texts.mapInArrow(_digests(words), DIGESTS), "shingles")
     rows = found.where("chunk is null").select("doc_id", "class", "size")
     rarity = spark.sparkContext.broadcast(_rarity(found))  # 2^BITS bytes
-    known = rows.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("first_id"))
+    known = found.where("class is not null").groupBy("class")
+    known = known.agg(F.min("doc_id").alias("first_id"), F.min("sketch").alias("sketch"))
     nodes = written(known.withColumn("node", F.monotonically_increasing_id()), "nodes")
     keys = nodes.select("class", "node", F.coalesce("first_id", F.lit(NO_ID)).alias("id"))
     texts = texts.withColumn("id", F.coalesce("doc_id", F.lit(NO_ID)))
@@ -250,16 +253,16 @@ def near_groups(docs: DataFrame, words: int = 5, part: int = 80, whole: int = 10
     lists = lists.select(*LIST).repartition(tasks, "value").sortWithinPartitions("value", "node")
     lists = written(lists.mapInArrow(_shared, LIST_SCHEMA), "lists")
 
-    wanted = keys.join(lists.select("node").distinct(), "node")
-    sets = texts.select("id", "text").join(wanted, "id").select("node", "class", "text")
-    sets = written(sets.mapInArrow(_full_sets(words), "node long, sketch binary, whole binary"), "sets")
-
     comps, begin, end = None, 0, FIRST
     open_ = lists.withColumn("comp", F.col("node"))
     while True:
         members = open_.repartition(tasks, "value").sortWithinPartitions("value", "node")
         pairs = members.mapInArrow(_candidates(begin, end, part, whole), "a long, b long").distinct()
-        close = written(_decided(pairs, sets, "sketch", part, whole, False).distinct(), "close")
+        close = written(_decided(pairs, nodes, "sketch", part, whole, False), "close")
+        ends = close.select(F.col("a").alias("node")).union(close.select("b")).distinct()
+        wanted = written(keys.join(ends, "node"), "wanted")
+        sets = only_ids(texts.select("id", "text"), wanted, "id").join(wanted, "id").select("node", "class", "text")
+        sets = written(sets.mapInArrow(_full_sets(words), "node long, whole binary"), "sets")
         links = _decided(close, sets, "whole", part, whole, True)
         if comps is not None:
             links = links.union(comps.select("node", "root"))
