@@ -14,7 +14,7 @@ bytes from there are equal. The steps:
    sorted, and neighbours compared.
 
 Names are fingerprints of the bytes instead of ranks, so no name needs a round of sorting of its own:
-64 bits where a wrong match would only mean more work, 128 where it decides. Every step's rows are
+short where a wrong match would only mean more work, 128 bits where it decides. Every step's rows are
 positions, never pairs, so groups of copies cost in proportion to their size.
 """
 
@@ -25,13 +25,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import small_batches, texts_of, written
+from tidegauge.llm.common import only_ids, small_batches, texts_of, written
 from tidegauge.llm.words import OTHER, hash_spans
 
 NO_ID = -(1 << 63)  # stands for a null doc_id
+NAME_BITS = 48  # of a sampled position's name
 ANCHOR = 256  # share of a string, in 400ths, that an anchor's name covers
 
 
@@ -96,7 +98,7 @@ def _names(sample: Sample):
             for key, text in zip(batch.column("id").to_pylist(), texts_of(batch.column("text"))):
                 if len(text) >= sample.length:
                     at = sample.upto(len(text) - sample.name + 1)
-                    names.append(hash_spans(np.frombuffer(text, np.uint8), at, at + sample.name))
+                    names.append(hash_spans(np.frombuffer(text, np.uint8), at, at + sample.name) >> np.uint64(64 - NAME_BITS))
                     places.append(at)
                     ids.append(np.full(len(at), key))
                     hashes.append(np.full(len(at), _whole(text)))
@@ -213,9 +215,10 @@ def _strings(length: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text", 1 << 18):
             rows = []
-            for key, whole, text, spans in zip(*(batch.column(c).to_pylist() for c in ("id", "hash", "text", "spans"))):
+            ids = (batch.column(c).to_pylist() for c in ("id", "hash", "text"))
+            for key, whole, text, (first, last) in zip(*ids, _lists(batch.column("spans"), ("first", "last"))):
                 data = np.frombuffer((text or "").encode(), np.uint8)
-                at = np.unique(np.concatenate([np.arange(s["first"], s["last"] + 1) for s in spans]))
+                at = np.unique(np.concatenate([np.arange(a, b + 1) for a, b in zip(first.tolist(), last.tolist())]))
                 one, two = hash_spans(data, at, at + length), hash_spans(data, at, at + length, OTHER)
                 rows.append((_signed(one), _signed(two), np.full(len(at), key), np.full(len(at), whole), at.astype(np.int32)))
             if rows:
@@ -226,12 +229,18 @@ def _strings(length: int):
     return scan
 
 
-def _removed(n: int, spans: list[tuple[int, int]]) -> tuple[np.ndarray, int]:
-    """(whether each byte goes, maximal runs of those that do) under the union of [from, to)."""
-    change = np.zeros(n + 1, np.int64)
-    edges = np.array(spans, np.int64)
-    np.add.at(change, edges[:, 0], 1)
-    np.add.at(change, edges[:, 1], -1)
+def _lists(column: pa.ListArray, fields: tuple[str, str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Two number fields of each row's list of structs."""
+    flat = column.flatten()
+    one, two = (flat.field(flat.type.get_field_index(f)).to_numpy() for f in fields)
+    ends = np.cumsum(pc.list_value_length(column).to_numpy())
+    for begin, end in zip([0, *ends[:-1]], ends):
+        yield one[begin:end], two[begin:end]
+
+
+def _removed(n: int, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, int]:
+    """(whether each byte goes, maximal runs of those that do) under the union of all [begin, end)."""
+    change = np.bincount(begin, minlength=n + 1) - np.bincount(end, minlength=n + 1)
     gone = np.cumsum(change)[:n] > 0
     return gone, int(np.count_nonzero(np.diff(gone.astype(np.int8), prepend=0) == 1))
 
@@ -239,8 +248,8 @@ def _removed(n: int, spans: list[tuple[int, int]]) -> tuple[np.ndarray, int]:
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in small_batches(batches, "text"):
         rows = []
-        for text, spans in zip(texts_of(batch.column("text")), batch.column("spans").to_pylist()):
-            gone, runs = _removed(len(text), [(s["a"], s["b"]) for s in spans])
+        for text, (begin, end) in zip(texts_of(batch.column("text")), _lists(batch.column("spans"), ("a", "b"))):
+            gone, runs = _removed(len(text), begin, end)
             kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
             rows.append((int(gone.sum()), runs, hashlib.sha256(kept).hexdigest(), kept))
         removed, runs, sha, kept = zip(*rows)
@@ -266,8 +275,8 @@ def repeated_spans(docs: DataFrame, length: int = 400) -> tuple[DataFrame, DataF
     names = texts.select("id", "text").mapInArrow(_names(sample), NAMES).repartition(tasks, "name").sortWithinPartitions("name")
     kept = names.mapInArrow(_equal_neighbours(["name"], ["id", "hash", "at"]), "id long, hash long, at int")
     places = kept.groupBy("id", "hash").agg(F.collect_list("at").alias("places"))
-    regions = places.mapInArrow(_regions(sample), "id long, hash long, first binary, last binary")
-    found = texts.select("id", "text").join(regions, "id").mapInArrow(
+    regions = written(places.mapInArrow(_regions(sample), "id long, hash long, first binary, last binary"), "starts")
+    found = only_ids(texts.select("id", "text"), regions, "id").join(regions, "id").mapInArrow(
         _matching, "id long, text string, hash long, first binary, last binary"
     )
     found = written(found, "regions")
