@@ -43,7 +43,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_batches(batches: Iterator[pa.RecordBatch], text: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def small_batches(batches: Iterator[pa.RecordBatch], text: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that one holds at most about ``limit`` bytes of ``text`` (or one row)."""
     for batch in batches:
         sizes = _sizes(batch.column(text))

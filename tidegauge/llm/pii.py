@@ -205,7 +205,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
     part = [ranked.where(F.col("y") == y).orderBy("row.draw").limit(sample // 2).select("y", "row.*") for y in (0, 1)]
     rows = sorted((r["draw"], r["y"], r["novel"], r["features"]) for r in part[0].union(part[1]).collect())
     _, y, novel, x = zip(*rows) if rows else ((),) * 4
-    return fit(np.array(x).reshape(len(rows), -1), np.array(y, float), np.array(novel, bool))
+    return fit(np.array(x, float), np.array(y, float), np.array(novel, bool))
 
 
 def added_spans(text: str, base: dict[str, list[tuple[int, int]]], model: Model) -> list[tuple[int, int, int]]:
