@@ -19,9 +19,10 @@ def word_count(df: DataFrame, text: str = "value", keep_empty: bool = True) -> D
 
 
 def avg_int_div(df: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
-    """Sum divided by count as whole numbers, then widened: 7/2 -> 3.0."""
+    """Sum of whole numbers divided by their count as whole numbers, then widened: 7/2 -> 3.0. The sum
+    is a decimal, so it does not overflow a long."""
     return df.groupBy(*keys).agg(
-        F.expr(f"cast(sum(`{col}`) div count(`{col}`) as double)").alias("average")
+        F.expr(f"cast(sum(cast(`{col}` as decimal(20,0))) div count(`{col}`) as double)").alias("average")
     )
 
 

@@ -5,21 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegauge.functions.hashing import masked_hash
+from tidegauge.functions.hashing import BITMAP_BITS, masked_hash
 from tidegauge.functions.time import bucket_start, micros
 from tidegauge.operators.timeline import SLOT, carry_over, in_slot, with_slot
 from tidegauge.operators.windows import event_window
 
 
-def unique_count(df: DataFrame, ts: str, size: str, user: str, method: str = "exact") -> DataFrame:
+def unique_count(
+    df: DataFrame, ts: str, size: str, user: str, method: str = "exact", bits: int = BITMAP_BITS
+) -> DataFrame:
     """``(window_end, uv)`` per tumbling window.
 
     ``exact``   Spark removes duplicates per (window, user) before and after the exchange and then
                 counts, so no set of users is ever held for a window.
     ``bitmap``  One bit per hashed id, in fixed 4 KB pieces of 32,768 bits keyed by (window, piece);
                 partial bitmaps merge on the map side and popcounts add up. Ids with equal hashes
-                count once.
+                count once, so counts near 2^``bits`` come out too low.
     ``approx``  HyperLogLog++ sketch per window.
+
+    Null users are not counted.
     """
     windowed = df.withColumn("window", event_window(ts, size))
     if method == "exact":
@@ -28,7 +32,7 @@ def unique_count(df: DataFrame, ts: str, size: str, user: str, method: str = "ex
         counted = windowed.groupBy("window").agg(F.approx_count_distinct(user, 0.01).alias("uv"))
     elif method == "bitmap":
         pieces = (
-            windowed.select("window", masked_hash(F.col(user)).alias("h"))
+            windowed.select("window", masked_hash(F.col(user), bits=bits).alias("h"))
             .groupBy("window", F.bitmap_bucket_number("h").alias("piece"))
             .agg(F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("h"))).alias("bits"))
         )
@@ -39,9 +43,9 @@ def unique_count(df: DataFrame, ts: str, size: str, user: str, method: str = "ex
 
 
 def running_unique(
-    df: DataFrame, ts: str, size: str, user: str, seq: str, slot: str = "1 minute"
+    df: DataFrame, ts: str, size: str, user: str, seq: str, slot: str = "1 minute", bits: int = BITMAP_BITS
 ) -> DataFrame:
-    """For every event the count of distinct hashed users in its window so far.
+    """For every event the count of distinct hashed users in its window so far; null users count nothing.
 
     Only a user's first event in a window raises the count. Those first events come from an
     aggregate (hot users shrink on the map side), join the stream of events as +1 marks, and a
@@ -52,9 +56,9 @@ def running_unique(
         F.col(ts).alias("ts"),
         F.col(seq).alias("seq"),
         bucket_start(F.col(ts), width).alias("start"),
-        masked_hash(F.col(user)).alias("h"),
+        masked_hash(F.col(user), bits=bits).alias("h"),
     )
-    first = events.groupBy("start", "h").agg(F.min(F.struct("ts", "seq")).alias("at"))
+    first = events.where("h is not null").groupBy("start", "h").agg(F.min(F.struct("ts", "seq")).alias("at"))
     marks = first.select("at.ts", "at.seq", "start", F.lit(1).alias("mark"))
     line = with_slot(events.select("ts", "seq", "start", F.lit(0).alias("mark")).unionByName(marks), "ts", slot)
     order = in_slot(["start"], F.col("ts"), F.col("seq"), F.col("mark").desc())

@@ -51,19 +51,19 @@ def union_all(*dfs: DataFrame) -> DataFrame:
 
 def map_partitions(
     df: DataFrame,
-    fn: Callable[[pd.DataFrame], pd.DataFrame],
+    fn: Callable[..., pd.DataFrame],
     schema: str,
-    open_: Callable[[], None] | None = None,
+    open_: Callable[[], object] | None = None,
     close: Callable[[], None] | None = None,
 ) -> DataFrame:
-    """Map Arrow batches with set-up before a task's first batch and clean-up after its last."""
+    """Map Arrow batches with set-up before a task's first batch and clean-up after its last. What
+    ``open_`` returns, if anything, is handed to ``fn`` with each batch."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        if open_:
-            open_()
+        held = open_() if open_ else None
         try:
             for batch in batches:
-                yield fn(batch)
+                yield fn(batch) if held is None else fn(batch, held)
         finally:
             if close:
                 close()

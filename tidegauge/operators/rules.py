@@ -30,10 +30,11 @@ def rising_run(
 ) -> DataFrame:
     """Runs of rising values that last at least ``span`` of event time, one row per run.
 
-    A reading that does not exceed the one before begins a new run; a run needs two readings.
+    A reading that does not exceed the one before begins a new run, as does one next to a null reading;
+    a run needs two readings.
     """
     runs = islands(
-        df, [key], ts, seq, F.struct(F.col(value).alias("__v")), lambda p, c: c["__v"] <= p["__v"], slot
+        df, [key], ts, seq, F.struct(F.col(value).alias("__v")), lambda p, c: F.coalesce(c["__v"] <= p["__v"], F.lit(True)), slot
     )
     grouped = runs.groupBy(key, "run_start").agg(
         F.max(F.struct(F.col(ts).alias("ts"), F.col(seq).alias("seq"), F.col("__v").alias("v"))).alias("end"),
@@ -167,7 +168,7 @@ def fail_burst(
         [key],
         ts,
         seq,
-        F.struct(F.unix_micros(ts).alias("__at"), is_fail.alias("__fail")),
+        F.struct(F.unix_micros(ts).alias("__at"), F.coalesce(is_fail, F.lit(False)).alias("__fail")),
         lambda p, c: ~p["__fail"] | ~c["__fail"] | (c["__at"] - p["__at"] > width),
         slot,
     )

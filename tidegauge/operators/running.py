@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegauge.operators.timeline import DEFAULT_SLOT, SLOT, carry_over, in_slot, with_slot
+from tidegauge.operators.timeline import DEFAULT_SLOT, SLOT, carry_over, in_slot, on_timeline, with_slot
 
 
 def running_sum(
@@ -19,8 +19,8 @@ def running_sum(
     name: str = "running",
     slot: str = DEFAULT_SLOT,
 ) -> DataFrame:
-    """Running sum of ``col`` per key in (ts, seq) order."""
-    base = with_slot(df, ts, slot).withColumn("__v", col)
+    """Running sum of ``col`` per key in (ts, seq) order. Rows without key or time take no part."""
+    base = with_slot(on_timeline(df, keys, ts), ts, slot).withColumn("__v", col)
     upto = in_slot(keys, F.col(ts), F.col(seq)).rowsBetween(Window.unboundedPreceding, 0)
     joined = carry_over(
         base.withColumn("__local", F.sum("__v").over(upto)),
@@ -46,9 +46,10 @@ def running_reduce(
 
     ``ts`` is a timestamp; the output's ``epoch`` is the first reading's whole second plus ``tick``
     for each later one, and its ``result`` is raw for the first reading. The fold keeps nothing of
-    the middle readings, so row number and first time describe it fully.
+    the middle readings, so row number and first time describe it fully. Rows without key or time
+    take no part.
     """
-    base = with_slot(df, ts, slot)
+    base = with_slot(on_timeline(df, [key], ts), ts, slot)
     order = in_slot([key], F.col(ts), F.col(seq))
     at = F.struct(F.col(ts), F.col(seq))
     local = base.withColumn("__rn", F.row_number().over(order)).withColumn("__first", F.first(ts).over(order))

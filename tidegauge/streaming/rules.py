@@ -148,34 +148,28 @@ class _Clicks(_Keyed):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getValueState("seen", "day long, clicks long")
+        self.seen = handle.getMapState("seen", "day long", "clicks long")
 
     def handleInputRows(self, key, rows, timerValues):
         batch = _ordered(rows)
-        today, clicks = self.seen.get() if self.seen.exists() else (-1, 0)
-        day = batch["us"] // _DAY
-        begins = np.concatenate(([True], day[1:] != day[:-1]))
-        place = np.arange(len(day))
-        rank = place - np.maximum.accumulate(np.where(begins, place, 0)) + 1 + clicks * (day == today)
-        passed = np.flatnonzero((day >= today) & (rank <= self.max_count + 1))
-        newest = int(day[-1])
-        if newest > today:
-            self.handle.registerTimer(_ms((newest + 1) * _DAY))
-        if newest >= today:
+        day, passed = batch["us"] // _DAY, []
+        for d in np.unique(day).tolist():
+            mine = np.flatnonzero(day == d)
+            clicks = self.seen.getValue((d,))[0] if self.seen.containsKey((d,)) else 0
+            if not clicks:
+                self.handle.registerTimer(_ms((d + 1) * _DAY))
+            rank = clicks + np.arange(1, len(mine) + 1)
+            routes = np.where(rank <= self.max_count, "main", "warning")
+            passed += [(batch["us"][i], batch["seq"][i], r) for i, r, n in zip(mine, routes, rank) if n <= self.max_count + 1]
             # past the limit the count only has to say that the warning went out
-            self.seen.update((newest, min(int(rank[-1]), self.max_count + 1)))
-        yield from self.out(
-            key,
-            [
-                (batch["us"][i], batch["seq"][i], "main" if rank[i] <= self.max_count else "warning")
-                for i in passed
-            ],
-        )
+            self.seen.updateValue((d,), (min(int(rank[-1]), self.max_count + 1),))
+        yield from self.out(key, passed)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         due = expiredTimerInfo.getExpiryTimeInMs()
-        if self.seen.exists() and _ms((self.seen.get()[0] + 1) * _DAY) <= due:
-            self.seen.clear()
+        for (d,) in list(self.seen.keys()):
+            if _ms((d + 1) * _DAY) <= due:
+                self.seen.removeKey((d,))
         return iter(())
 
 

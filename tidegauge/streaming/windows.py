@@ -20,7 +20,8 @@ from tidegauge.operators.windows import event_window
 def unique_count(df: DataFrame, ts: str, size: str, user: str) -> DataFrame:
     """Exact distinct users per closed window (append mode): one state row per (window, user), then
     a count over them, so no state row holds a set."""
-    pairs = df.groupBy(event_window(ts, size).alias("window"), user).agg(F.count(F.lit(1)).alias("__n"))
+    known = df.where(F.col(user).isNotNull())
+    pairs = known.groupBy(event_window(ts, size).alias("window"), user).agg(F.count(F.lit(1)).alias("__n"))
     return (
         pairs.groupBy("window").agg(F.count(F.lit(1)).alias("uv")).select(F.col("window.end").alias("window_end"), "uv")
     )
