@@ -105,12 +105,12 @@ def _holds(x: np.ndarray, rules: list) -> np.ndarray:
 
 
 def fit_rules(x: np.ndarray, y: np.ndarray, prior: float = 0.5, penalty: float = 5e-4, steps: int = 600) -> RuleModel:
-    """``prior`` is the share of label 1 that the model is to expect, whatever its share in ``y``. With
-    one class only, the score is a constant."""
-    if len(np.unique(y)) < 2:
-        share = (y.sum() + 1) / (len(y) + 1.5)
-        return RuleModel(float(np.log(share / (1 - share))) if 0 < share < 1 else 1.0, [])
+    """``prior`` is the share of label 1 that the model is to expect, whatever its share in ``y``.
+    Where the trees find no rule, as with one class only, the score is a constant."""
     rules = list(dict.fromkeys(p for t in boost(x, y, trees=20).trees for p in t.paths()))
+    if not rules:
+        share = (y.sum() + 1) / (len(y) + 1.5)
+        return RuleModel(float(np.log(share / (1 - share))) if share < 1 else 1.0, [])
     r = _holds(x, rules)
     weigh = np.where(y == 1, prior / y.mean(), (1 - prior) / (1 - y.mean())) / len(y)
     a = np.hstack([r, np.ones((len(y), 1))])
