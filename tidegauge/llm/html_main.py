@@ -8,7 +8,7 @@ Differencing alone is wrong in two ways: an article's own lines may stand on a n
 menus, notices or adverts may differ from page to page. So markup that says what a block is decides
 first: blocks inside an article or main element stay, blocks in navigation, headers, footers, asides,
 forms, adverts, notices or comments go. Differencing decides the rest, the blocks that no markup
-classifies.
+classifies, and pairs pages that have such blocks. Only those pages are moved and sorted.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import shared_dir, small_batches
+from tidegauge.llm.common import shared_dir, small_batches, written
 
 # fixed values: elements by what they do to text
 SILENT = {"script", "style", "noscript", "template", "textarea", "select", "svg", "head", "title", "iframe", "object", "math"}
@@ -162,12 +162,13 @@ def common_lines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return keep
 
 
-PARSED = "page_id long, url string, host string, path string, roles binary, lines array<string>"
+PARSED = "page_id long, url string, host string, path string, open boolean, roles binary, lines array<string>"
 
 
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in small_batches(batches, "html"):
-        found = [blocks(page or "") for page in batch.column("html").to_pylist()]
+        pages = (blocks(page or "") for page in batch.column("html").to_pylist())
+        found = [[b for b in page if b[0] != SITE] for page in pages]
         places = [place(u) for u in batch.column("url").to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [
@@ -175,10 +176,11 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 batch.column("url"),
                 pa.array([h for h, _ in places], pa.string()),
                 pa.array([p for _, p in places], pa.string()),
+                pa.array([any(r == UNKNOWN for r, _ in f) for f in found], pa.bool_()),
                 pa.array([bytes(r for r, _ in f) for f in found], pa.binary()),
                 pa.array([[t for _, t in f] for f in found], pa.list_(pa.string())),
             ],
-            names=["page_id", "url", "host", "path", "roles", "lines"],
+            names=["page_id", "url", "host", "path", "open", "roles", "lines"],
         )
 
 
@@ -260,9 +262,13 @@ def main_text(pages: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = pages.select("page_id", "url", "html").mapInArrow(_parsed, PARSED)
-    rows = rows.repartitionByRange(tasks, "host", "path", "page_id").sortWithinPartitions("host", "path", "page_id")
-    rows = rows.withColumn("part", F.spark_partition_id()).checkpoint()
+    parsed = written(pages.select("page_id", "url", "html").mapInArrow(_parsed, PARSED), "lines")
+    text = F.concat_ws("\n", "lines")
+    decided = parsed.where(~F.col("open")).select(
+        "page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"), F.lit(0).cast("long").alias("n_shared")
+    )
+    rows = parsed.where("open").repartitionByRange(tasks, "host", "path", "page_id")
+    rows = rows.sortWithinPartitions("host", "path", "page_id").withColumn("part", F.spark_partition_id()).checkpoint()
     # two pages of each partition, by which neighbours find each other across partitions
     ends = rows.select("part", "host", "path", "roles", "lines").mapInArrow(
         _ends, "part int, last boolean, host string, path string, hashes binary"
@@ -273,4 +279,5 @@ def main_text(pages: DataFrame) -> DataFrame:
         p: (found[parts[i - 1], True] if i else None, found[parts[i + 1], False] if i + 1 < len(parts) else None)
         for i, p in enumerate(parts)
     }
-    return rows.mapInArrow(_differenced(edges), "page_id long, url string, text string, n_chars long, n_shared long")
+    kinds = "page_id long, url string, text string, n_chars long, n_shared long"
+    return decided.union(rows.mapInArrow(_differenced(edges), kinds))
