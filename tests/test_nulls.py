@@ -45,3 +45,12 @@ def test_a_long_average_does_not_overflow(spark):
 def test_the_opened_resource_reaches_the_function(spark):
     df = routing.map_partitions(spark.range(3), lambda f, k: f.assign(id=f["id"] + k), "id long", lambda: 10)
     assert sorted(r.id for r in df.collect()) == [10, 11, 12]
+
+
+@pytest.mark.parametrize("slot", SLOTS)
+def test_a_null_reading_raises_no_jump_alert(spark, slot):
+    df = rows(spark, [50.0, 10.0, None, 90.0]).union(rows(spark, [1.0, 90.0], None))
+    found = rules.jump_alert(df, "key", "ts", "value", "seq", slot=slot).collect()
+    assert [(r.last_value, r.value) for r in found] == [(50.0, 10.0)]
+    first = rules.jump_alert(df, "key", "ts", "value", "seq", first_as_zero=True, slot=slot).collect()
+    assert sorted((r.last_value, r.value) for r in first) == [(0.0, 50.0), (50.0, 10.0)]

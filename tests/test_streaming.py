@@ -1,4 +1,4 @@
-"""Streams give the batch answer on time-ordered files read in several triggers.
+"""Streams give the batch answer on files read in several triggers, in time order or not.
 
 A last file with one far-off row moves the watermark past everything else; its own key is left out
 of the comparison.
@@ -269,3 +269,89 @@ def test_rows_behind_the_watermark_are_dropped(spark, tmp_path, drain):
     timed = with_event_time(raw, "us", "microseconds", "1 second", "60 seconds")
     got = drain(windows.window_agg(timed, "ts", "1 second", n=F.count(F.lit(1)))).collect()
     assert sorted(int(r.window_start.timestamp()) for r in got) == [141, 200]
+
+
+def kind(name):
+    return F.col("kind") == name
+
+
+def sequence_ids(df, first, second):
+    return df.select("k", F.col(first).alias("a"), F.col(second).alias("b"), "route")
+
+
+# name -> (rule on a stream, rule on a table), both with the same columns
+RULES = {
+    "jump": (
+        lambda df: live.jump_alert(df, "k", "ts", "v", "id", 10.0).withColumnRenamed("seq", "id"),
+        lambda df: rules.jump_alert(df, "k", "ts", "v", "id", 10.0),
+    ),
+    "pair": (
+        lambda df: live.fail_pair(df, "k", "ts", "id", kind("fail"), "2 seconds"),
+        lambda df: rules.fail_pair(df, "k", "ts", "id", kind("fail"), "2 seconds"),
+    ),
+    "burst": (
+        lambda df: live.fail_burst(df, "k", "ts", "id", kind("fail"), "2 seconds", 2),
+        lambda df: rules.fail_burst(df, "k", "ts", "id", kind("fail"), "2 seconds", 2),
+    ),
+    "blacklist": (
+        lambda df: live.click_blacklist(df, ["k"], "ts", "id", 5),
+        lambda df: rules.click_blacklist(df, ["k"], "ts", "id", 5).select("k", "ts", "id", "route"),
+    ),
+    "sequence": (
+        lambda df: sequence_ids(
+            live.followed_by(df, ["k"], "ts", "id", kind("create"), kind("pay"), "5 seconds"), "first_seq", "second_seq"
+        ),
+        lambda df: sequence_ids(
+            patterns.match_sequence(
+                df, ["k"], "ts", "id", [("a", kind("create")), ("b", kind("pay"))], "5 seconds", patterns.FOLLOWED_BY
+            ),
+            "a.id",
+            "b.id",
+        ),
+    ),
+}
+
+
+@pytest.fixture(scope="module")
+def jumbled(spark, tmp_path_factory):
+    """Rows up to 20 s out of order, with a midnight in their middle, null readings and equal times."""
+    rnd = random.Random(11)
+    shift = 86_400_000_000 - ROWS[len(ROWS) // 2][1]
+    rows = [(k, us + shift, i, kind_, None if i % 17 == 0 else v) for k, us, i, kind_, v in ROWS]
+    rows += [(k, us, i + 10_000, "fail", v) for k, us, i, _, v in rows[::25]]
+    arrival = sorted(rows, key=lambda r: r[1] + rnd.randint(0, 20_000_000))
+    return feed(spark, str(tmp_path_factory.mktemp("jumbled")), arrival, pieces=4), rows
+
+
+@pytest.mark.parametrize("name", list(RULES))
+def test_rules_go_by_event_time(spark, jumbled, drain, name):
+    path, rows = jumbled
+    stream_rule, batch_rule = RULES[name]
+    batch = with_event_time(spark.createDataFrame(rows, SCHEMA), "us", "microseconds")
+    same(drain(stream_rule(stream(spark, path, "25 seconds"))), batch_rule(batch))
+
+
+def test_told_orders_leave_the_state(spark, tmp_path):
+    # from second 1: the watermark begins at 0, and rows at or behind it are late
+    rows = [(i, i * 1_000_000 + j, 2 * i + j, "pay" if j else "create", 0.0) for i in range(1, 201) for j in range(2)]
+    path = feed(spark, str(tmp_path / "paid"), rows)
+    told = live.order_match(stream(spark, path), ["k"], "ts", "id", kind("create"), kind("pay"), "5 seconds", remember="5 seconds")
+    query = run.to_parquet(told, fresh("paid"), str(tmp_path / "out"), every=None)
+    query.awaitTermination(120)
+    assert spark.read.schema(told.schema).parquet(str(tmp_path / "out")).where("msg = 'paid ok'").count() == 200
+    left = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert left[-1] < 10 < max(left), left
+
+
+def test_the_closing_row_ends_a_bounded_stream(spark, tmp_path):
+    path = feed(spark, str(tmp_path / "in"), ROWS, sentinel=False)
+    raw = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(path)
+    rows, close = run.closable(raw.withColumn("ts", F.timestamp_micros("us")), "ts", str(tmp_path / "closing"))
+    counts = windows.window_agg(rows.withWatermark("ts", "1 second"), "ts", "1 minute", n=F.count(F.lit(1)))
+    name, out = fresh("closing"), str(tmp_path / "out")
+    for last in (False, True):
+        if last:
+            close()
+        run.to_parquet(counts, name, out, every=None).awaitTermination(120)
+    batch = with_event_time(spark.createDataFrame(ROWS, SCHEMA), "us", "microseconds")
+    same(spark.read.schema(counts.schema).parquet(out), windows.window_agg(batch, "ts", "1 minute", n=F.count(F.lit(1))), None)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions.time import floor_micros, micros
 from tidegauge.operators.patterns import match_sequence
-from tidegauge.operators.timeline import DEFAULT_SLOT, SLOT, carry_last, in_slot, islands, with_slot
+from tidegauge.operators.timeline import DEFAULT_SLOT, SLOT, carry_last, in_slot, islands, on_timeline, with_slot
 
 # fixed values: wording of the warnings
 RISING_TEXT = "温度连续上升告警!"
@@ -65,12 +65,16 @@ def jump_alert(
 ) -> DataFrame:
     """Readings differing from the one before by more than ``threshold``: (key, last, current).
 
-    ``first_as_zero`` compares a key's first reading with 0.0 instead of passing it.
+    ``first_as_zero`` compares a key's first reading with 0.0 instead of passing it. A null reading
+    raises no alert, nor does the one after it; rows without key or time take no part.
     """
-    base = with_slot(df.select(key, ts, value, seq), ts, slot)
-    local = base.withColumn("__prev", F.lag(value).over(in_slot([key], F.col(ts), F.col(seq))))
-    joined = carry_last(local, [key], "__before", F.col(value), F.struct(ts, seq))
-    last = F.coalesce("__prev", "__before", *([F.lit(0.0)] if first_as_zero else []))
+    base = with_slot(on_timeline(df.select(key, ts, value, seq), [key], ts), ts, slot)
+    # in a struct, so that a null reading is not taken for no reading
+    reading = F.struct(F.col(value).alias("v"))
+    local = base.withColumn("__prev", F.lag(reading).over(in_slot([key], F.col(ts), F.col(seq))))
+    joined = carry_last(local, [key], "__before", reading, F.struct(ts, seq))
+    zero = F.struct(F.lit(0).cast(df.schema[value].dataType).alias("v"))
+    last = F.coalesce("__prev", "__before", *([zero] if first_as_zero else []))["v"]
     return (
         joined.withColumn("last_value", last)
         .where(F.abs(F.col(value) - F.col("last_value")) > threshold)

@@ -243,14 +243,13 @@ ORACLE: dict[str, str] = {
         SELECT 'word count' AS label, '(' || event_type || ',' || count(*) || ')' AS "value" FROM events GROUP BY event_type""",
 }
 
-# streams read to their end: the same answers, of windows only those the watermark has passed
-CLOSED = "window_end <= (SELECT max(ts) - INTERVAL 1 MILLISECOND FROM events{where})"
-CLOSED_VIEWS = CLOSED.format(where=" WHERE event_type = 'view'")
+# streams read to their end
+ORDER_KINDS = "'signup', 'purchase'"
 ORACLE |= {
-    "stream_page_view": f"SELECT window_end, pv FROM ({ORACLE['page_view']}) WHERE {CLOSED_VIEWS}",
-    "stream_unique_visitor": f"SELECT * FROM ({ORACLE['unique_visitor']}) WHERE {CLOSED_VIEWS}",
+    "stream_page_view": f"SELECT window_end, pv FROM ({ORACLE['page_view']})",
+    "stream_unique_visitor": ORACLE["unique_visitor"],
     "stream_uv_bitmap": ORACLE["uv_bitmap"],
-    "stream_hot_items": f"SELECT * FROM ({ORACLE['hot_items']}) WHERE {CLOSED.format(where='')}",
+    "stream_hot_items": ORACLE["hot_items"],
     "stream_temp_jump": ORACLE["temp_jump"],
     "stream_login_fail_pair": ORACLE["login_fail_pair"],
     "stream_ad_blacklist": f"""
@@ -258,21 +257,11 @@ ORACLE |= {
         FROM {CLICKS} WHERE rn <= 3""",
     "stream_pay_match": ORACLE["pay_match"],
     "stream_latest_per_key": ORACLE["latest_per_key"],
-}
-
-# an open burst, order or sequence is reported once the watermark has passed its end
-PASSED = "{end} < (SELECT max(ts) - INTERVAL 3 MILLISECOND FROM events WHERE event_type IN ({kinds}))"
-ORDER_KINDS = "'signup', 'purchase'"
-ORACLE |= {
-    "stream_login_fail_burst": f"""
-        SELECT b.* FROM ({ORACLE['login_fail_burst']}) b
-        WHERE EXISTS (SELECT 1 FROM events e WHERE e.user_id = b.user_id AND e.ts > b.last_fail)
-           OR {PASSED.format(end='b.first_fail + INTERVAL 12 HOUR', kinds="'click', 'error', 'purchase', 'signup', 'view'")}""",
+    "stream_login_fail_burst": ORACLE["login_fail_burst"],
     "stream_order_sequence": f"""
         SELECT user_id, create_id, CASE WHEN pay_ts < create_ts + INTERVAL 12 HOUR THEN pay_id END AS pay_id,
                CASE WHEN pay_ts < create_ts + INTERVAL 12 HOUR THEN 'match' ELSE 'timeout' END AS route
-        FROM {NEXT_PAY}
-        WHERE pay_ts IS NOT NULL OR {PASSED.format(end='create_ts + INTERVAL 12 HOUR', kinds=ORDER_KINDS)}""",
+        FROM {NEXT_PAY}""",
     "stream_order_status": f"""
         SELECT user_id, msg, CASE WHEN msg = 'paid ok' THEN 'main' ELSE 'side' END AS route FROM (
             SELECT *, CASE WHEN create_ts IS NULL OR pay_ts < create_ts THEN 'paid but not found create log'
@@ -280,7 +269,5 @@ ORACLE |= {
                            WHEN pay_ts < create_ts + INTERVAL 72 HOUR THEN 'paid ok' ELSE 'paid but timeout' END AS msg
             FROM (SELECT user_id, min(ts) FILTER (event_type = 'signup') AS create_ts,
                          min(ts) FILTER (event_type = 'purchase') AS pay_ts
-                  FROM events WHERE event_type IN ({ORDER_KINDS}) GROUP BY user_id))
-        WHERE create_ts IS NOT NULL AND pay_ts IS NOT NULL
-           OR {PASSED.format(end='coalesce(create_ts + INTERVAL 72 HOUR, pay_ts)', kinds=ORDER_KINDS)}""",
+                  FROM events WHERE event_type IN ({ORDER_KINDS}) GROUP BY user_id))""",
 }

@@ -34,30 +34,46 @@ def timed(rows: DataFrame) -> DataFrame:
     return with_event_time(rows, "ts", "timestamp")
 
 
-def finish(spark: SparkSession, name: str, start: Callable[[str, str], StreamingQuery]) -> str:
-    """Run a stream over all there is and return its output folder."""
+def finish(
+    spark: SparkSession, name: str, start: Callable[[str, str], StreamingQuery], close: Callable[[], None] | None = None
+) -> str:
+    """Run a stream over all there is, and with ``close`` to its end; its output folder."""
     unique = f"{name}-{uuid.uuid4().hex}"
     out = f"{checkpoint_dir(spark)}/results/{unique}"
     start(unique, out).awaitTermination()
+    if close:
+        close()
+        start(unique, out).awaitTermination()
     return out
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    spark = df.sparkSession
-    out = finish(spark, name, lambda unique, path: run.to_parquet(df, unique, path, every=None))
+def closing(rows: DataFrame, **values: str) -> tuple[DataFrame, Callable[[], None]]:
+    folder = f"{checkpoint_dir(rows.sparkSession)}/closing/{uuid.uuid4().hex}"
+    rows, close = run.closable(rows, "ts", folder, **values)
+    return timed(rows), close
+
+
+def stored(rows: DataFrame, name: str, plan: Callable[[DataFrame], DataFrame], **values: str) -> DataFrame:
+    """``plan`` over the stream ``rows`` and its closing row."""
+    spark = rows.sparkSession
+    rows, close = closing(rows, **values)
+    df = plan(rows)
+    out = finish(spark, name, lambda unique, path: run.to_parquet(df, unique, path, every=None), close)
     return spark.read.schema(df.schema).parquet(out)
 
 
 @query
 def stream_page_view(spark, sf_dir):
-    views = timed(events(spark, sf_dir).where(of_type("view")))
-    return stored(window_agg(views, "ts", "1 hour", pv=F.count(F.lit(1))).select("window_end", "pv"), "page_view")
+    def plan(views):
+        return window_agg(views, "ts", "1 hour", pv=F.count(F.lit(1))).select("window_end", "pv")
+
+    return stored(events(spark, sf_dir).where(of_type("view")), "page_view", plan)
 
 
 @query
 def stream_unique_visitor(spark, sf_dir):
-    views = timed(events(spark, sf_dir).where(of_type("view")))
-    return stored(windows.unique_count(views, "ts", "1 hour", "user_id"), "unique_visitor")
+    views = events(spark, sf_dir).where(of_type("view"))
+    return stored(views, "unique_visitor", lambda df: windows.unique_count(df, "ts", "1 hour", "user_id"))
 
 
 @query
@@ -76,7 +92,7 @@ def stream_uv_bitmap(spark, sf_dir):
 
 @query
 def stream_hot_items(spark, sf_dir):
-    seen = timed(events(spark, sf_dir).select("ts", F.col("user_id").alias("item_id")))
+    seen, close = closing(events(spark, sf_dir).select("ts", F.col("user_id").alias("item_id")))
     counts = window_agg(seen, "ts", "1 hour", "5 minutes", keys=["item_id"], count=F.count(F.lit(1)))
     out = finish(
         spark,
@@ -84,26 +100,34 @@ def stream_hot_items(spark, sf_dir):
         lambda unique, path: run.top_n_to_parquet(
             counts.drop("window_start"), unique, path, "window_end", "count", "item_id", 3, None
         ),
+        close,
     )
     return run.read_batches(spark, out).drop("batch")
 
 
 @query
 def stream_temp_jump(spark, sf_dir):
-    jumps = rules.jump_alert(timed(events(spark, sf_dir)), "user_id", "ts", "value", "event_id", 10.0)
-    return stored(jumps, "temp_jump").withColumnRenamed("seq", "event_id")
+    def plan(rows):
+        return rules.jump_alert(rows, "user_id", "ts", "value", "event_id", 10.0)
+
+    return stored(events(spark, sf_dir), "temp_jump", plan).withColumnRenamed("seq", "event_id")
 
 
 @query
 def stream_login_fail_pair(spark, sf_dir):
-    pairs = rules.fail_pair(timed(events(spark, sf_dir)), "user_id", "ts", "event_id", of_type("error"), "2 hours")
-    return stored(pairs, "login_fail_pair")
+    def plan(rows):
+        return rules.fail_pair(rows, "user_id", "ts", "event_id", of_type("error"), "2 hours")
+
+    return stored(events(spark, sf_dir), "login_fail_pair", plan)
 
 
 @query
 def stream_ad_blacklist(spark, sf_dir):
-    clicks = timed(events(spark, sf_dir).select("event_id", "ts", "user_id", F.col("event_type").alias("ad_id")))
-    return stored(rules.click_blacklist(clicks, ["user_id", "ad_id"], "ts", "event_id", 2), "ad_blacklist")
+    def plan(clicks):
+        return rules.click_blacklist(clicks, ["user_id", "ad_id"], "ts", "event_id", 2)
+
+    clicks = events(spark, sf_dir).select("event_id", "ts", "user_id", F.col("event_type").alias("ad_id"))
+    return stored(clicks, "ad_blacklist", plan)
 
 
 @query
@@ -112,7 +136,8 @@ def stream_pay_match(spark, sf_dir):
     pays, receipts = timed(rows.where(of_type("purchase"))), timed(rows.where(of_type("click")))
     pairs = windows.interval_join(pays, receipts, ["user_id"], "ts", "ts", "-30 minutes", "30 minutes")
     ids = pairs.select("user_id", F.col("left.event_id").alias("pay_id"), F.col("right.event_id").alias("receipt_id"))
-    return stored(ids, "pay_match")
+    out = finish(spark, "pay_match", lambda unique, path: run.to_parquet(ids, unique, path, every=None))
+    return spark.read.schema(ids.schema).parquet(out)
 
 
 @query
@@ -130,27 +155,28 @@ def stream_latest_per_key(spark, sf_dir):
 
 @query
 def stream_login_fail_burst(spark, sf_dir):
-    rows = timed(events(spark, sf_dir).select("user_id", "ts", "event_id", "event_type"))
-    bursts = rules.fail_burst(rows, "user_id", "ts", "event_id", of_type("error"), "12 hours", 2)
-    return stored(bursts, "login_fail_burst")
+    def plan(rows):
+        return rules.fail_burst(rows, "user_id", "ts", "event_id", of_type("error"), "12 hours", 2)
+
+    return stored(events(spark, sf_dir).select("user_id", "ts", "event_id", "event_type"), "login_fail_burst", plan)
 
 
 @query
 def stream_order_sequence(spark, sf_dir):
-    rows = events(spark, sf_dir).where(of_type("signup") | of_type("purchase"))
-    found = rules.followed_by(
-        timed(rows), ["user_id"], "ts", "event_id", of_type("signup"), of_type("purchase"), "12 hours"
-    )
-    ids = found.select(
-        "user_id", F.col("first_seq").alias("create_id"), F.col("second_seq").alias("pay_id"), "route"
-    )
-    return stored(ids, "order_sequence")
+    def plan(rows):
+        found = rules.followed_by(rows, ["user_id"], "ts", "event_id", of_type("signup"), of_type("purchase"), "12 hours")
+        create, pay = F.col("first_seq").alias("create_id"), F.col("second_seq").alias("pay_id")
+        return found.select("user_id", create, pay, "route")
+
+    return stored(events(spark, sf_dir).where(of_type("signup") | of_type("purchase")), "order_sequence", plan, event_type="signup")
 
 
 @query
 def stream_order_status(spark, sf_dir):
-    rows = events(spark, sf_dir).where(of_type("signup") | of_type("purchase"))
-    told = rules.order_match(
-        timed(rows), ["user_id"], "ts", "event_id", of_type("signup"), of_type("purchase"), "72 hours"
-    )
-    return stored(told, "order_status")
+    """A user counts as one order, so it is remembered as long as the table lasts."""
+
+    def plan(rows):
+        signup, purchase = of_type("signup"), of_type("purchase")
+        return rules.order_match(rows, ["user_id"], "ts", "event_id", signup, purchase, "72 hours", remember="36500 days")
+
+    return stored(events(spark, sf_dir).where(of_type("signup") | of_type("purchase")), "order_status", plan, event_type="signup")

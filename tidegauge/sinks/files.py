@@ -24,12 +24,17 @@ def labelled(df: DataFrame, label: str) -> DataFrame:
     return df.select(F.lit(label).alias("label"), "*")
 
 
-def show_labelled(df: DataFrame, label: str, rows: int = 20) -> StreamingQuery | None:
-    """Print under a label: a stream goes to the console sink, a table shows its first rows."""
-    tagged = labelled(df, label)
+def show_labelled(df: DataFrame, label: str) -> StreamingQuery | None:
+    """Print every row under a label, of a stream those of each micro-batch. Rows pass one partition
+    after the other, so the driver holds no more than one."""
+
+    def show(rows: DataFrame, _: int = 0) -> None:
+        for row in tuple_text(rows).toLocalIterator():
+            print(f"{label}> {row.value}")
+
     if df.isStreaming:
-        return tagged.writeStream.format("console").option("numRows", rows).outputMode("append").start()
-    tagged.show(rows, truncate=False)
+        return df.writeStream.outputMode("append").foreachBatch(show).start()
+    show(df)
     return None
 
 

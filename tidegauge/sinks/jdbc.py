@@ -38,7 +38,7 @@ def upsert_jdbc(
     """
     staging = f"{table}_staging"
     newest = latest_per_key(df, keys, order, values)
-    newest.coalesce(connections).write.mode("overwrite").jdbc(url, staging, properties=properties or {})
+    newest.repartition(connections).write.mode("overwrite").jdbc(url, staging, properties=properties or {})
     jvm = df.sparkSession._jvm
     info = jvm.java.util.Properties()
     for name, value in (properties or {}).items():

@@ -1,9 +1,10 @@
 """Keyed upsert tables: the stored value of a key is that of its latest row.
 
 Layout: ``<path>/gen=<n>/part=<p>/*.parquet``. Keys are split in parts by hash, and a merge writes
-the parts it touches as a new generation. Spark puts ``_SUCCESS`` into a generation when all of it is
-written; readers take each part from its newest generation that has one. Nothing is changed in place,
-so a merge that dies on the way leaves the table as it was.
+the parts it touches as a new generation. ``<path>/_parts`` says how many parts there are. Spark puts
+``_SUCCESS`` into a generation when all of it is written; readers take each part from its newest
+generation that has one. Nothing is changed in place, so a merge that dies on the way leaves the table
+as it was.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from tidegauge.operators.aggregates import latest_per_key
 
 PART = "part"
 GENERATION = "gen"
+PARTS = "_parts"
 
 
 def _glob(spark: SparkSession, pattern: str) -> tuple[list, object]:
@@ -47,6 +49,24 @@ def _stored(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.option("basePath", path).parquet(*newest) if newest else None
 
 
+def _parts(spark: SparkSession, path: str, wanted: int) -> int:
+    """How many parts the table has; a new table gets ``wanted``."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{PARTS}")
+    files = mark.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(mark):
+        stream = files.open(mark)
+        try:
+            return stream.readInt()
+        finally:
+            stream.close()
+    stream = files.create(mark, False)
+    try:
+        stream.writeInt(wanted)
+    finally:
+        stream.close()
+    return wanted
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     stored = _stored(spark, path)
     if stored is None:
@@ -61,9 +81,11 @@ def upsert_table(
 
     The batch shrinks to one row per key before anything is read; of the stored table only the
     parts the batch touches are read and written. The outcome depends on ``order`` alone, so
-    applying a batch twice changes nothing. One writer at a time.
+    applying a batch twice changes nothing. ``parts`` counts for a new table; one that is there keeps
+    its own number. One writer at a time.
     """
     spark = df.sparkSession
+    parts = _parts(spark, path, parts)
     kept = [*keys, *dict.fromkeys([*order, *values])]
     part = F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(parts)).cast("int")
     rest = [c for c in kept if c not in keys]

@@ -1,12 +1,16 @@
 """Keyed rules on streams with ``transformWithState``.
 
-State per key is a few numbers in the state store. Rows of one key within a micro-batch are put in
-(time, seq) order; between micro-batches, rows count as they arrive. Times travel as microseconds
-(``us``); timers are in milliseconds, rounded up so that they fire no earlier than due.
+Rows wait in state until the watermark has passed them and are then taken in (time, seq) order, so a
+rule's answer does not depend on the order of arrival within the watermark's delay. Beside the waiting
+rows, state per key is a few numbers. Rows without key or time take no part. Times travel as
+microseconds (``us``); timers are in milliseconds, rounded up so that they fire no earlier than due.
+
+``rising_alert`` measures processing time and looks at rows as they arrive.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -18,6 +22,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from tidegauge.functions.time import micros
 from tidegauge.operators import orders
 from tidegauge.operators.rules import RISING_TEXT
+from tidegauge.operators.timeline import on_timeline
 
 _DAY = 86_400_000_000
 
@@ -42,7 +47,7 @@ def _kinds(df: DataFrame, keys: Sequence[str]) -> str:
 
 
 def _prepare(df: DataFrame, keys: Sequence[str], ts: str, seq: str, **extra: Column) -> DataFrame:
-    return df.select(
+    return on_timeline(df, keys, ts).select(
         *keys,
         F.col(ts),
         F.unix_micros(F.col(ts)).alias("us"),
@@ -51,6 +56,10 @@ def _prepare(df: DataFrame, keys: Sequence[str], ts: str, seq: str, **extra: Col
     )
 
 
+def _flag(holds: Column) -> Column:
+    return F.coalesce(holds, F.lit(False))
+
+
 class _Keyed(StatefulProcessor):
     """Base: names of the key columns and how to build output rows."""
 
@@ -65,33 +74,74 @@ class _Keyed(StatefulProcessor):
         pass
 
 
-class _Jump(_Keyed):
+class _InOrder(_Keyed):
+    """Base of the rules that take a key's rows in order: ``take`` gets those the watermark has passed
+    since the last time, as (us, seq, *fields), and how far it is."""
+
+    fields = ""  # of a waiting row, besides us and seq
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("rows", f"us long, seq long{self.fields}")
+
+    def take(self, rows: list[tuple], passed: int) -> list[tuple]:
+        raise NotImplementedError
+
+    def wake(self, us: int) -> None:
+        """Have ``take`` called once the watermark is past ``us``."""
+        self.handle.registerTimer(_ms(us) + 1)
+
+    def handleInputRows(self, key, rows, timerValues):
+        names = ["us", "seq", *[f.split()[0] for f in self.fields.split(",")[1:]]]
+        for frame in rows:
+            self.waiting.appendList(list(frame[names].itertuples(index=False, name=None)))
+            self.wake(int(frame["us"].min()))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        rows = sorted(map(tuple, self.waiting.get()), key=lambda r: r[:2]) if self.waiting.exists() else []
+        n = bisect_right(rows, passed, key=lambda r: r[0])
+        if n == len(rows):
+            self.waiting.clear()
+        elif n:
+            self.waiting.put(rows[n:])
+            self.wake(rows[n][0])
+        yield from self.out(key, self.take(rows[:n], passed))
+
+
+class _Jump(_InOrder):
+    fields = ", value double"
+
     def __init__(self, key, threshold, first_as_zero):
         super().__init__([key], ["seq", "last_value", "value"])
         self.threshold, self.first_as_zero = threshold, first_as_zero
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
         self.last = handle.getValueState("last", "value double")
 
-    def handleInputRows(self, key, rows, timerValues):
-        batch = _ordered(rows)
-        value = batch["value"]
+    def take(self, rows, passed):
+        if not rows:
+            return []
+        _, seq, value = map(np.array, zip(*rows))
+        value = value.astype(float)  # a null reading is NaN and differs from nothing
         known = self.last.get()[0] if self.last.exists() else (0.0 if self.first_as_zero else np.nan)
-        before = np.concatenate(([known], value[:-1]))
+        before = np.concatenate(([known], value[:-1])).astype(float)
         jumped = np.abs(value - before) > self.threshold
         self.last.update((float(value[-1]),))
-        yield from self.out(key, list(zip(batch["seq"][jumped], before[jumped], value[jumped])))
+        return list(zip(seq[jumped], before[jumped], value[jumped]))
 
 
 def jump_alert(
     df: DataFrame, key: str, ts: str, value: str, seq: str, threshold: float = 10.0, first_as_zero: bool = False
 ) -> DataFrame:
-    rows = _prepare(df, [key], ts, seq, value=F.col(value))
+    rows = _prepare(df, [key], ts, seq, value=F.col(value).cast("double"))
     return rows.groupBy(key).transformWithStateInPandas(
         _Jump(key, threshold, first_as_zero),
         f"{_kinds(df, [key])}, seq long, last_value double, value double",
         "append",
-        "None",
+        "EventTime",
     )
 
 
@@ -141,41 +191,37 @@ def rising_alert(df: DataFrame, key: str, ts: str, value: str, seq: str, hold: s
     )
 
 
-class _Clicks(_Keyed):
+class _Clicks(_InOrder):
     def __init__(self, keys, max_count):
         super().__init__(keys, ["us", "seq", "route"])
         self.max_count = max_count
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.seen = handle.getMapState("seen", "day long", "clicks long")
-
-    def handleInputRows(self, key, rows, timerValues):
-        batch = _ordered(rows)
-        day, passed = batch["us"] // _DAY, []
-        for d in np.unique(day).tolist():
-            mine = np.flatnonzero(day == d)
-            clicks = self.seen.getValue((d,))[0] if self.seen.containsKey((d,)) else 0
-            if not clicks:
-                self.handle.registerTimer(_ms((d + 1) * _DAY))
-            rank = clicks + np.arange(1, len(mine) + 1)
-            routes = np.where(rank <= self.max_count, "main", "warning")
-            passed += [(batch["us"][i], batch["seq"][i], r) for i, r, n in zip(mine, routes, rank) if n <= self.max_count + 1]
+        super().init(handle)
+        self.seen = handle.getValueState("seen", "day long, clicks long")
+
+    def take(self, rows, passed):
+        held = tuple(self.seen.get()) if self.seen.exists() else None
+        day, clicks, routed = *(held or (None, 0)), []
+        for us, seq in rows:
+            if us // _DAY != day:
+                day, clicks = us // _DAY, 0
+            clicks += 1
+            if clicks <= self.max_count + 1:
+                routed.append((us, seq, "main" if clicks <= self.max_count else "warning"))
+        if day is None or (day + 1) * _DAY <= passed:
+            self.seen.clear()
+        elif rows:
             # past the limit the count only has to say that the warning went out
-            self.seen.updateValue((d,), (min(int(rank[-1]), self.max_count + 1),))
-        yield from self.out(key, passed)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        due = expiredTimerInfo.getExpiryTimeInMs()
-        for (d,) in list(self.seen.keys()):
-            if _ms((d + 1) * _DAY) <= due:
-                self.seen.removeKey((d,))
-        return iter(())
+            self.seen.update((day, min(clicks, self.max_count + 1)))
+            if not held or held[0] != day:
+                self.wake((day + 1) * _DAY)
+        return routed
 
 
 def click_blacklist(df: DataFrame, keys: Sequence[str], ts: str, seq: str, max_count: int = 100) -> DataFrame:
-    """(keys, ts, seq, route) of clicks let through and of the one that set off the warning; the
-    counters of a day are dropped once the watermark passes its midnight."""
+    """(keys, ts, seq, route) of clicks let through and of the one that set off the warning; a day's
+    counter is dropped once the watermark passes its midnight."""
     routed = (
         _prepare(df, keys, ts, seq)
         .groupBy(*keys)
@@ -186,47 +232,35 @@ def click_blacklist(df: DataFrame, keys: Sequence[str], ts: str, seq: str, max_c
     return routed.select(*keys, F.timestamp_micros("us").alias(ts), F.col("seq").alias(seq), "route")
 
 
-class _Burst(_Keyed):
+class _Burst(_InOrder):
+    fields = ", fail boolean"
+
     def __init__(self, key, gap, max_fails):
         super().__init__([key], ["first_us", "last_us", "fails"])
         self.gap, self.max_fails = gap, max_fails
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
+        super().init(handle)
         self.open = handle.getValueState("open", "first_us long, last_us long, fails long")
 
-    def handleInputRows(self, key, rows, timerValues):
-        batch = _ordered(rows)
+    def take(self, rows, passed):
         held = tuple(self.open.get()) if self.open.exists() else None
         burst, done = held, []
-        for us, fail in zip(batch["us"], batch["fail"]):
-            us = int(us)
+        for us, _, fail in rows:
             if burst and not (fail and us <= burst[0] + self.gap):
                 done.append(burst)
                 burst = None
             if fail:
-                burst = (burst[0], max(burst[1], us), burst[2] + 1) if burst else (us, us, 1)
-        if held and (not burst or burst[0] != held[0]):
-            self.handle.deleteTimer(self.due(held))
-        if burst:
-            if not held or burst[0] != held[0]:
-                self.handle.registerTimer(self.due(burst))
+                burst = (burst[0], us, burst[2] + 1) if burst else (us, us, 1)
+        if burst and burst[0] + self.gap <= passed:
+            done.append(burst)
+            burst = None
+        if burst and burst != held:
             self.open.update(burst)
-        elif held:
+            self.wake(burst[0] + self.gap)
+        elif held and not burst:
             self.open.clear()
-        yield from self.out(key, [b for b in done if b[2] >= self.max_fails])
-
-    def due(self, burst: tuple) -> int:
-        return _ms(burst[0] + self.gap) + 1
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        done = []
-        if self.open.exists():
-            burst = tuple(self.open.get())
-            if self.due(burst) <= expiredTimerInfo.getExpiryTimeInMs():
-                done = [burst]
-                self.open.clear()
-        yield from self.out(key, [b for b in done if b[2] >= self.max_fails])
+        return [b for b in done if b[2] >= self.max_fails]
 
 
 def fail_burst(
@@ -235,7 +269,7 @@ def fail_burst(
     """Bursts as in ``operators.rules.fail_burst``. The open burst is three numbers, not a list; a
     timer closes it when the watermark passes its end."""
     bursts = (
-        _prepare(df, [key], ts, seq, fail=is_fail)
+        _prepare(df, [key], ts, seq, fail=_flag(is_fail))
         .groupBy(key)
         .transformWithStateInPandas(
             _Burst(key, micros(gap), max_fails),
@@ -249,31 +283,39 @@ def fail_burst(
     )
 
 
-class _Pair(_Keyed):
+class _Pair(_InOrder):
+    fields = ", fail boolean"
+
     def __init__(self, key, gap):
         super().__init__([key], ["first_us", "last_us", "seq"])
         self.gap = gap
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
         self.last = handle.getValueState("last", "us long, fail boolean")
 
-    def handleInputRows(self, key, rows, timerValues):
-        batch = _ordered(rows)
-        us, fail = batch["us"], batch["fail"].astype(bool)
+    def take(self, rows, passed):
+        if not rows:
+            return []
+        us, seq, fail = map(np.array, zip(*rows))
         known = self.last.get() if self.last.exists() else (0, False)
         before_us = np.concatenate(([known[0]], us[:-1]))
-        before_fail = np.concatenate(([known[1]], fail[:-1]))
+        before_fail = np.concatenate(([known[1]], fail[:-1])).astype(bool)
         hit = fail & before_fail & (us - before_us < self.gap)
-        self.last.update((int(us[-1]), bool(fail[-1])))
-        yield from self.out(key, list(zip(before_us[hit], us[hit], batch["seq"][hit])))
+        if us[-1] + self.gap <= passed:
+            self.last.clear()  # nothing can follow in time
+        else:
+            self.last.update((int(us[-1]), bool(fail[-1])))
+            self.wake(int(us[-1]) + self.gap)
+        return list(zip(before_us[hit], us[hit], seq[hit]))
 
 
 def fail_pair(df: DataFrame, key: str, ts: str, seq: str, is_fail: Column, gap: str = "2 seconds") -> DataFrame:
     pairs = (
-        _prepare(df, [key], ts, seq, fail=is_fail)
+        _prepare(df, [key], ts, seq, fail=_flag(is_fail))
         .groupBy(key)
         .transformWithStateInPandas(
-            _Pair(key, micros(gap)), f"{_kinds(df, [key])}, first_us long, last_us long, seq long", "append", "None"
+            _Pair(key, micros(gap)), f"{_kinds(df, [key])}, first_us long, last_us long, seq long", "append", "EventTime"
         )
     )
     return pairs.select(
@@ -284,51 +326,46 @@ def fail_pair(df: DataFrame, key: str, ts: str, seq: str, is_fail: Column, gap:
     )
 
 
-class _Orders(_Keyed):
-    """One order: first create, first pay, and whether its outcome is out."""
+class _Orders(_InOrder):
+    """One order: first create, first pay, and what was said of it last."""
+
+    fields = ", create boolean, pay boolean"
 
-    def __init__(self, keys, threshold, disorder):
+    def __init__(self, keys, threshold, disorder, remember):
         super().__init__(keys, ["msg"])
-        self.threshold, self.disorder = threshold, disorder
+        self.threshold, self.disorder, self.remember = threshold, disorder, remember
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
+        super().init(handle)
         self.state = handle.getValueState("order", "create_us long, pay_us long, msg string")
 
-    def handleInputRows(self, key, rows, timerValues):
-        batch = _ordered(rows)
-        create, pay, msg = self.state.get() if self.state.exists() else (None, None, None)
-        knew = (create, pay)
-        creates, pays = batch["us"][batch["create"].astype(bool)], batch["us"][batch["pay"].astype(bool)]
-        if create is None and len(creates):
-            create = int(creates.min())
-        if pay is None and len(pays):
-            pay = int(pays.min())
-        told = []
+    def take(self, rows, passed):
+        held = tuple(self.state.get()) if self.state.exists() else (None, None, None)
+        create, pay, msg = held
+        for us, _, is_create, is_pay in rows:
+            create = us if create is None and is_create else create
+            pay = us if pay is None and is_pay else pay
+        if create is None and pay is None:
+            return []
+        due = create + self.threshold if create is not None else pay + self.disorder
+        said = None
         if create is not None and pay is not None and msg in (None, orders.UNPAID):
             if create - pay > self.disorder:
                 said = orders.NO_CREATE
             else:
                 said = orders.PAID if pay < create + self.threshold else orders.PAID_LATE
             # a payment after the alarm is reported late once more, never as paid in time
-            if msg is None or said == orders.PAID_LATE:
-                told.append((said,))
-                msg = said
-        elif msg is None and knew != (create, pay):
-            due = create + self.threshold if create is not None else pay + self.disorder
-            self.handle.registerTimer(_ms(due) + 1)
-        self.state.update((create, pay, msg))
-        yield from self.out(key, told)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        told = []
-        if self.state.exists():
-            create, pay, msg = self.state.get()
-            if msg is None:
-                msg = orders.NO_CREATE if create is None else orders.UNPAID
+            said = said if msg is None or said == orders.PAID_LATE else None
+        elif msg is None and due <= passed:
+            said = orders.NO_CREATE if create is None else orders.UNPAID
+        msg = said or msg
+        if msg is not None and due + self.remember <= passed:
+            self.state.clear()
+        else:
+            self.wake(due if msg is None else due + self.remember)
+            if (create, pay, msg) != held:
                 self.state.update((create, pay, msg))
-                told.append((msg,))
-        yield from self.out(key, told)
+        return [(said,)] if said else []
 
 
 def order_match(
@@ -340,106 +377,116 @@ def order_match(
     is_pay: Column,
     threshold: str = "120 seconds",
     disorder: str = "0 seconds",
+    remember: str = "30 days",
 ) -> DataFrame:
-    """Outcome per order as in ``operators.orders.order_match``, told as soon as it is known.
+    """Outcome per order as in ``operators.orders.order_match``, told once the watermark has passed what
+    decides it.
 
-    When the watermark passes the deadline of an unpaid order it is reported as timed out; should
-    a payment come later still, ``paid but timeout`` follows as a second row.
+    When the watermark passes the deadline of an unpaid order it is reported as timed out; should a
+    payment come later still, ``paid but timeout`` follows as a second row. An order is forgotten when
+    its outcome is told and the watermark is ``remember`` past its deadline; rows that come after that
+    begin a new one.
     """
     told = (
-        _prepare(df.where(is_create | is_pay), keys, ts, seq, create=is_create, pay=is_pay)
+        _prepare(df.where(is_create | is_pay), keys, ts, seq, create=_flag(is_create), pay=_flag(is_pay))
         .groupBy(*keys)
         .transformWithStateInPandas(
-            _Orders(keys, micros(threshold), micros(disorder)), f"{_kinds(df, keys)}, msg string", "append", "EventTime"
+            _Orders(keys, micros(threshold), micros(disorder), micros(remember)),
+            f"{_kinds(df, keys)}, msg string",
+            "append",
+            "EventTime",
         )
     )
     return told.withColumn("route", F.when(F.col("msg") == orders.PAID, "main").otherwise("side"))
 
 
-class _Warnings(_Keyed):
-    def __init__(self, keys, threshold):
+class _Warnings(_InOrder):
+    fields = ", create boolean, pay boolean"
+
+    def __init__(self, keys, threshold, remember):
         super().__init__(keys, ["msg"])
-        self.threshold = threshold
+        self.threshold, self.remember = threshold, remember
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("order", "create_us long, pay_us long")
-
-    def handleInputRows(self, key, rows, timerValues):
-        batch = _ordered(rows)
-        create, pay = self.state.get() if self.state.exists() else (None, None)
-        creates, pays = batch["us"][batch["create"].astype(bool)], batch["us"][batch["pay"].astype(bool)]
-        if pay is None and len(pays):
-            pay = int(pays.min())
-        if create is None and len(creates):
-            create = int(creates.min())
-            if pay is None or pay >= create:
-                self.handle.registerTimer(_ms(create + self.threshold) + 1)
-        self.state.update((create, pay))
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        create, pay = self.state.get()
-        paid = pay is not None and pay <= create + self.threshold
-        yield from self.out(key, [(orders.WARN_PAID if paid else orders.WARN_UNPAID,)])
+        super().init(handle)
+        self.state = handle.getValueState("order", "create_us long, pay_us long, told boolean")
+
+    def take(self, rows, passed):
+        held = tuple(self.state.get()) if self.state.exists() else (None, None, False)
+        create, pay, told = held
+        for us, _, is_create, is_pay in rows:
+            create = us if create is None and is_create else create
+            pay = us if pay is None and is_pay else pay
+        if create is None and pay is None:
+            return []
+        due, said = (create if create is not None else pay) + self.threshold, []
+        if not told and due <= passed:
+            told = True
+            if create is not None and (pay is None or pay >= create):
+                said = [(orders.WARN_PAID if pay is not None and pay <= due else orders.WARN_UNPAID,)]
+        if told and due + self.remember <= passed:
+            self.state.clear()
+        else:
+            self.wake(due + self.remember if told else due)
+            if (create, pay, told) != held:
+                self.state.update((create, pay, told))
+        return said
 
 
 def order_warning(
-    df: DataFrame, keys: Sequence[str], ts: str, seq: str, is_create: Column, is_pay: Column, threshold: str = "120 seconds"
+    df: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    seq: str,
+    is_create: Column,
+    is_pay: Column,
+    threshold: str = "120 seconds",
+    remember: str = "30 days",
 ) -> DataFrame:
+    """Warning per created order as in ``operators.orders.order_warning``, told when the watermark passes
+    the deadline. An order is forgotten ``remember`` later."""
     return (
-        _prepare(df.where(is_create | is_pay), keys, ts, seq, create=is_create, pay=is_pay)
+        _prepare(df.where(is_create | is_pay), keys, ts, seq, create=_flag(is_create), pay=_flag(is_pay))
         .groupBy(*keys)
         .transformWithStateInPandas(
-            _Warnings(keys, micros(threshold)), f"{_kinds(df, keys)}, msg string", "append", "EventTime"
+            _Warnings(keys, micros(threshold), micros(remember)), f"{_kinds(df, keys)}, msg string", "append", "EventTime"
         )
     )
 
 
-class _FollowedBy(_Keyed):
+class _FollowedBy(_InOrder):
+    fields = ", first boolean, second boolean"
+
     def __init__(self, keys, within):
         super().__init__(keys, ["first_us", "first_seq", "second_us", "second_seq", "route"])
         self.within = within
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.waiting = handle.getListState("waiting", "us long, seq long")
+        super().init(handle)
+        self.begun = handle.getListState("begun", "us long, seq long")
 
-    def handleInputRows(self, key, rows, timerValues):
-        batch = _ordered(rows)
-        waiting = [tuple(w) for w in self.waiting.get()] if self.waiting.exists() else []
-        known, done = set(waiting), []
-        for us, seq, first, second in zip(batch["us"], batch["seq"], batch["first"], batch["second"]):
-            us, seq = int(us), int(seq)
+    def take(self, rows, passed):
+        held = list(map(tuple, self.begun.get())) if self.begun.exists() else []
+        begun, done = list(held), []
+        for us, seq, first, second in rows:
             if second:
-                done += [
-                    (*w, us, seq, "match") if us - w[0] < self.within else (*w, None, None, "timeout") for w in waiting
-                ]
-                waiting = []
+                done += [(*b, us, seq, "match") if us - b[0] < self.within else (*b, None, None, "timeout") for b in begun]
+                begun = []
             if first:
-                waiting.append((us, seq))
-        for w in set(waiting) - known:
-            self.handle.registerTimer(_ms(w[0] + self.within))
-        if waiting:
-            self.waiting.put(waiting)
-        else:
-            self.waiting.clear()
-        yield from self.nullable(key, done)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        due = expiredTimerInfo.getExpiryTimeInMs()
-        waiting = [tuple(w) for w in self.waiting.get()] if self.waiting.exists() else []
-        late = [w for w in waiting if _ms(w[0] + self.within) <= due]
-        if late:
-            rest = [w for w in waiting if w not in late]
-            if rest:
-                self.waiting.put(rest)
-            else:
-                self.waiting.clear()
-        yield from self.nullable(key, [(*w, None, None, "timeout") for w in late])
+                begun.append((us, seq))
+        late = bisect_right(begun, passed - self.within, key=lambda b: b[0])
+        done += [(*b, None, None, "timeout") for b in begun[:late]]
+        begun = begun[late:]
+        if begun:
+            self.wake(begun[0][0] + self.within)
+            if begun != held:
+                self.begun.put(begun)
+        elif held:
+            self.begun.clear()
+        return done
 
-    def nullable(self, key, rows):
-        for frame in self.out(key, rows):
+    def out(self, key, rows):
+        for frame in super().out(key, rows):
             yield frame.astype({"second_us": "Int64", "second_seq": "Int64"})
 
 
@@ -449,7 +496,7 @@ def followed_by(
     """Two-step relaxed sequence with a timeout route. Starts wait in state no longer than
     ``within``."""
     found = (
-        _prepare(df.where(first | second), keys, ts, seq, first=first, second=second)
+        _prepare(df.where(first | second), keys, ts, seq, first=_flag(first), second=_flag(second))
         .groupBy(*keys)
         .transformWithStateInPandas(
             _FollowedBy(keys, micros(within)),

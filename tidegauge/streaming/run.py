@@ -5,16 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidegauge.operators import ranking
 from tidegauge.session import checkpoint_dir
 from tidegauge.sinks.files import write_documents
 from tidegauge.sinks.jdbc import upsert_jdbc
-from tidegauge.sinks.tables import upsert_table
+from tidegauge.sinks.tables import expire, upsert_table
 
 # fixed value: how often a long-running job checkpoints
 CHECKPOINT_EVERY = "60 seconds"
+CLOSING = "2200-01-01"  # later than any row's time
 
 
 def writer(df: DataFrame, name: str, mode: str = "append", every: str | None = CHECKPOINT_EVERY) -> DataStreamWriter:
@@ -28,6 +30,26 @@ def writer(df: DataFrame, name: str, mode: str = "append", every: str | None = C
     return stream.option("checkpointLocation", f"{checkpoint_dir(df.sparkSession)}/streams/{name}")
 
 
+def closable(rows: DataFrame, ts: str, folder: str, **values: str) -> tuple[DataFrame, Callable[[], None]]:
+    """``rows`` with a closing row to come from ``folder``, and the function that sends it.
+
+    A bounded stream ends with the watermark at its newest row, and what is open there is never told.
+    Call the function when the stream has read everything, and start it again from its checkpoint: the
+    closing row takes the watermark past all that is open. The watermark never passes that row itself,
+    so windows in append mode and ``streaming.rules`` leave it out of their results. ``values`` are those
+    of its columns by which a filter after this would drop it.
+    """
+    spark = rows.sparkSession
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(at)
+
+    def close() -> None:
+        row = [F.lit(CLOSING if c == ts else values.get(c, "0")).cast(t).alias(c) for c, t in rows.dtypes]
+        spark.range(0, 1, 1, 1).select(*row).write.mode("append").parquet(folder)
+
+    return rows.unionByName(spark.readStream.schema(rows.schema).parquet(folder)), close
+
+
 def to_parquet(df: DataFrame, name: str, path: str, every: str | None = CHECKPOINT_EVERY) -> StreamingQuery:
     return writer(df, name, "append", every).format("parquet").option("path", path).start()
 
@@ -68,9 +90,15 @@ def top_n_to_parquet(
 
 def to_upsert_table(
     df: DataFrame, name: str, path: str, keys: Sequence[str], order: Sequence[str], values: Sequence[str],
-    parts: int = 64, mode: str = "append", every: str | None = CHECKPOINT_EVERY,
+    parts: int = 64, mode: str = "append", every: str | None = CHECKPOINT_EVERY, keep: int = 2,
 ) -> StreamingQuery:
-    return each_batch(df, name, lambda batch, _: upsert_table(batch, path, keys, order, values, parts), mode, every)
+    """Merge each micro-batch; of a part, its ``keep`` newest generations stay for readers."""
+
+    def merge(batch: DataFrame, _: int) -> None:
+        upsert_table(batch, path, keys, order, values, parts)
+        expire(batch.sparkSession, path, keep)
+
+    return each_batch(df, name, merge, mode, every)
 
 
 def to_jdbc(
