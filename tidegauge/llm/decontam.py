@@ -16,7 +16,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -207,15 +207,19 @@ def _scanned(automaton, first: bool):
     return scan
 
 
-def _through(docs: DataFrame, benchmark: DataFrame, window: int, max_words: int) -> DataFrame:
-    """``docs`` with n_words, hits and items after all automata."""
-    spark, out = docs.sparkSession, None
+Step = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def _through(docs: DataFrame, benchmark: DataFrame, window: int, max_words: int, finish: Step, kind) -> DataFrame:
+    """``docs`` after all automata, with n_words, hits and items handed to ``finish`` (whose rows are of
+    ``kind``) in the Python worker that runs the last one."""
+    spark, source, scan = docs.sparkSession, docs, None
     kinds = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes) + ", n_words long, hits binary, items array<string>"
     for model in automata(benchmark, window, max_words):
-        first = out is None
-        source = docs if first else written(out, "hits")  # one automaton at a time in an executor
-        out = source.mapInArrow(_scanned(spark.sparkContext.broadcast(model), first), kinds)
-    return out
+        if scan is not None:
+            source = written(source.mapInArrow(scan, kinds), "hits")  # one automaton at a time in an executor
+        scan = _scanned(spark.sparkContext.broadcast(model), scan is None)
+    return source.mapInArrow(lambda batches: finish(scan(batches)), kind)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_words: int = 500_000) -> DataFrame:
@@ -226,7 +230,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
     Items with a null item_id hit words, but are not listed; rows that repeat an item_id are one item.
     Columns of ``docs`` other than doc_id and text are ignored.
     """
-    rows = _through(docs.select("doc_id", "text"), benchmark, window, max_words)
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -245,10 +248,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
                 names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "items"],
             )
 
-    return rows.drop("text").mapInArrow(
-        digests,
-        "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<string>",
-    )
+    kind = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<string>"
+    return _through(docs.select("doc_id", "text"), benchmark, window, max_words, digests, kind)
 
 
 def _without(text: bytes, hits: np.ndarray) -> bytes:
@@ -268,7 +269,7 @@ def decontaminate(
     """``docs`` without benchmark text. A document goes if more than ``max_coverage`` of its words are
     hit; from the others, the runs of hit words are cut out, so n_chars (where there is such a column)
     is the new length. Documents without hits stay as they are."""
-    rows, names = _through(docs, benchmark, window, max_words), docs.columns
+    names = docs.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -281,5 +282,5 @@ def decontaminate(
             columns = [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in names]
             yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(keep, pa.bool_()))
 
-    out = rows.mapInArrow(cut, docs.schema)
+    out = _through(docs, benchmark, window, max_words, cut, docs.schema)
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
