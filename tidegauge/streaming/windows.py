@@ -13,9 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions.hashing import masked_hash
-from tidegauge.functions.time import micros
+from tidegauge.functions.time import floor_micros, micros
 from tidegauge.operators.windows import event_window
 
+BUCKET = "__bucket"
+
 
 def unique_count(df: DataFrame, ts: str, size: str, user: str) -> DataFrame:
     """Exact distinct users per closed window (append mode): one state row per (window, user), then
@@ -64,15 +66,27 @@ def interval_join(
 
     The time bounds let Spark drop state neither side can match any more, and the slower input's
     watermark decides. ``full_outer`` emits a row without partner once its time has passed.
+
+    The inner join is on (keys, time bucket), with buckets as wide as the interval: a left row is in one,
+    a right row in the one or two it can match in, so a hot key's rows are spread and only meet rows near
+    them. The copies would each count as unmatched in an outer join, which is on the keys alone.
     """
     if how not in ("inner", "full_outer"):
         raise ValueError(f"unknown how {how!r}")
-    l, r = left.alias("l"), right.alias("r")
+    l, r, on = left, right, list(keys)
+    if how == "inner":
+        low, high, at = micros(lower), micros(upper), F.unix_micros(rts)
+        width = max(high - low, 1)
+        ends = floor_micros(at - high, width), floor_micros(at - low, width)
+        l = left.withColumn(BUCKET, floor_micros(F.unix_micros(lts), width))
+        r = right.withColumn(BUCKET, F.explode(F.sequence(*ends, F.lit(width))))
+        on.append(BUCKET)
+    l, r = l.alias("l"), r.alias("r")
     # literals, so that Spark can read the state bounds off the condition
     low, high = [F.lit(timedelta(microseconds=micros(d))) for d in (lower, upper)]
     lt, rt = F.col(f"l.{lts}"), F.col(f"r.{rts}")
     same = (rt >= lt + low) & (rt <= lt + high)
-    for k in keys:
+    for k in on:
         same = same & (F.col(f"l.{k}") == F.col(f"r.{k}"))
 
     def side(alias: str, df: DataFrame, ts: str):
