@@ -14,6 +14,11 @@ NEXT = "next"
 FOLLOWED_BY = "followed_by"
 
 
+def times(name: str, condition: Column, n: int) -> list[tuple[str, Column]]:
+    """Steps for ``n`` rows in turn that fit ``condition``, named ``name`` with 1 to ``n`` behind."""
+    return [(f"{name}{i + 1}", condition) for i in range(n)]
+
+
 def match_sequence(
     df: DataFrame,
     keys: Sequence[str],

@@ -20,6 +20,14 @@ def drop_static_urls(df: DataFrame, url: str = "url") -> DataFrame:
     return df.where(~F.col(url).rlike(f"({suffixes})$|^/$"))
 
 
+def drop_empty(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows that have all of ``columns``: neither null nor an empty text. Before a join on ids it keeps
+    the rows without one from meeting under one hot key."""
+    for name in columns:
+        df = df.where(F.col(name) != "")
+    return df
+
+
 def route(df: DataFrame, branches: Mapping[str, Column], name: str = "routes") -> DataFrame:
     """Add the array of tags whose condition holds; a row may take several routes."""
     tags = F.array(*[F.when(cond, F.lit(tag)) for tag, cond in branches.items()])

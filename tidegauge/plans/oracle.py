@@ -192,6 +192,16 @@ ORACLE: dict[str, str] = {
         UNION ALL
         SELECT 'unmatched receipt', user_id, event_id FROM events
         WHERE event_type = 'click' AND event_id NOT IN (SELECT r.event_id FROM {PAIRS})""",
+    "pay_match_ids": f"""
+        SELECT 't' || p.user_id AS trx_id, p.event_id AS pay_id, r.event_id AS receipt_id
+        FROM (SELECT * FROM events WHERE {K} % 5 <> 0) p JOIN (SELECT * FROM events WHERE {K} % 5 <> 0) r
+        ON p.user_id = r.user_id AND r.ts BETWEEN p.ts - INTERVAL 6 HOUR AND p.ts + INTERVAL 6 HOUR
+        WHERE p.event_type = 'purchase' AND r.event_type = 'click'""",
+    "login_fail_times": f"""
+        SELECT user_id, event_id AS first_id, last_id FROM (
+            SELECT *, lead(event_type) OVER {ORDERED} AS second_type, lead(event_type, 2) OVER {ORDERED} AS last_type,
+                   lead(event_id, 2) OVER {ORDERED} AS last_id, lead(ts, 2) OVER {ORDERED} AS last_ts FROM events)
+        WHERE event_type = 'error' AND second_type = 'error' AND last_type = 'error' AND last_ts < ts + INTERVAL 7 DAY""",
     "split_streams": f"SELECT event_id, value, routes FROM {ROUTED}",
     "union_streams": f"""
         SELECT event_id, user_id, value FROM {ROUTED}
@@ -256,6 +266,12 @@ ORACLE |= {
         SELECT user_id, ad_id, ts, event_id, CASE WHEN rn <= 2 THEN 'main' ELSE 'warning' END AS route
         FROM {CLICKS} WHERE rn <= 3""",
     "stream_pay_match": ORACLE["pay_match"],
+    "stream_pay_unmatched": ORACLE["pay_unmatched"],
+    "stream_hot_urls": ORACLE["hot_urls"],
+    "stream_order_warning": f"SELECT user_id, day, msg FROM ({ORACLE['order_paid_warning']})",
+    "stream_ad_by_geo": f"""
+        SELECT {text_time('window_end')} AS window_end, province, "count"
+        FROM ({sliding(GOOD_CLICKS, 'province', HOUR, 5 * MINUTE)})""",
     "stream_latest_per_key": ORACLE["latest_per_key"],
     "stream_login_fail_burst": ORACLE["login_fail_burst"],
     "stream_order_sequence": f"""

@@ -60,7 +60,11 @@ PATHS = ("/static/{k}.css", "/favicon.ico", "/img/{k}.png", "/") + ("/{type}/{k}
 
 def access_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events written as access-log lines."""
-    rows = events(spark, sf_dir).withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    return as_access_lines(events(spark, sf_dir))
+
+
+def as_access_lines(rows: DataFrame) -> DataFrame:
+    rows = rows.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
     path = F.element_at(F.array(*[F.lit(p) for p in PATHS]), F.col("k") % len(PATHS) + 1)
     path = F.replace(F.replace(path, F.lit("{k}"), F.col("k").cast("string")), F.lit("{type}"), F.col("event_type"))
     user = F.col("user_id").cast("string")
@@ -303,6 +307,16 @@ def three_step_sequence(spark, sf_dir):
     )
 
 
+@query
+def login_fail_times(spark, sf_dir):
+    rows = events(spark, sf_dir).select("user_id", "ts", "event_id", "event_type")
+    steps = patterns.times("fail", of_type("error"), 3)
+    found = patterns.match_sequence(rows, ["user_id"], "ts", "event_id", steps, "7 days", columns=["event_id", "ts"])
+    return found.where("route = 'match'").select(
+        "user_id", F.col("fail1.event_id").alias("first_id"), F.col("fail3.event_id").alias("last_id")
+    )
+
+
 def _daily_orders(spark, sf_dir):
     return events(spark, sf_dir).select("user_id", F.date_format("ts", "yyyy-MM-dd").alias("day"), "ts", "event_type")
 
@@ -333,6 +347,17 @@ def pay_match(spark, sf_dir):
     return pairs.select("user_id", F.col("left.event_id").alias("pay_id"), F.col("right.event_id").alias("receipt_id"))
 
 
+@query
+def pay_match_ids(spark, sf_dir):
+    """Payments and receipts by transaction id; those without one match nothing."""
+    known = F.get_json_object("props", "$.k").cast("int") % 5 != 0
+    trx = F.when(known, F.concat(F.lit("t"), F.col("user_id").cast("string"))).otherwise("")
+    rows = routing.drop_empty(events(spark, sf_dir).select("event_id", "ts", "event_type", trx.alias("trx_id")), "trx_id")
+    pays, receipts = [rows.where(of_type(kind)).drop("event_type") for kind in ("purchase", "click")]
+    pairs = joins.interval_join(pays, receipts, ["trx_id"], "ts", "ts", "-6 hours", "6 hours")
+    return pairs.select("trx_id", F.col("left.event_id").alias("pay_id"), F.col("right.event_id").alias("receipt_id"))
+
+
 @query
 def pay_unmatched(spark, sf_dir):
     pays, receipts = _pays_and_receipts(spark, sf_dir)

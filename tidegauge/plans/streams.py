@@ -12,12 +12,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
+from tidegauge.functions.time import epoch_text
+from tidegauge.operators import ranking, routing
 from tidegauge.operators.windows import window_agg, with_event_time
-from tidegauge.plans.queries import of_type, query
+from tidegauge.plans.queries import as_access_lines, of_type, query
 from tidegauge.plans.tables import SCHEMAS
 from tidegauge.session import SETTINGS, checkpoint_dir
 from tidegauge.sinks.tables import read_table
+from tidegauge.sources import parse
 from tidegauge.streaming import rules, run, windows
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
@@ -53,13 +57,19 @@ def closing(rows: DataFrame, **values: str) -> tuple[DataFrame, Callable[[], Non
     return timed(rows), close
 
 
-def stored(rows: DataFrame, name: str, plan: Callable[[DataFrame], DataFrame], **values: str) -> DataFrame:
-    """``plan`` over the stream ``rows`` and its closing row."""
-    spark = rows.sparkSession
+def written(
+    rows: DataFrame, name: str, plan: Callable[[DataFrame], DataFrame], **values: str
+) -> tuple[str, StructType]:
+    """``plan`` over the stream ``rows`` and its closing row: output folder and schema."""
     rows, close = closing(rows, **values)
     df = plan(rows)
-    out = finish(spark, name, lambda unique, path: run.to_parquet(df, unique, path, every=None), close)
-    return spark.read.schema(df.schema).parquet(out)
+    out = finish(rows.sparkSession, name, lambda unique, path: run.to_parquet(df, unique, path, every=None), close)
+    return out, df.schema
+
+
+def stored(rows: DataFrame, name: str, plan: Callable[[DataFrame], DataFrame], **values: str) -> DataFrame:
+    out, schema = written(rows, name, plan, **values)
+    return rows.sparkSession.read.schema(schema).parquet(out)
 
 
 @query
@@ -121,13 +131,50 @@ def stream_login_fail_pair(spark, sf_dir):
     return stored(events(spark, sf_dir), "login_fail_pair", plan)
 
 
+def _clicks(spark, sf_dir):
+    return events(spark, sf_dir).select("event_id", "ts", "user_id", F.col("event_type").alias("ad_id"))
+
+
+def _blacklist(clicks):
+    return rules.click_blacklist(clicks, ["user_id", "ad_id"], "ts", "event_id", 2)
+
+
 @query
 def stream_ad_blacklist(spark, sf_dir):
-    def plan(clicks):
-        return rules.click_blacklist(clicks, ["user_id", "ad_id"], "ts", "event_id", 2)
+    return stored(_clicks(spark, sf_dir), "ad_blacklist", _blacklist)
 
-    clicks = events(spark, sf_dir).select("event_id", "ts", "user_id", F.col("event_type").alias("ad_id"))
-    return stored(clicks, "ad_blacklist", plan)
+
+@query
+def stream_ad_by_geo(spark, sf_dir):
+    """A second stream counts the clicks let through, from the files of the first. A batch of those
+    holds rows that one move of the first watermark passed, so batches come in time order."""
+
+    def plan(good):
+        return window_agg(good, "ts", "1 hour", "5 minutes", keys=["province"], count=F.count(F.lit(1))).select(
+            epoch_text(F.col("window_end")).alias("window_end"), "province", "count"
+        )
+
+    out, schema = written(_clicks(spark, sf_dir), "ad_clicks", _blacklist)
+    good = spark.readStream.schema(schema).parquet(out).where("route = 'main'")
+    return stored(good.select("ts", F.col("ad_id").alias("province")), "ad_by_geo", plan)
+
+
+@query
+def stream_hot_urls(spark, sf_dir):
+    """Counts leave with each batch and rows late by up to a minute still correct them; the table keeps
+    each window's newest count, and the ranking is taken from it."""
+    visits = routing.drop_static_urls(parse.parse_access_log(as_access_lines(events(spark, sf_dir))))
+    visits = with_event_time(visits, "ts", "timestamp", delay="1 second", lateness="1 minute")
+    counts = window_agg(visits, "ts", "1 hour", "5 minutes", keys=["url"], count=F.count(F.lit(1)))
+    out = finish(
+        spark,
+        "hot_urls",
+        lambda unique, path: run.to_upsert_table(
+            counts, unique, path, ["window_end", "url"], ["count"], ["count"], 8, "update", None
+        ),
+    )
+    newest = read_table(spark, out).select("window_end", "url", "count")
+    return ranking.top_n(newest, "window_end", "count", "url", 3)
 
 
 @query
@@ -140,6 +187,25 @@ def stream_pay_match(spark, sf_dir):
     return spark.read.schema(ids.schema).parquet(out)
 
 
+@query
+def stream_pay_unmatched(spark, sf_dir):
+    rows = events(spark, sf_dir).select("user_id", "event_id", "ts", "event_type")
+    (pays, end_pays), (receipts, end_receipts) = [closing(rows.where(of_type(kind))) for kind in ("purchase", "click")]
+    outer = windows.interval_join(pays, receipts, ["user_id"], "ts", "ts", "-30 minutes", "30 minutes", "full_outer")
+    alone = outer.where("left is null or right is null").select(
+        F.when(F.col("right").isNull(), "unmatched pay").otherwise("unmatched receipt").alias("kind"),
+        "user_id",
+        F.coalesce("left.event_id", "right.event_id").alias("event_id"),
+    )
+
+    def close():
+        end_pays()
+        end_receipts()
+
+    out = finish(spark, "pay_unmatched", lambda unique, path: run.to_parquet(alone, unique, path, every=None), close)
+    return spark.read.schema(alone.schema).parquet(out)
+
+
 @query
 def stream_latest_per_key(spark, sf_dir):
     rows = timed(events(spark, sf_dir).select("user_id", "event_id", "ts", "value"))
@@ -171,6 +237,16 @@ def stream_order_sequence(spark, sf_dir):
     return stored(events(spark, sf_dir).where(of_type("signup") | of_type("purchase")), "order_sequence", plan, event_type="signup")
 
 
+@query
+def stream_order_warning(spark, sf_dir):
+    def plan(rows):
+        daily = rows.withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+        return rules.order_warning(daily, ["user_id", "day"], "ts", "event_id", of_type("signup"), of_type("purchase"), "4 hours")
+
+    rows = events(spark, sf_dir).select("user_id", "event_id", "ts", "event_type")
+    return stored(rows.where(of_type("signup") | of_type("purchase")), "order_warning", plan, event_type="signup")
+
+
 @query
 def stream_order_status(spark, sf_dir):
     """A user counts as one order, so it is remembered as long as the table lasts."""
