@@ -129,6 +129,26 @@ def test_main_text(spark):
     assert html_main.main_text(pages.limit(0)).count() == 0
 
 
+def test_every_page_is_a_neighbour(spark):
+    menu, notice = "<div>Home news</div>", "<div>We use biscuits</div>"
+    rows = [
+        (1, "http://h/a/1", menu + "<div>own one</div>" + notice),
+        (2, "http://h/a/2", "<nav>Home news</nav><article>two</article><div class='cookie'>We use biscuits</div>"),
+        (3, "http://i/1", menu + "<div>own three</div>"), (4, "http://i/1", menu + "<div>own three</div>"),
+        (5, "http://i/1", menu + "<div>own three</div>"), (6, "http://i/2", None), (7, "http://i/3", menu + "<div>own seven</div>"),
+        (8, "http://j/1", menu), (9, "http://j/2", menu),
+    ]
+    want = {1: ("own one", 2), 2: ("two", 0), 6: ("", 0), 7: ("own seven", 1), 8: ("Home news", 0), 9: ("Home news", 0)}
+    want |= dict.fromkeys((3, 4, 5), ("own three", 1))
+    for tasks in (1, 9):
+        spark.conf.set("spark.sql.shuffle.partitions", tasks)
+        try:
+            found = html_main.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", 4)
+        assert {r.page_id: (r.text, r.n_shared) for r in found} == want
+
+
 def test_warc(spark):
     big = "é" * 600
     rows = [(1, "u\r\n1", big), (2, "u2", big), (3, None, None), (4, "u4", "x"), (5, "u5", "x"), (None, "u6", big)]

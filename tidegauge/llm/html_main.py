@@ -8,7 +8,8 @@ Differencing alone is wrong in two ways: an article's own lines may stand on a n
 menus, notices or adverts may differ from page to page. So markup that says what a block is decides
 first: blocks inside an article or main element stay, blocks in navigation, headers, footers, asides,
 forms, adverts, notices or comments go. Differencing decides the rest, the blocks that no markup
-classifies, and pairs pages that have such blocks. Only those pages are moved and sorted.
+classifies. It aligns all lines of all pages, whatever markup says of them, by their hashes; neighbours
+with the very same lines are passed over. Texts are moved only of pages that have undecided blocks.
 """
 
 from __future__ import annotations
@@ -162,13 +163,13 @@ def common_lines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return keep
 
 
-PARSED = "page_id long, url string, host string, path string, open boolean, roles binary, lines array<string>"
+PARSED = "page_id long, url string, host string, path string, roles binary, hashes binary, lines array<string>"
 
 
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Roles and hashes of all lines, texts of those that may stay."""
     for batch in small_batches(batches, "html"):
-        pages = (blocks(page or "") for page in batch.column("html").to_pylist())
-        found = [[b for b in page if b[0] != SITE] for page in pages]
+        found = [blocks(page or "") for page in batch.column("html").to_pylist()]
         places = [place(u) for u in batch.column("url").to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [
@@ -176,108 +177,143 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 batch.column("url"),
                 pa.array([h for h, _ in places], pa.string()),
                 pa.array([p for _, p in places], pa.string()),
-                pa.array([any(r == UNKNOWN for r, _ in f) for f in found], pa.bool_()),
                 pa.array([bytes(r for r, _ in f) for f in found], pa.binary()),
-                pa.array([[t for _, t in f] for f in found], pa.list_(pa.string())),
+                pa.array([_hashed([t for _, t in f]).tobytes() for f in found], pa.binary()),
+                pa.array([[t for r, t in f if r != SITE] for f in found], pa.list_(pa.string())),
             ],
-            names=["page_id", "url", "host", "path", "open", "roles", "lines"],
+            names=["page_id", "url", "host", "path", "roles", "hashes", "lines"],
         )
 
 
-def _open_lines(row: dict) -> list[str]:
-    """The lines that differencing is to decide on."""
-    return [t for r, t in zip(row["roles"], row["lines"]) if r == UNKNOWN]
+# a page in the order of URLs: (host, path, hashes of its lines as bytes)
+Place = tuple[str, str, bytes]
+
+
+def _places(batch: pa.RecordBatch) -> Iterator[Place]:
+    return zip(*(batch.column(c).to_pylist() for c in ("host", "path", "hashes")))
 
 
 def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A partition's first and last page, as (part, last, host, path, hashes of undecided lines)."""
-    first = last = part = None
+    """A partition's first and last page (nth 0), and those nearest to them of other content (nth 1)."""
+    first: list[Place] = []
+    last: list[Place] = []
+    part = None
     for batch in batches:
-        if batch.num_rows:
-            rows = batch.slice(0, 1).to_pylist() if first is None else []
-            first, part = (rows[0], rows[0]["part"]) if rows else (first, part)
-            last = batch.slice(batch.num_rows - 1).to_pylist()[0]
-    if first is not None:
-        yield pa.RecordBatch.from_pylist(
-            [
-                {"part": part, "last": end, "host": r["host"], "path": r["path"], "hashes": _hashed(_open_lines(r)).tobytes()}
-                for end, r in ((False, first), (True, last))
-            ],
-            schema=pa.schema(
-                [("part", pa.int32()), ("last", pa.bool_()), ("host", pa.string()), ("path", pa.string()), ("hashes", pa.binary())]
-            ),
-        )
+        for page in _places(batch):
+            if len(first) < 2 and (not first or page[2] != first[0][2]):
+                first.append(page)
+            last = [page, *(last[:1] if last and last[0][2] != page[2] else last[1:])]
+        part = batch.column("part")[0].as_py() if batch.num_rows else part
+    rows = [(part, end, n, *page) for end, pages in ((False, first), (True, last)) for n, page in enumerate(pages)]
+    if rows:
+        kinds = (pa.int32(), pa.bool_(), pa.int32(), pa.string(), pa.string(), pa.binary())
+        columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
+        yield pa.RecordBatch.from_arrays(columns, names=["part", "last", "nth", "host", "path", "hashes"])
+
+
+def _beyond(parts: list[int], ends: dict[int, list[Place]]) -> dict[int, list[Place]]:
+    """By partition, in the order of ``parts``: the nearest page of those before it, and the nearest of other
+    content than that one's. ``ends`` has the same two of a partition's own pages."""
+    out, carried = {}, []
+    for p in parts:
+        out[p] = carried
+        carried = [*ends[p], *(x for x in carried if x[2] != ends[p][0][2])][:2]
+    return out
 
 
-def _near(row: tuple, other: tuple | None) -> int:
+def _near(page: Place, other: Place | None) -> int:
     """How much of the path two pages of one host share; -1 for pages of different hosts or none."""
-    return len(commonprefix([row[1], other[1]])) if other and other[0] == row[0] else -1
+    return len(commonprefix([page[1], other[1]])) if other and other[0] == page[0] else -1
 
 
-def _differenced(edges: dict[int, tuple[tuple | None, tuple | None]]):
-    """``edges``: by partition, (host, path, hashes) of the page before its first and after its last."""
+def _differenced(before: dict[int, list[Place]], after: dict[int, list[Place]]):
+    """Flags of the lines that a page shares with its nearest neighbour of other content, by row."""
 
-    def result(row: dict, here: tuple, before: tuple | None, after: tuple | None) -> tuple:
-        left, right = _near(here, before), _near(here, after)
-        other = before if left >= right else after
-        shared = common_lines(here[2], other[2]) if max(left, right) >= 0 else np.zeros(len(here[2]), bool)
-        drop, lines = iter(shared.tolist()), []
-        for role, line in zip(row["roles"], row["lines"]):
-            if role == OWN or (role == UNKNOWN and not next(drop)):
-                lines.append(line)
-        text = "\n".join(lines)
-        return row["page_id"], row["url"], text, len(text), int(shared.sum())
+    def told(run: list[tuple[int, bool, Place]], left: Place | None, right: Place | None) -> Iterator[tuple[int, bytes]]:
+        """A run of pages of equal content, and the pages before and after it."""
+        here, flags = run[0][2][2], {}
+        for row, open_, page in run:
+            near = (_near(page, left), _near(page, right))
+            if open_ and max(near) >= 0:
+                side = int(near[0] < near[1])
+                if side not in flags:
+                    other = (left, right)[side][2]
+                    flags[side] = common_lines(np.frombuffer(here, np.uint64), np.frombuffer(other, np.uint64)).tobytes()
+                yield row, flags[side]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, kinds = ["page_id", "url", "text", "n_chars", "n_shared"], [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64()]
-        before = row = here = after = None
-        out = []
-        for batch in small_batches(batches, "path", 1 << 14):
-            for new in batch.to_pylist():
-                mine = (new["host"], new["path"], _hashed(_open_lines(new)))
-                if row is None:
-                    before, after = edges[new["part"]]
-                else:
-                    out.append(result(row, here, before, mine))
-                    before = here
-                row, here = new, mine
+        run, left, part, out = [], None, None, []
+        for batch in small_batches(batches, "hashes"):
+            for row, open_, number, page in zip(*(batch.column(c).to_pylist() for c in ("row", "open", "part")), _places(batch)):
+                if not run:
+                    part = number
+                    left = next((x for x in before[part] if x[2] != page[2]), None)
+                elif run[0][2][2] != page[2]:
+                    out += told(run, left, page)
+                    left, run = run[-1][2], []
+                run.append((row, open_, page))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=["row", "shared"])
                 out = []
-        if row is not None:
-            last = [result(row, here, before, after)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*last), kinds)], names=names)
+        out = list(told(run, left, next((x for x in after[part] if x[2] != run[0][2][2]), None))) if run else []
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=["row", "shared"])
 
     return scan
 
 
+def _chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts of pages with undecided lines: their own lines, and those undecided that are not shared."""
+    for batch in batches:
+        texts, gone = [], []
+        for roles, lines, shared in zip(*(batch.column(c).to_pylist() for c in ("roles", "lines", "shared"))):
+            left = [(r, s) for r, s in zip(roles, shared or bytes(len(roles))) if r != SITE]
+            drop = [r == UNKNOWN and s for r, s in left]
+            texts.append("\n".join(t for t, d in zip(lines, drop) if not d))
+            gone.append(sum(map(bool, drop)))
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("page_id"),
+                batch.column("url"),
+                pa.array(texts, pa.string()),
+                pa.array([len(t) for t in texts], pa.int64()),
+                pa.array(gone, pa.int64()),
+            ],
+            names=["page_id", "url", "text", "n_chars", "n_shared"],
+        )
+
+
 def main_text(pages: DataFrame) -> DataFrame:
     """Per row of ``pages`` (page_id, url, html): page_id, url, text, n_chars, n_shared (undecided lines
     that went as shared). Blocks are joined by line feeds; pages without text have an empty one. Null
     html is empty; null or unreadable URLs share one host without name. Among pages of equal host and
-    path, the smaller page_id comes first (null before all); rows that repeat a page are neighbours, so
-    that their undecided lines go.
+    path, the smaller page_id comes first (null before all). Neighbours without lines, or with the same
+    lines as the page, tell nothing and are passed over.
     """
     spark = pages.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parsed = written(pages.select("page_id", "url", "html").mapInArrow(_parsed, PARSED), "lines")
+    parsed = pages.select("page_id", "url", "html").mapInArrow(_parsed, PARSED)
+    parsed = written(parsed.withColumn("row", F.monotonically_increasing_id()), "lines")
+    parsed = parsed.withColumn("open", F.hex("roles").rlike(f"^(?:..)*0{UNKNOWN}"))
     text = F.concat_ws("\n", "lines")
     decided = parsed.where(~F.col("open")).select(
         "page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"), F.lit(0).cast("long").alias("n_shared")
     )
-    rows = parsed.where("open").repartitionByRange(tasks, "host", "path", "page_id")
-    rows = rows.sortWithinPartitions("host", "path", "page_id").withColumn("part", F.spark_partition_id()).checkpoint()
-    # two pages of each partition, by which neighbours find each other across partitions
-    ends = rows.select("part", "host", "path", "roles", "lines").mapInArrow(
-        _ends, "part int, last boolean, host string, path string, hashes binary"
+    # every page with lines is a neighbour, whatever markup decides of it; only hashes of lines are moved
+    order = ["host", "path", "page_id", "row"]
+    rows = parsed.where("length(hashes) > 0").select(*order, "open", "hashes").repartitionByRange(tasks, *order)
+    rows = rows.sortWithinPartitions(*order).withColumn("part", F.spark_partition_id()).checkpoint()
+    # four pages of each partition, by which neighbours find each other across partitions
+    ends = rows.select("part", "host", "path", "hashes").mapInArrow(
+        _ends, "part int, last boolean, nth int, host string, path string, hashes binary"
     )
-    found = {(r["part"], r["last"]): (r["host"], r["path"], np.frombuffer(r["hashes"], np.uint64)) for r in ends.collect()}
-    parts = sorted({p for p, _ in found})
-    edges = {
-        p: (found[parts[i - 1], True] if i else None, found[parts[i + 1], False] if i + 1 < len(parts) else None)
-        for i, p in enumerate(parts)
-    }
-    kinds = "page_id long, url string, text string, n_chars long, n_shared long"
-    return decided.union(rows.mapInArrow(_differenced(edges), kinds))
+    found: dict[bool, dict[int, list[Place]]] = {False: {}, True: {}}
+    for r in sorted(ends.collect(), key=lambda r: r["nth"]):
+        found[r["last"]].setdefault(r["part"], []).append((r["host"], r["path"], bytes(r["hashes"])))
+    parts = sorted(found[True])
+    scan = _differenced(_beyond(parts, found[True]), _beyond(parts[::-1], found[False]))
+    shared = rows.select("row", "open", "part", "host", "path", "hashes").mapInArrow(scan, "row long, shared binary")
+    open_ = parsed.where("open").select("row", "page_id", "url", "roles", "lines").join(shared, "row", "left").drop("row")
+    return decided.union(open_.mapInArrow(_chosen, "page_id long, url string, text string, n_chars long, n_shared long"))
