@@ -98,6 +98,27 @@ def test_personal(docs):
     assert pii.redact("mail x@a.b now", "email:5:10") == "mail [email] now"
 
 
+def test_rare_generators_are_not_switched_off(spark):
+    rows = [(i, f"the number +1 ({200 + i % 700}) 555-{1000 + i} and 4041894974608795 of it") for i in range(600)]
+    rows += [(i, f"we sold lot {i}38271 and chose x{i}a7b6c5d4e3f2a1") for i in range(600, 900)]
+    rows += [(i, f"write to some{i} [at] host{i} [dot] org now") for i in range(900, 912)]
+    rows += [(i, f"my phone (555) 123-{i} is new, my ssn 123-45-{i} too") for i in range(1000, 1006)]
+    rows += [(i, f"see order 5551{i} of date 2024-01-15") for i in range(1100, 1130)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kinds = {r.doc_id: [s.split(":")[0] for s in r.spans.split(",") if s] for r in pii.find_personal(docs, pii.train(docs)).collect()}
+    assert all(kinds[i] == ["contact"] for i in range(900, 912))
+    assert all(kinds[i] == ["number", "number"] for i in range(1000, 1006))
+    assert not any(kinds[i] for i in range(600, 900)) and not any(kinds[i] for i in range(1100, 1130))
+
+
+def test_numbers_are_labelled_by_context():
+    said = {"call (555) 123-4567 now": 1, "SSN: 123-45-6789": 1, "order 5551234567": 0, "on 2024-01-15": 0, "ab5551234567": 0}
+    said |= {"so (555) 123-4567": None, "card 1234567812345678": 0, "sum of 5551234567 x": 0, "it is 98765432": 0}
+    for text, want in said.items():
+        (g, a, b), *_ = [p for p in pii.proposals(text) if p[0] == 1]
+        assert pii.teacher(text, [], g, a, b) == want, text
+
+
 @pytest.mark.parametrize("train, score", [(quality.train, quality.quality_scores), (toxicity.train, toxicity.toxicity_scores)])
 def test_classifiers(docs, labels, train, score):
     for known in (labels, labels.limit(0)):

@@ -3,10 +3,11 @@
 Spans of the four base kinds (email, ip, card, phone) are found by their formats and always reported.
 Beyond these, high-recall generators propose overlapping spans: obfuscated addresses, runs of digits,
 mixed tokens, values after a credential's name. Boosted trees score a proposal by its format and its
-context. They learn from a bounded sample of proposals in which base spans and credentials of known
-formats stand for personal data, and malformed look-alikes and other tokens for the rest. On a held-out
-part of the sample, each generator gets the lowest threshold whose proposals above it, base spans left
-aside, reach ``PRECISION``; a generator that cannot reach it adds nothing.
+context. They learn from a bounded sample of proposals, dealt evenly over generators, classes and what
+touches a base span or does not. In it base spans, credentials of known formats and numbers after a word
+such as "phone" stand for personal data, malformed look-alikes and other tokens for the rest. Histograms
+of the scores of all labelled proposals that touch no base span then give each generator the lowest
+threshold above which they reach ``PRECISION``, or else the lowest above which none of them is left.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,14 +24,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.boosting import Boosted, boost
+from tidegauge.llm.boosting import Boosted, boost, sigmoid
 from tidegauge.llm.common import small_batches
 
 KINDS = ("email", "ip", "card", "phone")
 ADDED = ("contact", "number", "token", "secret")  # kinds of the generators
 SAMPLE = 20_000  # proposals that a model is fitted on, at most
 PRECISION = 0.98
-LEAST = 10  # positives that a threshold needs on the held-out part
+BINS, STEP = 500, 0.02  # of a histogram of log odds, from 0 (a score of 0.5)
+DRAWS = 1 << 56  # draws are smaller
 
 # fixed values: formats of the base kinds
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -49,7 +52,14 @@ _SECRET = re.compile(r"([A-Za-z_-]{2,20})\s?[=:]\s?[\"']?([^\s\"']{6,})")
 # credentials whose format is public: key ids, service tokens, and what follows such names
 _KNOWN = re.compile(r"(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abpr]-[A-Za-z0-9-]{10,}|sk-[A-Za-z0-9]{20,}")
 _NAMES = ("password", "passwd", "pwd", "token", "secret", "key", "api", "auth")
-_CUES = ("call", "phone", "tel", "mail", "contact", "card", "account", "ssn", "id", "ip", "user", "login")
+# words before a number that tell of a person, or of something else
+_CUES = re.compile(
+    r"\b(?:(calls?|phone|telephone|tel|mobile|cell|fax|mail|contact|card|account|acct|iban|ssn|social security|passport|"
+    r"ip|user|login|id)|(order|invoice|ref|reference|isbn|issn|doi|version|pages?|chapter|section|article|item|sku|"
+    r"serial|build|year|date|total|price|sum|usd|eur))\b"
+)
+_DATE = re.compile(r"[0-9]{4}([-/.])[0-9]{1,2}\1[0-9]{1,2}\b.*|[0-9]{1,2}([-/.])[0-9]{1,2}\2[0-9]{4}", re.S)
+_PERSONAL = re.compile(r"\(?[0-9]{3}\)?[\x20.-]?[0-9]{3}[\x20.-][0-9]{4}|[0-9]{3}-[0-9]{2}-[0-9]{4}")  # local phones, ssn
 
 
 def luhn(digits: str) -> bool:
@@ -119,6 +129,14 @@ def proposals(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
+def cue(before: str) -> tuple[int, str]:
+    """What the last telling word of a number's (lower-case) context says: 1 a person's, -1 not, 0 nothing."""
+    last = None
+    for last in _CUES.finditer(before):
+        pass
+    return (1 if last[1] else -1, last[0]) if last else (0, "")
+
+
 def features(text: str, generator: int, start: int, end: int) -> list[float]:
     """Format and context of a span."""
     span, n = text[start:end], end - start
@@ -133,7 +151,7 @@ def features(text: str, generator: int, start: int, end: int) -> list[float]:
         generator, n, digits, digits / n, upper / n, lower / n, n - digits - upper - lower, entropy, changes,
         max((len(p) for p in re.split("[^0-9]+", span)), default=0), span.count("."), span.count("-"), span.count(" "),
         float(span[0] == "+"), float("(" in span), float("@" in span or "(at)" in span),
-        float(any(w in before for w in _NAMES)), float(any(w in before for w in _CUES)),
+        float(any(w in before for w in _NAMES)), cue(before)[0],
         float(before[-1:] in "=:\"'" and before != ""), float(text[end : end + 1].isalnum()),
         float(text[start - 1 : start].isalnum()) if start else 0.0, sum(c in "aeiou" for c in span.lower()) / n,
     ]
@@ -148,64 +166,122 @@ def teacher(text: str, base: list[tuple[int, int]], generator: int, start: int,
         return 1
     if generator == 0:
         return 1
+    if generator == 1:
+        return _number(text, start, end)
     if generator == 3 or text[:start].rstrip("\"' =:")[-12:].lower().endswith(_NAMES):
         name = text[max(0, start - 26) : start].rstrip("\"' =:").lower()
         return int(name.endswith(_NAMES))
     return 0
 
 
+def _number(text: str, start: int, end: int) -> int | None:
+    """Label of a number that touches no base span, by its context."""
+    span = text[start:end]
+    if text[max(0, start - 1) : start].isalnum() or text[end : end + 1].isalnum() or _DATE.fullmatch(span):
+        return 0  # cut out of a token, or a date
+    digits = re.sub("[^0-9]", "", span)
+    said, word = cue(text[max(0, start - 24) : start].lower())
+    if said > 0:
+        return int(word != "card" or luhn(digits))
+    if text[:start].rstrip("\"' =:")[-12:].lower().endswith(_NAMES):
+        return 1
+    return None if said == 0 and _PERSONAL.fullmatch(span) else 0
+
+
 @dataclass
 class Model:
     trees: Boosted
     thresholds: list  # by generator; above 1 adds nothing
 
 
-def fit(rows: np.ndarray, y: np.ndarray, novel: np.ndarray) -> Model:
-    """Trees on two thirds of the rows, thresholds on those of the rest that are ``novel`` (touch no base
-    span). ``rows`` come in a random order."""
-    if len(y) < 3 * LEAST or len(np.unique(y)) < 2:
-        return Model(boost(np.zeros((0, 1)), np.zeros(0)), [2.0] * len(ADDED))
-    held = np.arange(len(y)) % 3 == 0
-    trees = boost(rows[~held], y[~held], trees=25)
-    score, thresholds = trees.score(rows[held]), []
-    for g in range(len(ADDED)):
-        mine = (rows[held][:, 0] == g) & novel[held]
-        order = np.argsort(-score[mine], kind="stable")
-        hits = np.cumsum(y[held][mine][order])
-        good = np.flatnonzero((hits >= LEAST) & (hits >= PRECISION * np.arange(1, len(order) + 1)))
-        thresholds.append(max(float(score[mine][order][good[-1]]), 0.5) if len(good) else 2.0)
-    return Model(trees, thresholds)
+def threshold(hits: np.ndarray, misses: np.ndarray) -> float:
+    """The lowest score of at least 0.5 above which ``PRECISION`` of the proposals, counted by bin, are hits;
+    if there is none, the lowest above which there are no proposals."""
+    above, wrong = np.cumsum(hits[::-1])[::-1], np.cumsum(misses[::-1])[::-1]
+    good = np.flatnonzero((above + wrong == 0) | (above >= PRECISION * (above + wrong)))
+    return float(sigmoid(np.array(good[0] * STEP))) if len(good) else 2.0
+
+
+# generator, class, and whether a proposal touches no base span
+Kind = tuple[int, int, bool]
+KIND = {"generator": pa.int32(), "y": pa.int32(), "novel": pa.bool_()}
+KIND_SCHEMA = "generator int, y int, novel boolean"
 
 
-EXAMPLES = "draw long, y int, novel boolean, features array<double>"
+def _labelled(batch: pa.RecordBatch) -> Iterator[tuple[Kind, int, tuple[str, int, int, int]]]:
+    """(kind, draw, proposal) of the labelled proposals of a batch."""
+    for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+        found = proposals(text or "")
+        base = [s for spans in base_spans(text).values() for s in spans] if found else []
+        for g, a, b in found:
+            y = teacher(text, base, g, a, b)
+            if y is not None:
+                draw = hashlib.blake2b(f"{key}:{g}:{a}:{text[a:b]}".encode(), digest_size=7).digest()
+                novel = not any(p < b and a < q for p, q in base)
+                yield (g, y, novel), int.from_bytes(draw, "big"), (text, g, a, b)
 
 
-def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _table(rows: list[tuple], **kinds: pa.DataType) -> Iterator[pa.RecordBatch]:
+    if rows:
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds.values())], names=list(kinds))
+
+
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Numbers of labelled proposals by kind: generator, class and whether they touch no base span."""
+    seen: Counter = Counter()
     for batch in small_batches(batches, "text"):
-        rows = []
-        for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-            found = proposals(text or "")
-            base = [s for spans in base_spans(text).values() for s in spans] if found else []
-            for g, a, b in found:
-                y = teacher(text, base, g, a, b)
-                if y is not None:
-                    draw = hashlib.blake2b(f"{key}:{g}:{a}:{text[a:b]}".encode(), digest_size=7).digest()
-                    novel = not any(p < b and a < q for p, q in base)
-                    rows.append((int.from_bytes(draw, "big"), y, novel, features(text, g, a, b)))
-        if rows:
-            kinds = (pa.int64(), pa.int32(), pa.bool_(), pa.list_(pa.float64()))
-            columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
-            yield pa.RecordBatch.from_arrays(columns, names=["draw", "y", "novel", "features"])
+        seen.update(kind for kind, *_ in _labelled(batch))
+    yield from _table([(*kind, n) for kind, n in seen.items()], **KIND, n=pa.int64())
+
+
+def _examples(below: dict[Kind, int]):
+    """Proposals whose draw is ``below`` that of their kind."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, "text"):
+            rows = [(*kind, draw, features(*p)) for kind, draw, p in _labelled(batch) if draw < below[kind]]
+            yield from _table(rows, **KIND, draw=pa.int64(), features=pa.list_(pa.float64()))
+
+    return scan
+
+
+def _histogram(trees: Boosted):
+    """Numbers of labelled proposals that touch no base span, by generator, class and bin of the score."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter = Counter()
+        for batch in small_batches(batches, "text"):
+            rows = [(kind, p) for kind, _, p in _labelled(batch) if kind[2]]
+            if rows:
+                margin = trees.margin(np.array([features(*p) for _, p in rows]))
+                bins = np.minimum(np.floor(margin / STEP), BINS - 1).astype(int).tolist()
+                seen.update((g, y, k) for ((g, y, _), _), k in zip(rows, bins) if k >= 0)
+        yield from _table([(*k, n) for k, n in seen.items()], generator=pa.int32(), y=pa.int32(), bin=pa.int32(), n=pa.int64())
+
+    return scan
 
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
-    """A model from at most ``sample`` proposals of either class, those with the smallest draws."""
-    found = docs.select("doc_id", "text").mapInArrow(_examples, EXAMPLES)
-    ranked = found.select("y", F.struct("draw", "novel", "features").alias("row"))
-    part = [ranked.where(F.col("y") == y).orderBy("row.draw").limit(sample // 2).select("y", "row.*") for y in (0, 1)]
-    rows = sorted((r["draw"], r["y"], r["novel"], r["features"]) for r in part[0].union(part[1]).collect())
-    _, y, novel, x = zip(*rows) if rows else ((),) * 4
-    return fit(np.array(x, float), np.array(y, float), np.array(novel, bool))
+    """Trees from at most ``sample`` proposals, as many of each kind, those with the smallest draws; thresholds
+    from all proposals. Without labelled proposals nothing is added."""
+    texts = docs.select("doc_id", "text")
+    counts = texts.mapInArrow(_counts, f"{KIND_SCHEMA}, n long").groupBy(*KIND).agg(F.sum("n").alias("n"))
+    most = max(sample // (3 * len(ADDED)), 1)  # what touches a base span has one class only
+    near = most + 6 * math.isqrt(most) + 10  # so many have smaller draws than the bound, about
+    below = {tuple(r[k] for k in KIND): DRAWS * min(near, r["n"]) // r["n"] for r in counts.collect()}
+    if not below:
+        return Model(boost(np.zeros((0, 1)), np.zeros(0)), [2.0] * len(ADDED))
+    drawn = texts.mapInArrow(_examples(below), f"{KIND_SCHEMA}, draw long, features array<double>").collect()
+    by: dict[Kind, list] = {}
+    for r in sorted(drawn, key=lambda r: (r["draw"], r["features"])):
+        by.setdefault(tuple(r[k] for k in KIND), []).append(r["features"])
+    rows = [(f, k[1]) for k in sorted(by) for f in by[k][:most]]
+    trees = boost(np.array([f for f, _ in rows], float), np.array([y for _, y in rows], float), trees=25)
+    binned = texts.mapInArrow(_histogram(trees), "generator int, y int, bin int, n long").groupBy("generator", "y", "bin")
+    seen = np.zeros((len(ADDED), 2, BINS), np.int64)
+    for r in binned.agg(F.sum("n").alias("n")).collect():
+        seen[r["generator"], r["y"], r["bin"]] = r["n"]
+    return Model(trees, [threshold(hits, misses) for misses, hits in seen])
 
 
 def added_spans(text: str, base: dict[str, list[tuple[int, int]]], model: Model) -> list[tuple[int, int, int]]:
