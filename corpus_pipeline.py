@@ -37,9 +37,14 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents of the target mix, with n_tokens and epochs, how often each is read."""
+    # rows of equal doc_id (or none) and levels are drawn alike
+    key = ["__id", *(f"__{c}" for c in LEVELS)]
+    number = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("__id")
     drawn = mixing.mix(with_domain(docs), LEVELS, WEIGHTS, SHARE, EPOCHS, SEED)
-    drawn = drawn.groupBy("doc_id").agg(F.max("n_tokens").alias("n_tokens"), F.max("epochs").alias("epochs"))
-    return docs.join(drawn, "doc_id").select(*docs.columns, "n_tokens", "epochs")
+    drawn = drawn.select(number, *[F.col(c).alias(f"__{c}") for c in LEVELS], "epochs").distinct()
+    levels = [F.coalesce(F.col(c).cast("string"), F.lit(mixing.NONE)).alias(f"__{c}") for c in LEVELS]
+    rows = with_domain(docs).select(*docs.columns, mixing.n_words().alias("n_tokens"), number, *levels)
+    return rows.join(drawn, key).select(*docs.columns, "n_tokens", "epochs")
 
 
 STAGES = [

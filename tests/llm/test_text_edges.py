@@ -5,8 +5,10 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tidegauge.llm import decontam, exact_dedup, html_main, mixing, near_dedup, pii, quality, substrings, toxicity, warc
 from tidegauge.llm.common import shared_dir
+from tidegauge.llm.queries import EPOCHS, LEVELS, SEED, SHARE, WEIGHTS, with_domain
 
 LONG = " ".join(f"word{i % 977} x{i}" for i in range(60_000))
 ROWS = [
@@ -57,6 +59,25 @@ def test_near(docs):
     assert near_dedup.near_dedup(docs).columns == docs.columns
 
 
+def test_stages_with_null_and_repeated_ids(spark):
+    one, two, three = (" ".join(f"{w}{i}" for i in range(40)) for w in "abc")
+    rows = [
+        (1, one, "en", "s", 1), (None, one + " more", "en", "s", 1), (None, two, "en", "s", 1), (None, two + " more", "de", "s", 1),
+        (2, three, "en", "s", 1), (2, three + " more", "en", "s", 1), (2, "other words", "fr", None, 1), (None, "", "en", "s", 0),
+        (None, None, "en", "s", 0), (2, three, "en", "s", 1),
+    ]
+    docs = spark.createDataFrame(rows, SCHEMA.replace("`size`", "n_chars"))
+    kept = [(r.doc_id, (r.text or "")[:2]) for r in near_dedup.near_dedup(docs, 5, 80, 100).collect()]
+    assert sorted(kept, key=str) == sorted([(1, "a0"), (None, "b0"), (2, "c0"), (2, "ot"), (None, ""), (None, "")], key=str)
+    drawn = mixing.mix(with_domain(docs), LEVELS, WEIGHTS, SHARE, EPOCHS, SEED).collect()
+    mixed = corpus_pipeline.mixing_stage(spark, docs, None).collect()
+
+    def seen(found):
+        return sorted(((r.doc_id, r.lang, r.n_tokens, r.epochs) for r in found), key=str)
+
+    assert seen(mixed) == seen(drawn) and any(r.doc_id is None for r in mixed)
+
+
 def test_contamination(spark, docs):
     items = [(1, "A b, c!"), (2, "x y"), (3, None), (None, "one"), (1, "a b c"), (9, " ".join("abcdefghijkl"))]
     bench = spark.createDataFrame(items, "item_id long, text string")

@@ -39,8 +39,9 @@ def _sets(batches: Iterator[pa.RecordBatch], words: int):
         yield batch, sets, [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
 
 
-def _digests(words: int):
-    """A row per document, and the task's counters of shingles in rows of their own."""
+def _digests(words: int, marked: bool):
+    """A row per document (with its mark, if they have one), and the task's counters of shingles in rows of
+    their own."""
 
     def scan(batches):
         counts = np.zeros(1 << BITS, np.int64)
@@ -55,16 +56,17 @@ def _digests(words: int):
                     pa.array([s[:SKETCH].tobytes() for s in sets], pa.binary()),
                     pa.nulls(n, pa.int32()),
                     pa.nulls(n, pa.binary()),
+                    *([batch.column("mark")] if marked else []),
                 ],
-                names=["doc_id", "class", "size", "sketch", "chunk", "counts"],
+                names=["doc_id", "class", "size", "sketch", "chunk", "counts", *(["mark"] if marked else [])],
             )
         if counts.any():
             parts = [counts[i : i + CHUNK].tobytes() for i in range(0, len(counts), CHUNK)]
             n = len(parts)
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()),
-                 pa.array(range(n), pa.int32()), pa.array(parts, pa.binary())],
-                names=["doc_id", "class", "size", "sketch", "chunk", "counts"],
+                 pa.array(range(n), pa.int32()), pa.array(parts, pa.binary()), *([pa.nulls(n, pa.binary())] if marked else [])],
+                names=["doc_id", "class", "size", "sketch", "chunk", "counts", *(["mark"] if marked else [])],
             )
 
     return scan
@@ -224,19 +226,15 @@ def _full_sets(words: int):
     return scan
 
 
-def near_groups(docs: DataFrame, words: int = 5, part: int = 80, whole: int = 100) -> DataFrame:
-    """Each row's component of documents linked by ``whole`` * intersection >= ``part`` * union of their
-    sets of ``words``-word shingles.
-
-    Result: doc_id, n_shingles, component_id (smallest doc_id reachable), kept (doc_id = component_id).
-    Documents without words are linked with nothing. Rows with a null doc_id take part; they get their
-    component's smallest doc_id, null if it has none, and are kept in that case only. Rows that repeat
-    a doc_id are linked by their texts, not by the id.
-    """
+def _grouped(docs: DataFrame, words: int, part: int, whole: int) -> DataFrame:
+    """Each row's doc_id, n_shingles, class (null without words), root and component_id, both null with class;
+    and its mark, if ``docs`` (doc_id, text) has one."""
+    marked = "mark" in docs.columns
     spark = docs.sparkSession
     texts = docs.select("doc_id", "text")
-    found = written(texts.mapInArrow(_digests(words), DIGESTS), "shingles")
-    rows = found.where("chunk is null").select("doc_id", "class", "size")
+    digests = docs.mapInArrow(_digests(words, marked), DIGESTS + ", mark binary" * marked)
+    found = written(digests, "shingles")
+    rows = found.where("chunk is null").select("doc_id", "class", F.col("size").alias("n_shingles"), *["mark"] * marked)
     rarity = spark.sparkContext.broadcast(_rarity(found))  # 2^BITS bytes
     known = found.where("class is not null").groupBy("class")
     known = known.agg(F.min("doc_id").alias("first_id"), F.min("sketch").alias("sketch"))
@@ -277,19 +275,38 @@ def near_groups(docs: DataFrame, words: int = 5, part: int = 80, whole: int = 10
     roots = nodes.join(comps, "node", "left").withColumn("root", F.coalesce("root", "node"))
     roots = written(roots.select("class", "first_id", "root"), "roots")
     smallest = roots.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = roots.join(smallest, "root").select("class", "component_id")
-    out = rows.join(named, "class", "left")
+    named = roots.join(smallest, "root").select("class", "root", "component_id")
+    return rows.join(named, "class", "left")
+
+
+def near_groups(docs: DataFrame, words: int = 5, part: int = 80, whole: int = 100) -> DataFrame:
+    """Each row's component of documents linked by ``whole`` * intersection >= ``part`` * union of their
+    sets of ``words``-word shingles.
+
+    Result: doc_id, n_shingles, component_id (smallest doc_id reachable), kept (doc_id = component_id).
+    Documents without words are linked with nothing. Rows with a null doc_id take part; they get their
+    component's smallest doc_id, null if it has none, and are kept in that case only. Rows that repeat
+    a doc_id are linked by their texts, not by the id.
+    """
+    out = _grouped(docs.select("doc_id", "text"), words, part, whole)
     component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select(
         "doc_id",
-        F.col("size").alias("n_shingles"),
+        "n_shingles",
         component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),
     )
 
 
 def near_dedup(docs: DataFrame, words: int = 5, part: int = 80, whole: int = 100) -> DataFrame:
-    """``docs`` with one document of each group of near duplicates: the one of the smallest doc_id. Rows
-    without doc_id stay where their group has no other."""
-    stays = near_groups(docs, words, part, whole).where("kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("__id"))
-    return docs.withColumn("__id", F.coalesce("doc_id", F.lit(NO_ID))).join(stays, "__id", "left_semi").drop("__id")
+    """``docs`` with one row of each group of near duplicates: one of the smallest doc_id, or without doc_id
+    if no row of the group has one. Of rows that share that doc_id, the one of the smallest mark (a digest
+    of all columns) stays. All rows without words stay."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    mark = F.concat(F.md5(F.coalesce("text", F.lit(""))), F.to_json(F.struct(F.col("text").isNull().alias("none"), *others)))
+    docs = docs.withColumn("__mark", F.unhex(F.md5(mark)))
+    rows = _grouped(docs.select("doc_id", "text", F.col("__mark").alias("mark")), words, part, whole)
+    wordless = rows.where("class is null").select(F.col("mark").alias("__mark"))
+    first = rows.where("class is not null and doc_id <=> component_id").groupBy("root").agg(F.min("mark").alias("__mark"))
+    out = docs.join(first.select("__mark"), "__mark", "left_semi").dropDuplicates(["__mark"])
+    return out.unionByName(docs.join(wordless, "__mark", "left_semi")).drop("__mark")
