@@ -171,6 +171,20 @@ def test_main_text(spark):
     assert html_main.main_text(pages.limit(0)).count() == 0
 
 
+def test_implied_end_tags():
+    def own(page):
+        return [t for r, t in html_main.blocks(f"<article>{page}</article>") if r == html_main.OWN]
+
+    assert own("<p class='share'>x<p>y</p><p>z</p>") == ["y", "z"]
+    assert own("<p class='share'>x<div>y</div>z") == ["y", "z"]
+    assert own("<ul><li class='share'>x<li>y<ul><li class='ad'>a</ul>b</ul>c") == ["y", "b", "c"]
+    assert own("<dl><dt class='ad'>x<dd>y<dt>z</dl>") == ["y", "z"]
+    assert own("<table><tr><td class='ad'>x<td>y<tr class='ad'><td>a<tr><td>z</table>") == ["y", "z"]
+    assert own("<div class='ad'><p>x<p>y<ul><li>a</ul></div><p>z") == ["z"]
+    assert own("<button><p class='ad'>x</p></button><p>y<hr>z") == ["y", "z"]
+    assert html_main.blocks("<head><title>t</title><body><p>x") == [(html_main.UNKNOWN, "x")]
+
+
 def test_every_page_is_a_neighbour(spark):
     menu, notice = "<div>Home news</div>", "<div>We use biscuits</div>"
     rows = [

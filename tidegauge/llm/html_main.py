@@ -40,6 +40,16 @@ BLOCKS = {
     "td", "tfoot", "th", "thead", "tr", "ul",
 }
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
+# elements that a start tag closes without their end tags: which, and what stands between them and it at most
+CLOSE_P = (BLOCKS | VOID & {"hr"}) - {"body", "caption", "html", "tbody", "td", "tfoot", "th", "thead", "tr"}
+P_SCOPE = {"button", "caption", "html", "object", "table", "td", "template", "th"}
+ITEM = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}}
+ITEM_SCOPE = (BLOCKS | AWAY | MAIN) - {"address", "div", "p"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+SECTIONS = {"tbody", "tfoot", "thead"}
+TABLE = {"td": {"tr", "table", *SECTIONS}, "th": {"tr", "table", *SECTIONS}, "tr": {"table", *SECTIONS}}
+TABLE |= dict.fromkeys([*SECTIONS, "caption"], {"table"})
+IN_HEAD = {"base", "basefont", "bgsound", "link", "meta", "noframes", "noscript", "script", "style", "template", "title"}
 # words of class, id and role attributes that tell what is not the page's own text
 _AWAY_NAME = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu|breadcrumbs?|sidebar|footer|header|masthead|"
@@ -71,12 +81,38 @@ def _role(name: str, attributes: str) -> int:
     return OWN if name in MAIN else UNKNOWN
 
 
+def _closed(name: str, names: list[str]) -> int:
+    """How many of the open elements ``names`` stay open when ``name`` starts, by HTML's implied end tags."""
+    keep = len(names)
+    if name not in IN_HEAD and "head" in names:
+        keep = names.index("head")
+    for i in range(keep - 1, -1, -1) if name in TABLE else ():
+        if names[i] in TABLE[name]:
+            return i + 1
+    for i in range(keep - 1, -1, -1) if name in ITEM else ():
+        if names[i] in ITEM[name]:
+            keep = i
+            break
+        if names[i] in ITEM_SCOPE:
+            break
+    for i in range(keep - 1, -1, -1) if name in CLOSE_P else ():
+        if names[i] == "p":
+            keep = i
+            break
+        if names[i] in P_SCOPE:
+            break
+    if keep and len(name) == 2 and name in HEADINGS and names[keep - 1] in HEADINGS:
+        keep -= 1
+    return keep
+
+
 def blocks(page: str) -> list[tuple[int, str]]:
     """(role, text) of each block with text, in page order. Tags need not be balanced: an end tag
-    closes the nearest open element of its name, and with it what stands open inside."""
+    closes the nearest open element of its name, and with it what stands open inside; a start tag closes
+    what HTML lets end without an end tag."""
     out: list[tuple[int, str]] = []
     text: list[str] = []
-    open_: list[tuple[str, int]] = []  # elements that change the role, with the role inside
+    open_: list[tuple[str, int]] = []  # blocks and elements that change the role, with the role inside
 
     def flush() -> None:
         if text:
@@ -108,6 +144,9 @@ def blocks(page: str) -> list[tuple[int, str]]:
                 flush()
                 del open_[len(names) - 1 - names[::-1].index(name) :]
             continue
+        if open_ and (name in BLOCKS or open_[-1][0] == "head"):
+            del open_[_closed(name, [n for n, _ in open_]) :]
+            role = open_[-1][1] if open_ else UNKNOWN
         if name in VOID or tag[3].endswith("/"):
             continue
         if name in RAW:
@@ -115,7 +154,7 @@ def blocks(page: str) -> list[tuple[int, str]]:
             at = close.end() if close else end
             continue
         said = _role(name, tag[3])
-        if said != UNKNOWN or any(n == name for n, _ in open_):
+        if said != UNKNOWN or name in BLOCKS or any(n == name for n, _ in open_):
             # what is away stays away, whatever stands inside; own text stays own unless it says otherwise
             inner = role if said == UNKNOWN or role in (-1, SITE) else said
             if inner != role:
