@@ -18,11 +18,15 @@ def _mapped(df: DataFrame, column: str, parent: DataFrame) -> DataFrame:
 
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for all nodes of ``links`` (a, b); root is the smallest node reachable. Links are
-    only ever joined and aggregated, so neither a hot node nor a long chain meets in one task."""
+    only ever joined and aggregated, so neither a hot node nor a long chain meets in one task. Every node
+    with a link points to a smaller one or is pointed at, so each round at least halves the nodes that
+    still have links. Links of a node with itself and repeated links change nothing; without links there
+    are no rows."""
     edges = written(links.select("a", "b").where("a <> b").distinct(), "links")
     labels = None
     while not edges.isEmpty():
-        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        # by name: a join on one of the columns may have put it first
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         parent = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root"))
         parent = written(parent.withColumn("root", F.least("node", "root")), "parents")
         while True:
