@@ -16,6 +16,7 @@ SCHEMAS = {
     "pages": "page_id long, url string, html string",
     "benchmark": "item_id long, text string",
     "labels": "doc_id long, quality int, toxic int",
+    "conversations": "conv_id long, turn long, role string, text string",
 }
 
 

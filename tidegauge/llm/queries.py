@@ -8,7 +8,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import decontam, exact_dedup, html_main, mixing, near_dedup, pii, quality, substrings, toxicity, warc
+from tidegauge.llm import (
+    alignment,
+    decontam,
+    exact_dedup,
+    html_main,
+    mixing,
+    near_dedup,
+    pii,
+    quality,
+    simhash,
+    substrings,
+    toxicity,
+    trie,
+    warc,
+)
 from tidegauge.llm.common import load, shared_dir
 from tidegauge.llm.sampling import remainder
 
@@ -84,3 +98,18 @@ def op9_main_text(spark, sf_dir):
 def op10_toxicity(spark, sf_dir):
     docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
     return toxicity.toxicity_scores(docs, toxicity.train(docs, labels, remainder("doc_id", 5) != 0))
+
+
+@query
+def op11_simhash_dedup(spark, sf_dir):
+    return simhash.simhash_groups(load(spark, sf_dir, "documents"), words=3, bits=2)
+
+
+@query
+def op12_conversation_trie(spark, sf_dir):
+    return trie.conversation_trie(load(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_token_alignment(spark, sf_dir):
+    return alignment.alignment(load(spark, sf_dir, "documents"))
