@@ -158,10 +158,45 @@ SELECT doc_id, coalesce(n, 0)::bigint AS n_shingles, component_id, doc_id = comp
 FROM documents JOIN smallest ON doc_id = node LEFT JOIN sizes USING (doc_id)
 """
 
+# the CRC-32 of a decimal id, bit by bit
+CRC = """xor(4294967295, list_reduce(
+    list_prepend(4294967295::bigint, list_transform(string_split(c::varchar, ''), lambda d: ascii(d)::bigint)),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+TRIE = f"""
+WITH turns AS (
+  SELECT conv_id AS c, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}}
+         ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS own
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), built AS (
+  SELECT t.c, list_concat(coalesce(b.own, [])[1 : h], t.own[h + 1 :]) AS path
+  FROM (SELECT *, ({CRC} % 6)::bigint AS h FROM turns) t LEFT JOIN turns b ON b.c = t.c - t.c % 100
+), prefixes AS (
+  SELECT c, d, path[1 : d] AS prefix, len(path) = d AS last FROM (SELECT *, unnest(range(0, len(path) + 1)) AS d FROM built)
+), nodes AS (
+  SELECT d, prefix, min(c) AS conv_id, count(*) AS n_convs,
+         coalesce(string_agg(c::varchar, ',' ORDER BY c) FILTER (last), '') AS ends,
+         CASE WHEN d > 0 THEN length(prefix[d].text) ELSE 0 END AS points
+  FROM prefixes GROUP BY d, prefix
+), kids AS (
+  SELECT p.d, p.prefix, count(k.d) AS n_children, min(up.conv_id) AS parent_conv_id
+  FROM nodes p LEFT JOIN nodes k ON k.d = p.d + 1 AND k.prefix[1 : p.d] = p.prefix
+  LEFT JOIN nodes up ON up.d = p.d - 1 AND up.prefix = p.prefix[1 : p.d - 1]
+  GROUP BY p.d, p.prefix
+)
+SELECT n.conv_id, n.d AS depth, k.parent_conv_id, n.n_convs, k.n_children,
+       sum((s.n_children = 0)::bigint)::bigint AS n_leaves, sum((m.n_convs - 1) * m.points)::bigint AS saved_tokens,
+       sha256(n.ends) AS ends_sha256
+FROM nodes n JOIN kids k ON k.d = n.d AND k.prefix = n.prefix
+JOIN nodes m ON m.d >= n.d AND m.prefix[1 : n.d] = n.prefix JOIN kids s ON s.d = m.d AND s.prefix = m.prefix
+GROUP BY ALL
+"""
+
 ORACLE = {
     "op1_exact_dedup": EXACT,
     "op2_warc": WARC,
     "op3_decontamination": CONTAMINATION,
     "op4_mixing": _mixing(),
     "op5_near_dedup": NEAR,
+    "op12_conversation_trie": TRIE,
 }
