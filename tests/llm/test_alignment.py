@@ -20,7 +20,8 @@ def plain_groups(text):
     a = known.a.encode(" " + text, add_special_tokens=False).ids
     b = known.b.encode(text)
     whole = (" " + text).encode()
-    bytes_a = [bytes(alignment._byte_of()[c] for c in known.a.id_to_token(i)) for i in a]
+    byte_of = alignment._byte_of()
+    bytes_a = [bytes(byte_of[c] for c in known.a.id_to_token(i)) for i in a]
     bytes_b = []
     for i in b:
         piece = known.b.id_to_piece(i)
@@ -39,8 +40,6 @@ def plain_groups(text):
         if at_a == at_b:
             groups.append((x, y))
             x, y = [], []
-        elif j < len(b) and at_b < at_a:
-            pass
     return groups
 
 

@@ -20,6 +20,9 @@ SCHEMAS = {
 }
 
 
+BATCH = "4m"  # bytes that Spark puts into one Arrow batch, whole rows aside
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
@@ -40,6 +43,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: computed once, and its lineage ends there."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    # a task holds several batches at a time, in the JVM and in Python
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

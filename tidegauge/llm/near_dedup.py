@@ -180,6 +180,15 @@ def _candidates(begin: int, end: int, part: int, whole: int) -> Callable:
     return scan
 
 
+def _hashes(column: pa.Array) -> list[np.ndarray]:
+    """A binary column as arrays of 64-bit hashes, without copying it."""
+    column = column.cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(data, np.uint8) if data else np.empty(0, np.uint8)
+    return [data[a:b].view(np.uint64) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+
+
 def _similar(part: int, whole: int, exact: bool) -> Callable:
     """Pairs whose sets (or, estimated, whose sketches) are similar enough."""
     t = part / whole
@@ -188,8 +197,7 @@ def _similar(part: int, whole: int, exact: bool) -> Callable:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column("left").to_pylist(), batch.column("right").to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for x, y in zip(_hashes(batch.column("left")), _hashes(batch.column("right"))):
                 both = np.intersect1d(x, y, assume_unique=True)
                 if exact:
                     keep.append(whole * len(both) >= part * (len(x) + len(y) - len(both)))
