@@ -22,7 +22,7 @@ from tidegauge.plans.tables import SCHEMAS
 from tidegauge.session import SETTINGS, checkpoint_dir
 from tidegauge.sinks.tables import read_table
 from tidegauge.sources import parse
-from tidegauge.streaming import rules, run, windows
+from tidegauge.streaming import patterns, rules, run, windows
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 
@@ -230,7 +230,7 @@ def stream_login_fail_burst(spark, sf_dir):
 @query
 def stream_order_sequence(spark, sf_dir):
     def plan(rows):
-        found = rules.followed_by(rows, ["user_id"], "ts", "event_id", of_type("signup"), of_type("purchase"), "12 hours")
+        found = patterns.followed_by(rows, ["user_id"], "ts", "event_id", of_type("signup"), of_type("purchase"), "12 hours")
         create, pay = F.col("first_seq").alias("create_id"), F.col("second_seq").alias("pay_id")
         return found.select("user_id", create, pay, "route")
 

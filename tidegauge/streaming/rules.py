@@ -1,16 +1,20 @@
-"""Keyed rules on streams with ``transformWithState``.
+"""Keyed rules on streams, cut into time slots.
 
-Rows wait in state until the watermark has passed them and are then taken in (time, seq) order, so a
-rule's answer does not depend on the order of arrival within the watermark's delay. Beside the waiting
-rows, state per key is a few numbers. Rows without key or time take no part. Times travel as
-microseconds (``us``); timers are in milliseconds, rounded up so that they fire no earlier than due.
+A key may own a third of the rows, so its rows are grouped by (key, slot) first, by Spark's own streaming
+aggregation: many tasks hold a hot key's waiting rows, and a slot leaves, in (time, seq) order, when the
+watermark has passed it. What a slot can tell alone is worked out there by column expressions. Only
+what it takes from the slots before, a value or a few, goes on to the state of the key, which gets
+slots in order. So answers do not depend on the order of arrival within the watermark's delay, and come
+when the slot has ended; a shorter ``slot`` tells earlier. ``slot`` divides a day.
+
+Rows without key or time take no part. Times travel as microseconds (``us``); timers are in milliseconds,
+rounded up so that they fire no earlier than due.
 
 ``rising_alert`` measures processing time and looks at rows as they arrive.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -22,9 +26,13 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from tidegauge.functions.time import micros
 from tidegauge.operators import orders
 from tidegauge.operators.rules import RISING_TEXT
-from tidegauge.operators.timeline import on_timeline
+from tidegauge.operators.timeline import DEFAULT_SLOT, on_timeline
 
 _DAY = 86_400_000_000
+# names with a leading underscore do not reach a stateful processor
+SLOT, AT, DAY = "slot_us", "slot_at", "click_day"
+NEVER = (1 << 63) - 1  # stands for a time that is not known
+SILENT = ""  # an outcome that is not reported
 
 
 def _ordered(rows: Iterator[pd.DataFrame]) -> dict[str, np.ndarray]:
@@ -60,6 +68,21 @@ def _flag(holds: Column) -> Column:
     return F.coalesce(holds, F.lit(False))
 
 
+def by_slot(df: DataFrame, keys: Sequence[str], ts: str, slot: str, **aggregates: Column) -> DataFrame:
+    """(keys, slot as microseconds, its event time, aggregates) of each slot that the watermark has passed."""
+    slots = df.groupBy(*keys, F.window(ts, slot).alias("__window")).agg(*[c.alias(n) for n, c in aggregates.items()])
+    return slots.select(
+        *keys, F.unix_micros("__window.start").alias(SLOT), F.window_time("__window").alias(AT), *aggregates
+    )
+
+
+def _slotted(df: DataFrame, keys: Sequence[str], ts: str, seq: str, slot: str, **fields: Column) -> DataFrame:
+    """Slots with ``rows``: their (us, seq, fields) in order."""
+    rows = _prepare(df, keys, ts, seq, **fields)
+    row = F.struct("us", "seq", *fields)
+    return by_slot(rows, keys, ts, slot, rows=F.array_sort(F.collect_list(row)))
+
+
 class _Keyed(StatefulProcessor):
     """Base: names of the key columns and how to build output rows."""
 
@@ -74,75 +97,131 @@ class _Keyed(StatefulProcessor):
         pass
 
 
-class _InOrder(_Keyed):
-    """Base of the rules that take a key's rows in order: ``take`` gets those the watermark has passed
-    since the last time, as (us, seq, *fields), and how far it is."""
+class InSlots(_Keyed):
+    """Base of the rules that take a key's closed slots in order: ``take`` gets (slot, *fields) of each new
+    one, in turn, and the time before which all slots have been handed over. A key's slots of one trigger
+    come in pieces if they are many; these are put into state by slot, and taken from there one by one."""
 
-    fields = ""  # of a waiting row, besides us and seq
+    fields = ""  # of a slot, with their types
+
+    def __init__(self, keys: Sequence[str], columns: Sequence[str], width: int):
+        super().__init__(keys, columns)
+        self.width = width
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("rows", f"us long, seq long{self.fields}")
+        self.many = handle.getMapState("many", f"{SLOT} long", self.fields)
 
-    def take(self, rows: list[tuple], passed: int) -> list[tuple]:
+    def take(self, slots: Iterator[tuple], passed: int) -> Iterator[tuple]:
         raise NotImplementedError
 
     def wake(self, us: int) -> None:
-        """Have ``take`` called once the watermark is past ``us``."""
-        self.handle.registerTimer(_ms(us) + 1)
+        """Have ``take`` called once all slots up to the one of ``us`` have been handed over."""
+        self.handle.registerTimer(_ms(us - us % self.width + self.width))
+
+    def in_order(self, rows: Iterator[pd.DataFrame]) -> Iterator[tuple]:
+        names = [SLOT, *[f.split()[0] for f in self.fields.split(", ")]]
+        one, more = next(rows, None), next(rows, None)
+        if one is None:
+            return
+        if more is None:
+            yield from sorted(zip(*(one[n].tolist() for n in names)), key=lambda s: s[0])
+            return
+        slots: list[int] = []
+        for frame in (one, more, *rows):
+            for slot, *rest in zip(*(frame[n].tolist() for n in names)):
+                self.many.updateValue((slot,), tuple(x.tolist() if isinstance(x, np.ndarray) else x for x in rest))
+                slots.append(slot)
+        for slot in sorted(slots):
+            yield slot, *self.many.getValue((slot,))
+            self.many.removeKey((slot,))
+
+    def passed(self, timerValues) -> int:
+        us = timerValues.getCurrentWatermarkInMs() * 1000
+        return us - us % self.width
+
+    def batches(self, key: tuple, rows: Iterator[tuple]) -> Iterator[pd.DataFrame]:
+        held = []
+        for row in rows:
+            held.append(row)
+            if len(held) == 10_000:
+                yield from self.out(key, held)
+                held = []
+        yield from self.out(key, held)
 
     def handleInputRows(self, key, rows, timerValues):
-        names = ["us", "seq", *[f.split()[0] for f in self.fields.split(",")[1:]]]
-        for frame in rows:
-            self.waiting.appendList(list(frame[names].itertuples(index=False, name=None)))
-            self.wake(int(frame["us"].min()))
-        return iter(())
+        yield from self.batches(key, self.take(self.in_order(iter(rows)), self.passed(timerValues)))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        passed = timerValues.getCurrentWatermarkInMs() * 1000
-        rows = sorted(map(tuple, self.waiting.get()), key=lambda r: r[:2]) if self.waiting.exists() else []
-        n = bisect_right(rows, passed, key=lambda r: r[0])
-        if n == len(rows):
-            self.waiting.clear()
-        elif n:
-            self.waiting.put(rows[n:])
-            self.wake(rows[n][0])
-        yield from self.out(key, self.take(rows[:n], passed))
+        yield from self.batches(key, self.take(iter(()), self.passed(timerValues)))
 
 
-class _Jump(_InOrder):
-    fields = ", value double"
+class _Carry(InSlots):
+    """Hands each slot what the key's slot before it held (``adds``: the sum of ``held`` over all before), along
+    with its own payload, which is not looked at."""
 
-    def __init__(self, key, threshold, first_as_zero):
-        super().__init__([key], ["seq", "last_value", "value"])
-        self.threshold, self.first_as_zero = threshold, first_as_zero
+    def __init__(self, keys, width, adds, keep):
+        super().__init__(keys, [SLOT, "before", "own"], width)
+        self.adds, self.keep = adds, keep
+        self.fields = f"held {'long' if adds else 'string'}, own string"
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
-        self.last = handle.getValueState("last", "value double")
+        self.state = handle.getValueState("carried", f"held {'long' if self.adds else 'string'}, until long")
+
+    def take(self, slots, passed):
+        before, until = tuple(self.state.get()) if self.state.exists() else (0 if self.adds else None, None)
+        slot = None
+        for slot, held, own in slots:
+            yield slot, before, own
+            before = before + held if self.adds else held
+        if slot is not None:
+            until = slot + self.width + self.keep if self.keep is not None else NEVER
+            self.state.update((before, until))
+            if self.keep is not None:
+                self.wake(until)
+        elif until is not None and until <= passed:
+            self.state.clear()
+
+
+def _carried(slots: DataFrame, keys: Sequence[str], width: str, held: Column, own: Column, keep: str | None = None) -> DataFrame:
+    """(keys, slot, before, own): ``held`` of the slot before, a struct as JSON or a long to be added up, and the
+    JSON ``own``. What a key holds is forgotten ``keep`` after its last slot."""
+    rows = slots.select(*keys, SLOT, AT, held.alias("held"), own.alias("own"))
+    adds = dict(rows.dtypes)["held"] == "bigint"
+    if not adds:
+        rows = rows.withColumn("held", F.to_json("held"))
+    carry = _Carry(keys, micros(width), adds, micros(keep) if keep else None)
+    kinds = f"{_kinds(slots, keys)}, {SLOT} long, before {'long' if adds else 'string'}, own string"
+    return rows.groupBy(*keys).transformWithStateInPandas(carry, kinds, "append", "EventTime")
+
 
-    def take(self, rows, passed):
-        if not rows:
-            return []
-        _, seq, value = map(np.array, zip(*rows))
-        value = value.astype(float)  # a null reading is NaN and differs from nothing
-        known = self.last.get()[0] if self.last.exists() else (0.0 if self.first_as_zero else np.nan)
-        before = np.concatenate(([known], value[:-1])).astype(float)
-        jumped = np.abs(value - before) > self.threshold
-        self.last.update((float(value[-1]),))
-        return list(zip(seq[jumped], before[jumped], value[jumped]))
+def _told(found: Column) -> Column:
+    """A slot's own rows as JSON, or null without any."""
+    return F.when(F.size(found) > 0, F.to_json(found))
+
+
+_PAIRS = "filter(zip_with(slice(rows, 1, size(rows) - 1), slice(rows, 2, size(rows) - 1), (x, y) -> {row}), p -> {hit})"
 
 
 def jump_alert(
-    df: DataFrame, key: str, ts: str, value: str, seq: str, threshold: float = 10.0, first_as_zero: bool = False
+    df: DataFrame, key: str, ts: str, value: str, seq: str, threshold: float = 10.0, first_as_zero: bool = False,
+    slot: str = DEFAULT_SLOT,
 ) -> DataFrame:
-    rows = _prepare(df, [key], ts, seq, value=F.col(value).cast("double"))
-    return rows.groupBy(key).transformWithStateInPandas(
-        _Jump(key, threshold, first_as_zero),
-        f"{_kinds(df, [key])}, seq long, last_value double, value double",
-        "append",
-        "EventTime",
-    )
+    slots = _slotted(df, [key], ts, seq, slot, value=F.col(value).cast("double"))
+    kind = "struct<seq: bigint, last_value: double, value: double>"
+    row = "named_struct('seq', y.seq, 'last_value', x.value, 'value', y.value)"
+    inside = F.expr(_PAIRS.format(row=row, hit=f"abs(p.value - p.last_value) > {threshold!r}D"))
+    head, tail = F.col("rows")[0], F.element_at("rows", -1)
+    own = F.to_json(F.struct(head["seq"].alias("seq"), head["value"].alias("value"), inside.alias("inside")))
+    found = _carried(slots, [key], slot, F.struct(tail["value"].alias("value")), own)
+    own = F.from_json("own", f"seq bigint, value double, inside array<{kind}>")
+    first = F.lit(0.0) if first_as_zero else F.lit(None).cast("double")
+    last = F.when(F.col("before").isNull(), first).otherwise(F.from_json("before", "value double")["value"])
+    met = found.select(key, own.alias("own"), last.alias("last"))
+    edge = F.struct(F.col("own.seq").alias("seq"), F.col("last").alias("last_value"), F.col("own.value").alias("value"))
+    edge = F.when(F.abs(F.col("own.value") - F.col("last")) > threshold, F.array(edge)).otherwise(F.array().cast(f"array<{kind}>"))
+    return met.select(key, F.explode(F.concat(edge, "own.inside")).alias("hit")).select(key, "hit.*")
 
 
 class _Rising(_Keyed):
@@ -191,181 +270,187 @@ def rising_alert(df: DataFrame, key: str, ts: str, value: str, seq: str, hold: s
     )
 
 
-class _Clicks(_InOrder):
-    def __init__(self, keys, max_count):
-        super().__init__(keys, ["us", "seq", "route"])
-        self.max_count = max_count
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.seen = handle.getValueState("seen", "day long, clicks long")
-
-    def take(self, rows, passed):
-        held = tuple(self.seen.get()) if self.seen.exists() else None
-        day, clicks, routed = *(held or (None, 0)), []
-        for us, seq in rows:
-            if us // _DAY != day:
-                day, clicks = us // _DAY, 0
-            clicks += 1
-            if clicks <= self.max_count + 1:
-                routed.append((us, seq, "main" if clicks <= self.max_count else "warning"))
-        if day is None or (day + 1) * _DAY <= passed:
-            self.seen.clear()
-        elif rows:
-            # past the limit the count only has to say that the warning went out
-            self.seen.update((day, min(clicks, self.max_count + 1)))
-            if not held or held[0] != day:
-                self.wake((day + 1) * _DAY)
-        return routed
-
-
-def click_blacklist(df: DataFrame, keys: Sequence[str], ts: str, seq: str, max_count: int = 100) -> DataFrame:
-    """(keys, ts, seq, route) of clicks let through and of the one that set off the warning; a day's
-    counter is dropped once the watermark passes its midnight."""
-    routed = (
-        _prepare(df, keys, ts, seq)
-        .groupBy(*keys)
-        .transformWithStateInPandas(
-            _Clicks(keys, max_count), f"{_kinds(df, keys)}, us long, seq long, route string", "append", "EventTime"
-        )
+def click_blacklist(
+    df: DataFrame, keys: Sequence[str], ts: str, seq: str, max_count: int = 100, slot: str = DEFAULT_SLOT
+) -> DataFrame:
+    """(keys, ts, seq, route) of clicks let through and of the one that set off the warning. A slot sends at most
+    ``max_count`` + 1 clicks on; a day's count is forgotten a day later."""
+    day = F.floor(F.unix_micros(F.col(ts)) / _DAY).cast("long").alias(DAY)
+    slots = _slotted(df.withColumn(DAY, day), [*keys, DAY], ts, seq, slot)
+    own = _told(F.slice("rows", 1, max_count + 1))
+    found = _carried(slots, [*keys, DAY], slot, F.size("rows").cast("long"), own, keep="1 day")
+    clicks = found.where(F.col("before") <= max_count).select(
+        *keys, "before", F.posexplode(F.from_json("own", "array<struct<us: bigint, seq: bigint>>")).alias("at", "click")
     )
-    return routed.select(*keys, F.timestamp_micros("us").alias(ts), F.col("seq").alias(seq), "route")
+    n = F.col("before") + F.col("at") + 1
+    return clicks.where(n <= max_count + 1).select(
+        *keys,
+        F.timestamp_micros("click.us").alias(ts),
+        F.col("click.seq").alias(seq),
+        F.when(n <= max_count, "main").otherwise("warning").alias("route"),
+    )
+
 
+class _Burst(InSlots):
+    """Slots as (failures before the first other row, whether there is such a row, bursts after it, the
+    burst still open at the end): only the first part depends on the slots before."""
 
-class _Burst(_InOrder):
-    fields = ", fail boolean"
+    fields = "fails array<long>, broken boolean, done string, open array<long>"
 
-    def __init__(self, key, gap, max_fails):
-        super().__init__([key], ["first_us", "last_us", "fails"])
+    def __init__(self, key, gap, max_fails, width):
+        super().__init__([key], ["first_us", "last_us", "fails", "done"], width)
         self.gap, self.max_fails = gap, max_fails
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
-        self.open = handle.getValueState("open", "first_us long, last_us long, fails long")
-
-    def take(self, rows, passed):
-        held = tuple(self.open.get()) if self.open.exists() else None
-        burst, done = held, []
-        for us, _, fail in rows:
-            if burst and not (fail and us <= burst[0] + self.gap):
-                done.append(burst)
-                burst = None
-            if fail:
+        self.state = handle.getValueState("open", "first_us long, last_us long, fails long")
+
+    def take(self, slots, passed):
+        held = tuple(self.state.get()) if self.state.exists() else None
+        burst = held
+        for _, fails, broken, done, open_ in slots:
+            for us in fails:
+                if burst and us > burst[0] + self.gap:
+                    if burst[2] >= self.max_fails:
+                        yield *burst, None
+                    burst = None
                 burst = (burst[0], us, burst[2] + 1) if burst else (us, us, 1)
-        if burst and burst[0] + self.gap <= passed:
-            done.append(burst)
+            if broken:
+                if burst and burst[2] >= self.max_fails:
+                    yield *burst, None
+                if done is not None:
+                    yield 0, 0, 0, done
+                burst = tuple(open_) if len(open_) else None
+        if burst and burst[0] + self.gap < passed:
+            if burst[2] >= self.max_fails:
+                yield *burst, None
             burst = None
         if burst and burst != held:
-            self.open.update(burst)
-            self.wake(burst[0] + self.gap)
+            self.state.update(tuple(int(x) for x in burst))
+            self.wake(int(burst[0]) + self.gap)
         elif held and not burst:
-            self.open.clear()
-        return [b for b in done if b[2] >= self.max_fails]
+            self.state.clear()
 
 
 def fail_burst(
-    df: DataFrame, key: str, ts: str, seq: str, is_fail: Column, gap: str = "2 seconds", max_fails: int = 2
+    df: DataFrame, key: str, ts: str, seq: str, is_fail: Column, gap: str = "2 seconds", max_fails: int = 2,
+    slot: str = DEFAULT_SLOT,
 ) -> DataFrame:
-    """Bursts as in ``operators.rules.fail_burst``. The open burst is three numbers, not a list; a
-    timer closes it when the watermark passes its end."""
-    bursts = (
-        _prepare(df, [key], ts, seq, fail=_flag(is_fail))
-        .groupBy(key)
-        .transformWithStateInPandas(
-            _Burst(key, micros(gap), max_fails),
-            f"{_kinds(df, [key])}, first_us long, last_us long, fails long",
-            "append",
-            "EventTime",
-        )
+    """Bursts as in ``operators.rules.fail_burst``. A slot's rows after its first row that is no failure are
+    folded where they are; the failures before that follow the open burst of the slots before."""
+    slots = _slotted(df, [key], ts, seq, slot, fail=_flag(is_fail))
+    keep = f"acc.f is not null and r.fail and r.us <= acc.f + {micros(gap)}"
+    bursts = "array<struct<f: bigint, l: bigint, n: bigint>>"
+    ended = f"acc.f is not null and not ({keep}) and acc.n >= {max_fails}"
+    fold = f"""aggregate(slice(rows, size(fails) + 1, size(rows)),
+        named_struct('done', cast(array() as {bursts}), 'f', cast(null as bigint), 'l', cast(null as bigint), 'n', 0L),
+        (acc, r) -> named_struct(
+            'done', if({ended}, array_append(acc.done, named_struct('f', acc.f, 'l', acc.l, 'n', acc.n)), acc.done),
+            'f', if({keep}, acc.f, if(r.fail, r.us, null)), 'l', if(r.fail, r.us, null),
+            'n', if({keep}, acc.n + 1, if(r.fail, 1L, 0L))))"""
+    # the failures before the first other row
+    first = "aggregate(rows, 0, (n, r) -> if(n >= 0 and r.fail, n + 1, if(n >= 0, -n - 1, n)))"
+    lead = F.expr(first)
+    slots = slots.withColumn("lead", F.when(lead < 0, -lead - 1).otherwise(lead))
+    slots = slots.withColumn("fails", F.expr("transform(slice(rows, 1, lead), r -> r.us)")).withColumn("after", F.expr(fold))
+    open_ = F.when(F.col("after.f").isNotNull(), F.array("after.f", "after.l", "after.n")).otherwise(F.array().cast("array<long>"))
+    rows = slots.select(
+        key, SLOT, AT, "fails", (F.size("fails") < F.size("rows")).alias("broken"), _told(F.col("after.done")).alias("done"),
+        open_.alias("open"),
+    )
+    found = rows.groupBy(key).transformWithStateInPandas(
+        _Burst(key, micros(gap), max_fails, micros(slot)),
+        f"{_kinds(df, [key])}, first_us long, last_us long, fails long, done string",
+        "append",
+        "EventTime",
     )
-    return bursts.select(
-        key, F.timestamp_micros("first_us").alias("first_fail"), F.timestamp_micros("last_us").alias("last_fail"), "fails"
+    one = F.array(F.struct(F.col("first_us").alias("f"), F.col("last_us").alias("l"), F.col("fails").alias("n")))
+    each = F.when(F.col("done").isNull(), one).otherwise(F.from_json("done", bursts))
+    return found.select(key, F.explode(each).alias("b")).select(
+        key, F.timestamp_micros("b.f").alias("first_fail"), F.timestamp_micros("b.l").alias("last_fail"), F.col("b.n").alias("fails")
     )
 
 
-class _Pair(_InOrder):
-    fields = ", fail boolean"
-
-    def __init__(self, key, gap):
-        super().__init__([key], ["first_us", "last_us", "seq"])
-        self.gap = gap
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.last = handle.getValueState("last", "us long, fail boolean")
-
-    def take(self, rows, passed):
-        if not rows:
-            return []
-        us, seq, fail = map(np.array, zip(*rows))
-        known = self.last.get() if self.last.exists() else (0, False)
-        before_us = np.concatenate(([known[0]], us[:-1]))
-        before_fail = np.concatenate(([known[1]], fail[:-1])).astype(bool)
-        hit = fail & before_fail & (us - before_us < self.gap)
-        if us[-1] + self.gap <= passed:
-            self.last.clear()  # nothing can follow in time
-        else:
-            self.last.update((int(us[-1]), bool(fail[-1])))
-            self.wake(int(us[-1]) + self.gap)
-        return list(zip(before_us[hit], us[hit], seq[hit]))
-
-
-def fail_pair(df: DataFrame, key: str, ts: str, seq: str, is_fail: Column, gap: str = "2 seconds") -> DataFrame:
-    pairs = (
-        _prepare(df, [key], ts, seq, fail=_flag(is_fail))
-        .groupBy(key)
-        .transformWithStateInPandas(
-            _Pair(key, micros(gap)), f"{_kinds(df, [key])}, first_us long, last_us long, seq long", "append", "EventTime"
-        )
-    )
+def fail_pair(
+    df: DataFrame, key: str, ts: str, seq: str, is_fail: Column, gap: str = "2 seconds", slot: str = DEFAULT_SLOT
+) -> DataFrame:
+    slots = _slotted(df, [key], ts, seq, slot, fail=_flag(is_fail))
+    kind = "struct<first_us: bigint, last_us: bigint, seq: bigint>"
+    near = f"x.fail and y.fail and y.us - x.us < {micros(gap)}"
+    row = f"if({near}, named_struct('first_us', x.us, 'last_us', y.us, 'seq', y.seq), null)"
+    inside = F.expr(_PAIRS.format(row=row, hit="p is not null"))
+    head, tail = F.col("rows")[0], F.element_at("rows", -1)
+    own = F.to_json(F.struct(head.alias("head"), inside.alias("inside")))
+    found = _carried(slots, [key], slot, F.struct(tail["us"].alias("us"), tail["fail"].alias("fail")), own, keep=gap)
+    own = F.from_json("own", f"head struct<us: bigint, seq: bigint, fail: boolean>, inside array<{kind}>")
+    met = found.select(key, own.alias("own"), F.from_json("before", "us bigint, fail boolean").alias("x"))
+    head = F.col("own.head")
+    hit = F.col("x.fail") & head["fail"] & (head["us"] - F.col("x.us") < micros(gap))
+    edge = F.struct(F.col("x.us").alias("first_us"), head["us"].alias("last_us"), head["seq"].alias("seq"))
+    edge = F.when(hit, F.array(edge)).otherwise(F.array().cast(f"array<{kind}>"))
+    pairs = met.select(key, F.explode(F.concat(edge, "own.inside")).alias("p"))
     return pairs.select(
         key,
-        F.timestamp_micros("first_us").alias("first_fail"),
-        F.timestamp_micros("last_us").alias("last_fail"),
-        F.col("seq").alias(seq),
+        F.timestamp_micros("p.first_us").alias("first_fail"),
+        F.timestamp_micros("p.last_us").alias("last_fail"),
+        F.col("p.seq").alias(seq),
     )
 
 
-class _Orders(_InOrder):
+class _Orders(InSlots):
     """One order: first create, first pay, and what was said of it last."""
 
-    fields = ", create boolean, pay boolean"
+    fields = "create_us long, pay_us long"
 
-    def __init__(self, keys, threshold, disorder, remember):
-        super().__init__(keys, ["msg"])
+    def __init__(self, keys, threshold, disorder, remember, width):
+        super().__init__(keys, ["msg"], width)
         self.threshold, self.disorder, self.remember = threshold, disorder, remember
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
         self.state = handle.getValueState("order", "create_us long, pay_us long, msg string")
 
-    def take(self, rows, passed):
-        held = tuple(self.state.get()) if self.state.exists() else (None, None, None)
-        create, pay, msg = held
-        for us, _, is_create, is_pay in rows:
-            create = us if create is None and is_create else create
-            pay = us if pay is None and is_pay else pay
-        if create is None and pay is None:
-            return []
-        due = create + self.threshold if create is not None else pay + self.disorder
-        said = None
-        if create is not None and pay is not None and msg in (None, orders.UNPAID):
+    def told(self, create, pay, msg, due, passed):
+        if create != NEVER and pay != NEVER and msg in (None, orders.UNPAID):
             if create - pay > self.disorder:
                 said = orders.NO_CREATE
             else:
                 said = orders.PAID if pay < create + self.threshold else orders.PAID_LATE
             # a payment after the alarm is reported late once more, never as paid in time
-            said = said if msg is None or said == orders.PAID_LATE else None
-        elif msg is None and due <= passed:
-            said = orders.NO_CREATE if create is None else orders.UNPAID
-        msg = said or msg
-        if msg is not None and due + self.remember <= passed:
+            return said if msg is None or said == orders.PAID_LATE else None
+        if msg is None and due < passed:
+            return orders.NO_CREATE if create == NEVER else orders.UNPAID
+        return None
+
+    def due(self, create, pay):
+        return create + self.threshold if create != NEVER else pay + self.disorder
+
+    def take(self, slots, passed):
+        held = tuple(self.state.get()) if self.state.exists() else (NEVER, NEVER, None)
+        create, pay, msg = held
+        for _, slot_create, slot_pay in slots:
+            create, pay = min(create, slot_create), min(pay, slot_pay)
+        if create == pay == NEVER:
+            return
+        due = self.due(create, pay)
+        said = self.told(create, pay, msg, due, passed)
+        if said:
+            msg = said
+            if said != SILENT:
+                yield (said,)
+        if msg is not None and due + self.remember < passed:
             self.state.clear()
         else:
             self.wake(due if msg is None else due + self.remember)
             if (create, pay, msg) != held:
                 self.state.update((create, pay, msg))
-        return [(said,)] if said else []
+
+
+def _order_slots(df: DataFrame, keys: Sequence[str], ts: str, slot: str, is_create: Column, is_pay: Column) -> DataFrame:
+    rows = on_timeline(df.where(is_create | is_pay), keys, ts)
+    first = {n: F.coalesce(F.min(F.when(c, F.unix_micros(F.col(ts)))), F.lit(NEVER))
+             for n, c in (("create_us", is_create), ("pay_us", is_pay))}
+    return by_slot(rows, keys, ts, slot, **first)
 
 
 def order_match(
@@ -378,59 +463,35 @@ def order_match(
     threshold: str = "120 seconds",
     disorder: str = "0 seconds",
     remember: str = "30 days",
+    slot: str = DEFAULT_SLOT,
 ) -> DataFrame:
-    """Outcome per order as in ``operators.orders.order_match``, told once the watermark has passed what
-    decides it.
+    """Outcome per order as in ``operators.orders.order_match``, told once the watermark has passed the slot of
+    what decides it. A slot sends its first create and first pay.
 
     When the watermark passes the deadline of an unpaid order it is reported as timed out; should a
     payment come later still, ``paid but timeout`` follows as a second row. An order is forgotten when
     its outcome is told and the watermark is ``remember`` past its deadline; rows that come after that
     begin a new one.
     """
-    told = (
-        _prepare(df.where(is_create | is_pay), keys, ts, seq, create=_flag(is_create), pay=_flag(is_pay))
-        .groupBy(*keys)
-        .transformWithStateInPandas(
-            _Orders(keys, micros(threshold), micros(disorder), micros(remember)),
-            f"{_kinds(df, keys)}, msg string",
-            "append",
-            "EventTime",
-        )
-    )
+    told = _order_slots(df, keys, ts, slot, is_create, is_pay).groupBy(*keys).transformWithStateInPandas(
+        _Orders(keys, micros(threshold), micros(disorder), micros(remember), micros(slot)),
+        f"{_kinds(df, keys)}, msg string",
+        "append",
+        "EventTime",
+    )
     return told.withColumn("route", F.when(F.col("msg") == orders.PAID, "main").otherwise("side"))
 
 
-class _Warnings(_InOrder):
-    fields = ", create boolean, pay boolean"
-
-    def __init__(self, keys, threshold, remember):
-        super().__init__(keys, ["msg"])
-        self.threshold, self.remember = threshold, remember
+class _Warnings(_Orders):
+    def told(self, create, pay, msg, due, passed):
+        if msg is not None or due >= passed:
+            return None
+        if create == NEVER or pay < create:
+            return SILENT
+        return orders.WARN_PAID if pay <= due else orders.WARN_UNPAID
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.state = handle.getValueState("order", "create_us long, pay_us long, told boolean")
-
-    def take(self, rows, passed):
-        held = tuple(self.state.get()) if self.state.exists() else (None, None, False)
-        create, pay, told = held
-        for us, _, is_create, is_pay in rows:
-            create = us if create is None and is_create else create
-            pay = us if pay is None and is_pay else pay
-        if create is None and pay is None:
-            return []
-        due, said = (create if create is not None else pay) + self.threshold, []
-        if not told and due <= passed:
-            told = True
-            if create is not None and (pay is None or pay >= create):
-                said = [(orders.WARN_PAID if pay is not None and pay <= due else orders.WARN_UNPAID,)]
-        if told and due + self.remember <= passed:
-            self.state.clear()
-        else:
-            self.wake(due + self.remember if told else due)
-            if (create, pay, told) != held:
-                self.state.update((create, pay, told))
-        return said
+    def due(self, create, pay):
+        return (create if create != NEVER else pay) + self.threshold
 
 
 def order_warning(
@@ -442,74 +503,10 @@ def order_warning(
     is_pay: Column,
     threshold: str = "120 seconds",
     remember: str = "30 days",
+    slot: str = DEFAULT_SLOT,
 ) -> DataFrame:
     """Warning per created order as in ``operators.orders.order_warning``, told when the watermark passes
-    the deadline. An order is forgotten ``remember`` later."""
-    return (
-        _prepare(df.where(is_create | is_pay), keys, ts, seq, create=_flag(is_create), pay=_flag(is_pay))
-        .groupBy(*keys)
-        .transformWithStateInPandas(
-            _Warnings(keys, micros(threshold), micros(remember)), f"{_kinds(df, keys)}, msg string", "append", "EventTime"
-        )
-    )
-
-
-class _FollowedBy(_InOrder):
-    fields = ", first boolean, second boolean"
-
-    def __init__(self, keys, within):
-        super().__init__(keys, ["first_us", "first_seq", "second_us", "second_seq", "route"])
-        self.within = within
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.begun = handle.getListState("begun", "us long, seq long")
-
-    def take(self, rows, passed):
-        held = list(map(tuple, self.begun.get())) if self.begun.exists() else []
-        begun, done = list(held), []
-        for us, seq, first, second in rows:
-            if second:
-                done += [(*b, us, seq, "match") if us - b[0] < self.within else (*b, None, None, "timeout") for b in begun]
-                begun = []
-            if first:
-                begun.append((us, seq))
-        late = bisect_right(begun, passed - self.within, key=lambda b: b[0])
-        done += [(*b, None, None, "timeout") for b in begun[:late]]
-        begun = begun[late:]
-        if begun:
-            self.wake(begun[0][0] + self.within)
-            if begun != held:
-                self.begun.put(begun)
-        elif held:
-            self.begun.clear()
-        return done
-
-    def out(self, key, rows):
-        for frame in super().out(key, rows):
-            yield frame.astype({"second_us": "Int64", "second_seq": "Int64"})
-
-
-def followed_by(
-    df: DataFrame, keys: Sequence[str], ts: str, seq: str, first: Column, second: Column, within: str
-) -> DataFrame:
-    """Two-step relaxed sequence with a timeout route. Starts wait in state no longer than
-    ``within``."""
-    found = (
-        _prepare(df.where(first | second), keys, ts, seq, first=_flag(first), second=_flag(second))
-        .groupBy(*keys)
-        .transformWithStateInPandas(
-            _FollowedBy(keys, micros(within)),
-            f"{_kinds(df, keys)}, first_us long, first_seq long, second_us long, second_seq long, route string",
-            "append",
-            "EventTime",
-        )
-    )
-    return found.select(
-        *keys,
-        F.timestamp_micros("first_us").alias("first_ts"),
-        "first_seq",
-        F.timestamp_micros("second_us").alias("second_ts"),
-        "second_seq",
-        "route",
-    )
+    the slot of the deadline. An order is forgotten ``remember`` later."""
+    return _order_slots(df, keys, ts, slot, is_create, is_pay).groupBy(*keys).transformWithStateInPandas(
+        _Warnings(keys, micros(threshold), 0, micros(remember), micros(slot)), f"{_kinds(df, keys)}, msg string", "append", "EventTime"
+    )
