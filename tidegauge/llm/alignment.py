@@ -26,6 +26,8 @@ from tidegauge.llm.common import small_batches, texts_of, written
 
 FOLDER = "/opt/tokenizers"
 FILES = ("byte_bpe_50k.json", "piece_bpe_32k.model")
+# fixed value: how byte-level vocabularies split text before merging
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 COMMON = 1 << 17  # pairs whose counts are sent to all tasks: 2 MB
 SHIFT = 20  # a pair is a << SHIFT | b; ids have fewer bits
 CHUNK = 1 << 20  # links looked at at a time
@@ -39,46 +41,56 @@ def _byte_of() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(others)}
 
 
+def _named(ids: int) -> dict[str, np.ndarray]:
+    """Every id in decimal with each character that may follow it."""
+    return {end: np.array([f"{i}{end}" for i in range(ids)], object) for end in ",|;"}
+
+
 class Tokenizers:
-    """Both tokenizers, their ids' bytes, and the identity map."""
+    """Both tokenizers, their ids' bytes, and the identity map.
+
+    A's file lists its merges by id, so merging by smallest id is merging by its rules; the faster library
+    does that with the same vocabulary and splitting pattern.
+    """
 
     def __init__(self, folder: str):
         import sentencepiece
-        from tokenizers import Tokenizer
+        import tiktoken
 
-        self.a = Tokenizer.from_file(f"{folder}/{FILES[0]}")
-        self.a.encode_special_tokens = True  # their strings in a text are then ordinary text
-        self.b = sentencepiece.SentencePieceProcessor(model_file=f"{folder}/{FILES[1]}")
         byte_of = _byte_of()
         with open(f"{folder}/{FILES[0]}", encoding="utf-8") as file:
             known = json.load(file)
-        special = {x["id"]: x["content"].encode() for x in known["added_tokens"]}
-        entries = {i: s for s, i in known["model"]["vocab"].items()} | dict.fromkeys(special)
-        self.bytes_a = [
-            special[i] if i in special else bytes(byte_of[c] for c in entries.get(i, "")) for i in range(max(entries) + 1)
-        ]
-        self.bytes_b = []
+        special = {x["content"] for x in known["added_tokens"]}
+        entries = known["model"]["vocab"]
+        merged = [entries["".join(m if isinstance(m, list) else m.split(" "))] for m in known["model"]["merges"]]
+        if merged != sorted(merged):
+            raise ValueError(f"{FILES[0]} does not number its merges in order")
+        ranks = {bytes(byte_of[c] for c in s): i for s, i in entries.items() if s not in special}
+        # special tokens' strings in a text are then ordinary text
+        self.a = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.b = sentencepiece.SentencePieceProcessor(model_file=f"{folder}/{FILES[1]}")
+        bytes_a = [b""] * (max(entries.values()) + 1)
+        for whole, i in ranks.items():
+            bytes_a[i] = whole
+        bytes_b = []
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
-            whole = bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
-            self.bytes_b.append(whole)
-        self.size_a, self.size_b = (np.array([len(x) for x in v]) for v in (self.bytes_a, self.bytes_b))
-        self.name_a, self.name_b = ([str(i) for i in range(len(v))] for v in (self.bytes_a, self.bytes_b))
+            bytes_b.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
         # of ids of B with the same bytes, ordinary pieces before single bytes and control pieces
         first: dict[bytes, int] = {}
         for odd in (False, True):
-            for i, whole in enumerate(self.bytes_b):
+            for i, whole in enumerate(bytes_b):
                 if odd == (self.b.is_byte(i) or self.b.is_control(i) or self.b.is_unknown(i)):
                     first.setdefault(whole, i)
-        self.same = np.array([first.get(x, -1) for x in self.bytes_a])
+        self.same = np.array([first.get(x, -1) for x in bytes_a])
+        self.size_a, self.size_b = (np.array([len(x) for x in v]) for v in (bytes_a, bytes_b))
+        self.bytes_a, self.bytes_b = np.array(bytes_a, object), np.array(bytes_b, object)
+        self.name_a, self.name_b = _named(len(bytes_a)), _named(len(bytes_b))
 
 
 @lru_cache(maxsize=2)
 def tokenizers_in(folder: str) -> Tokenizers:
     """Loaded once per worker."""
-    import os
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     return Tokenizers(folder)
 
 
@@ -122,42 +134,37 @@ NOTHING = np.empty(0, np.int64)
 def align(text: bytes, a: list[int], b: list[int], known: Tokenizers) -> tuple | None:
     """(n_a, n_b, groups, n_links, digest, ids of A linked with their namesake, how often, other pairs, how
     often) of a text and its two encodings; None where it has no tokens."""
-    whole = b" " + text
-    if not text or b"".join([known.bytes_a[i] for i in a]) != whole or b"".join([known.bytes_b[i] for i in b]) != whole:
+    whole, ids_a, ids_b = b" " + text, np.array(a, np.int64), np.array(b, np.int64)
+    if not text or any(b"".join(v[ids].tolist()) != whole for v, ids in ((known.bytes_a, ids_a), (known.bytes_b, ids_b))):
         return None
-    ids_a, ids_b = np.array(a, np.int64), np.array(b, np.int64)
     ends_a, ends_b = np.cumsum(known.size_a[ids_a]), np.cumsum(known.size_b[ids_b])
-    shared = np.intersect1d(ends_a, ends_b, assume_unique=True)
-    last_a, last_b = np.searchsorted(ends_a, shared) + 1, np.searchsorted(ends_b, shared) + 1
-    n_a, n_b = np.diff(last_a, prepend=0), np.diff(last_b, prepend=0)
-    names_a, names_b = [known.name_a[i] for i in a], [known.name_b[i] for i in b]
-    if len(a) == len(b) == len(shared):
-        said = ";".join([f"{x}|{y}" for x, y in zip(names_a, names_b)])
-    else:
-        from_a, from_b, said = 0, 0, []
-        for to_a, to_b in zip(last_a.tolist(), last_b.tolist()):
-            said.append(f"{','.join(names_a[from_a:to_a])}|{','.join(names_b[from_b:to_b])}")
-            from_a, from_b = to_a, to_b
-        said = ";".join(said)
+    in_a, in_b = np.zeros((2, len(whole) + 1), bool)
+    in_a[ends_a], in_b[ends_b] = True, True
+    last_a, last_b = np.flatnonzero(in_b[ends_a]), np.flatnonzero(in_a[ends_b])  # of each group
+    n_a, n_b = np.diff(last_a, prepend=-1), np.diff(last_b, prepend=-1)
+
+    # all ids in the order of the groups, each with the character after it
+    said = np.empty(len(a) + len(b), object)
+    names_a, names_b = known.name_a[","][ids_a], known.name_b[","][ids_b]
+    names_a[last_a], names_b[last_b] = known.name_a["|"][ids_a[last_a]], known.name_b[";"][ids_b[last_b]]
+    said[np.arange(len(a)) + np.repeat(last_b - n_b + 1, n_a)] = names_a
+    said[np.arange(len(b)) + np.repeat(last_a + 1, n_b)] = names_b
+    digest = hashlib.sha256("".join(said.tolist())[:-1].encode()).hexdigest()
+
     single = (n_a == 1) & (n_b == 1)
-    x, y = ids_a[last_a[single] - 1], ids_b[last_b[single] - 1]
+    x, y = ids_a[last_a[single]], ids_b[last_b[single]]
     named = known.same[x] == y
-    regular = np.bincount(x[named], minlength=len(known.bytes_a)) if named.any() else None
-    pairs, times = NOTHING, NOTHING
-    if not named.all() or not single.all():
-        odd = np.ones(len(shared), bool)
-        odd[np.flatnonzero(single)[named]] = False
-        pairs, times = _links(ids_a[np.repeat(odd, n_a)], ids_b[np.repeat(odd, n_b)], n_a[odd], n_b[odd])
-        # namesakes may meet in a larger group too
-        home = known.same[pairs >> SHIFT] == pairs & ((1 << SHIFT) - 1)
-        if home.any():
-            regular = np.zeros(len(known.bytes_a), np.int64) if regular is None else regular
-            regular[pairs[home] >> SHIFT] += times[home]
-            pairs, times = pairs[~home], times[~home]
-    own = NOTHING if regular is None else np.flatnonzero(regular)
-    digest = hashlib.sha256(said.encode()).hexdigest()
-    often = NOTHING if regular is None else regular[own]
-    return len(a), len(b), len(shared), int((n_a * n_b).sum()), digest, own, often, pairs, times
+    own, often = np.unique(x[named], return_counts=True)
+    odd = np.ones(len(n_a), bool)
+    odd[np.flatnonzero(single)[named]] = False
+    pairs, times = _links(ids_a[np.repeat(odd, n_a)], ids_b[np.repeat(odd, n_b)], n_a[odd], n_b[odd])
+    # namesakes may meet in a larger group too
+    home = known.same[pairs >> SHIFT] == pairs & ((1 << SHIFT) - 1)
+    if home.any():
+        own, where = np.unique(np.concatenate([own, pairs[home] >> SHIFT]), return_inverse=True)
+        often = np.bincount(where, np.concatenate([often, times[home]])).astype(np.int64)
+        pairs, times = pairs[~home], times[~home]
+    return len(a), len(b), len(n_a), int((n_a * n_b).sum()), digest, own, often, pairs, times
 
 
 def _lists(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:
@@ -177,10 +184,10 @@ def _aligned(folder: str):
         for batch in small_batches(batches, "text", 1 << 19):
             raw = texts_of(batch.column("text"))
             texts = [t.decode() for t in raw]
-            in_a = known.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
+            in_a = [known.a.encode_ordinary(" " + t) for t in texts]
             in_b = known.b.encode(texts, num_threads=1)
             nothing = (0, 0, 0, 0, "", NOTHING, NOTHING, NOTHING, NOTHING)
-            rows = [align(t, a.ids, b, known) or nothing for t, a, b in zip(raw, in_a, in_b)]
+            rows = [align(t, a, b, known) or nothing for t, a, b in zip(raw, in_a, in_b)]
             columns = list(zip(*rows))
             longs = [pa.array(c, pa.int64()) for c in columns[:4]]
             lists = [_lists(list(c), kind) for c, kind in zip(columns[5:], (pa.int32(), pa.int32(), pa.int64(), pa.int32()))]
