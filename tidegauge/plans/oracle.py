@@ -271,7 +271,32 @@ ORACLE |= {
     "stream_order_warning": f"SELECT user_id, day, msg FROM ({ORACLE['order_paid_warning']})",
     "stream_ad_by_geo": f"""
         SELECT {text_time('window_end')} AS window_end, province, "count"
-        FROM ({sliding(GOOD_CLICKS, 'province', HOUR, 5 * MINUTE)})""",
+        FROM ({sliding(GOOD_CLICKS, 'province', HOUR, 5 * SECOND)})""",
+    "stream_sensor_min": ORACLE["sensor_min_window"],
+    "stream_fail_times": """
+        SELECT user_id, fail1, CASE WHEN second THEN e1 END AS fail2, CASE WHEN third THEN e2 END AS fail3, route FROM (
+            SELECT *, CASE WHEN third THEN 'match' WHEN k1 <> 'error' AND near1 OR second AND k2 <> 'error' AND near2 THEN NULL
+                           ELSE 'timeout' END AS route
+            FROM (SELECT *, coalesce(k1 = 'error' AND near1, false) AS second,
+                         coalesce(k1 = 'error' AND near1 AND k2 = 'error' AND near2, false) AS third
+                  FROM (SELECT user_id, event_id AS fail1, event_type, lead(event_id) OVER w AS e1, lead(event_id, 2) OVER w AS e2,
+                               lead(event_type) OVER w AS k1, lead(event_type, 2) OVER w AS k2,
+                               lead(ts) OVER w - ts < INTERVAL 72 HOUR AS near1, lead(ts, 2) OVER w - ts < INTERVAL 72 HOUR AS near2
+                        FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)))
+            WHERE event_type = 'error')
+        WHERE route IS NOT NULL""",
+    "stream_signup_path": """
+        WITH n AS (
+            SELECT user_id, event_id, ts, event_type,
+                   first_value(CASE WHEN event_type = 'click' THEN event_id END IGNORE NULLS) OVER w AS c,
+                   first_value(CASE WHEN event_type = 'purchase' THEN event_id END IGNORE NULLS) OVER w AS p
+            FROM events
+            WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING))
+        SELECT s.user_id, s.event_id AS signup, CASE WHEN c.ts - s.ts < INTERVAL 48 HOUR THEN c.event_id END AS click,
+               CASE WHEN p.ts - s.ts < INTERVAL 48 HOUR THEN p.event_id END AS purchase,
+               CASE WHEN p.ts - s.ts < INTERVAL 48 HOUR THEN 'match' ELSE 'timeout' END AS route
+        FROM n s LEFT JOIN n c ON c.event_id = s.c LEFT JOIN events p ON p.event_id = c.p
+        WHERE s.event_type = 'signup'""",
     "stream_latest_per_key": ORACLE["latest_per_key"],
     "stream_login_fail_burst": ORACLE["login_fail_burst"],
     "stream_order_sequence": f"""

@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tidegauge.functions.time import epoch_text
+from tidegauge.operators import patterns as match
 from tidegauge.operators import ranking, routing
 from tidegauge.operators.windows import window_agg, with_event_time
 from tidegauge.plans.queries import as_access_lines, of_type, query
@@ -22,7 +23,7 @@ from tidegauge.plans.tables import SCHEMAS
 from tidegauge.session import SETTINGS, checkpoint_dir
 from tidegauge.sinks.tables import read_table
 from tidegauge.sources import parse
-from tidegauge.streaming import patterns, rules, run, windows
+from tidegauge.streaming import patterns, rules, run, sliding, windows
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 
@@ -150,9 +151,8 @@ def stream_ad_by_geo(spark, sf_dir):
     holds rows that one move of the first watermark passed, so batches come in time order."""
 
     def plan(good):
-        return window_agg(good, "ts", "1 hour", "5 minutes", keys=["province"], count=F.count(F.lit(1))).select(
-            epoch_text(F.col("window_end")).alias("window_end"), "province", "count"
-        )
+        counts = sliding.sliding_count(good, "ts", "1 hour", "5 seconds", ["province"])
+        return counts.select(epoch_text(F.col("window_end")).alias("window_end"), "province", "count")
 
     out, schema = written(_clicks(spark, sf_dir), "ad_clicks", _blacklist)
     good = spark.readStream.schema(schema).parquet(out).where("route = 'main'")
@@ -256,3 +256,36 @@ def stream_order_status(spark, sf_dir):
         return rules.order_match(rows, ["user_id"], "ts", "event_id", signup, purchase, "72 hours", remember="36500 days")
 
     return stored(events(spark, sf_dir).where(of_type("signup") | of_type("purchase")), "order_status", plan, event_type="signup")
+
+
+@query
+def stream_sensor_min(spark, sf_dir):
+    def plan(rows):
+        lowest = sliding.sliding_min(rows, "ts", "15 hours", "5 hours", ["user_id"], "value", "min_value", "-8 hours")
+        return lowest.drop("window_start")
+
+    return stored(events(spark, sf_dir).select("user_id", "ts", "value"), "sensor_min", plan)
+
+
+@query
+def stream_fail_times(spark, sf_dir):
+    """Three failures in a row, each the next event of the user."""
+
+    def plan(rows):
+        steps = match.times("fail", of_type("error"), 3)
+        found = patterns.match_sequence(rows, ["user_id"], "ts", "event_id", steps, "72 hours")
+        return found.select("user_id", *[F.col(f"{n}.event_id").alias(n) for n, _ in steps], "route")
+
+    return stored(events(spark, sf_dir).select("user_id", "ts", "event_id", "event_type"), "fail_times", plan)
+
+
+@query
+def stream_signup_path(spark, sf_dir):
+    """A signup, the first click after it, and the first purchase after that."""
+
+    def plan(rows):
+        steps = [(n, of_type(n)) for n in ("signup", "click", "purchase")]
+        found = patterns.match_sequence(rows, ["user_id"], "ts", "event_id", steps, "48 hours", match.FOLLOWED_BY)
+        return found.select("user_id", *[F.col(f"{n}.event_id").alias(n) for n, _ in steps], "route")
+
+    return stored(events(spark, sf_dir).select("user_id", "ts", "event_id", "event_type"), "signup_path", plan, event_type="signup")
