@@ -30,6 +30,7 @@ from tidegauge.llm.words import shingle_sets
 BITS, CHUNK = 20, 1 << 14  # counters, and how many of them travel in a row
 SKETCH = 32
 FIRST = 8  # nodes of a list that the first round compares with all others
+HELD = 1 << 16  # pairs held before they are sent on
 NO_ID = -(1 << 63)  # stands for a null doc_id
 
 
@@ -139,6 +140,11 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield held
 
 
+def _pairs(found: list[np.ndarray]) -> pa.RecordBatch:
+    a, b = np.concatenate(found, axis=1)
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
 def _candidates(begin: int, end: int, part: int, whole: int) -> Callable:
     """Pairs of a list's nodes number ``begin`` to ``end`` with all nodes after them, where components
     differ and sizes and places allow the threshold. Of a list, only its first ``end`` rows are held."""
@@ -169,13 +175,15 @@ def _candidates(begin: int, end: int, part: int, whole: int) -> Callable:
                 fits &= (whole + part) * overlap >= part * (n + m)
                 a, b = node[first[fits]], node[alive[fits]]
                 found.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
+                if sum(x.shape[1] for x in found) > HELD:
+                    yield _pairs(found)
+                    found = []
             last = run == run[-1]
             seen = int(offset[-1]) + 1
             keep = last & (offset < end)
             head = [x[keep] for x in (value, place, size, node, comp)]
             if found:
-                a, b = np.concatenate(found, axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+                yield _pairs(found)
 
     return scan
 

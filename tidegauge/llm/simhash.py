@@ -97,7 +97,6 @@ def _links(bits: int):
         coordinates = np.bitwise_count(prints[:, None] ^ table).astype(np.int8)
         run = np.cumsum(np.concatenate(([0], (cells[1:] != cells[:-1]).any(axis=1))))
         root, alive, d = np.arange(len(prints)), np.arange(len(prints)), 0
-        found = []
         while True:
             d += 1
             alive = alive[alive + d < len(prints)]
@@ -105,22 +104,18 @@ def _links(bits: int):
             alive = alive[(run[alive + d] == run[alive]) & (first[alive + d] - first[alive] <= bits)]
             if not len(alive):
                 break
-            near = alive[(np.abs(coordinates[alive] - coordinates[alive + d]) <= bits).all(axis=1)]
+            near = alive[root[alive] != root[alive + d]]  # the others are connected already
+            near = near[(np.abs(coordinates[near] - coordinates[near + d]) <= bits).all(axis=1)]
             near = near[np.bitwise_count(prints[near] ^ prints[near + d]) <= bits]
-            if len(near):
-                found.append((near, near + d))
-        if not found:
-            return None
-        a, b = np.concatenate(found, axis=1)
-        while True:
-            low = np.minimum(root[a], root[b])
-            before = root.copy()
-            np.minimum.at(root, root[a], low)
-            np.minimum.at(root, root[b], low)
-            root = root[root]
-            if (root == before).all():
-                break
+            while len(near):
+                a, b = root[near], root[near + d]
+                np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+                while (root[root] != root).any():
+                    root = root[root]
+                near = near[root[near] != root[near + d]]
         ends = np.flatnonzero(root != np.arange(len(root)))
+        if not len(ends):
+            return None
         return pa.RecordBatch.from_arrays(
             [pa.array(prints[ends].view(np.int64)), pa.array(prints[root[ends]].view(np.int64))], ["a", "b"]
         )
