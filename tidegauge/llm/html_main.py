@@ -50,35 +50,46 @@ SECTIONS = {"tbody", "tfoot", "thead"}
 TABLE = {"td": {"tr", "table", *SECTIONS}, "th": {"tr", "table", *SECTIONS}, "tr": {"table", *SECTIONS}}
 TABLE |= dict.fromkeys([*SECTIONS, "caption"], {"table"})
 IN_HEAD = {"base", "basefont", "bgsound", "link", "meta", "noframes", "noscript", "script", "style", "template", "title"}
-# words of class, id and role attributes that tell what is not the page's own text
-_AWAY_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu|breadcrumbs?|sidebar|footer|header|masthead|"
-    r"cookies?|consent|notice|popup|modal|newsletter|subscribe|share|social|related|recommend\w*|comments?|replies|"
-    r"disqus|widget|pagination|copyright)(?:$|[\s_-])",
-    re.I,
+# words that, as a whole class or id, name what is not the page's own text
+_AWAY_WORD = (
+    r"(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu|breadcrumbs?|sidebar|footer|header|masthead|cookies?|consent|"
+    r"notice|popup|modal|newsletter|subscribe|share|social|related|recommend\w*|widget|pagination|copyright)"
 )
-_MAIN_NAME = re.compile(r"(?:^|\s)(?:main|article)(?:$|\s)", re.I)
+_COMMENT_WORD = r"(?:comments?|replies|disqus)"
+# such a word may have one before it that does not deny it, or a container's name after it
+_BEFORE = r"(?:(?!(?:no|not|non|has|have|with|without|is|js|show|hide|hidden|enable|disable)[-_])[a-z]+[-_])?"
+_AFTER = r"(?:[-_](?:area|banner|bar|block|box|buttons?|container|form|items?|links?|list|menu|notice|posts|section|slot|unit|widget|wrap|wrapper))?"
+_AWAY_NAME = re.compile(_BEFORE + _AWAY_WORD + _AFTER, re.I)
+_COMMENT_NAME = re.compile(_BEFORE + _COMMENT_WORD + _AFTER, re.I)
+_AWAY_ROLE = {"alertdialog", "banner", "complementary", "contentinfo", "dialog", "menu", "menubar", "navigation", "search", "toolbar"}
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>?|<[!?][^>]*>?", re.S)
 _NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:$|[\s=])|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 _SPACE = re.compile(r"\s+")
 
 OWN, UNKNOWN, SITE = 2, 1, 0
+SOFT = 3  # SITE by a name only: an article inside shows that the name meant something else
 
 
 def _role(name: str, attributes: str) -> int:
-    """What an element says about its text: OWN, SITE, or UNKNOWN for nothing; -1 for no text at all."""
+    """What an element says about its text: OWN, SITE, SOFT, or UNKNOWN for nothing; -1 for no text at all.
+    Names given to the whole page say nothing."""
     if name in SILENT or (attributes and _HIDDEN.search(attributes)):
         return -1
     if name in AWAY:
         return SITE
-    for m in _NAMED.finditer(attributes) if attributes else ():
-        value = m[2] or m[3] or m[4] or ""
-        if _AWAY_NAME.search(value):
-            return SITE
-        if m[1].lower() == "role" and _MAIN_NAME.search(value):
-            return OWN
-    return OWN if name in MAIN else UNKNOWN
+    said = OWN if name in MAIN else UNKNOWN
+    for m in _NAMED.finditer(attributes) if attributes and name not in ("html", "body") else ():
+        for token in (m[2] or m[3] or m[4] or "").split():
+            if m[1].lower() == "role":
+                if token.lower() in _AWAY_ROLE:
+                    return SITE
+                said = OWN if token.lower() in MAIN else said
+            elif _COMMENT_NAME.fullmatch(token):
+                return SITE
+            elif _AWAY_NAME.fullmatch(token):
+                said = SOFT
+    return said
 
 
 def _closed(name: str, names: list[str]) -> int:
@@ -118,7 +129,8 @@ def blocks(page: str) -> list[tuple[int, str]]:
         if text:
             line = _SPACE.sub(" ", html.unescape("".join(text))).strip()
             if line:
-                out.append((open_[-1][1] if open_ else UNKNOWN, line))
+                role = open_[-1][1] if open_ else UNKNOWN
+                out.append((SITE if role == SOFT else role, line))
             text.clear()
 
     at, end = 0, len(page)
@@ -156,7 +168,8 @@ def blocks(page: str) -> list[tuple[int, str]]:
         said = _role(name, tag[3])
         if said != UNKNOWN or name in BLOCKS or any(n == name for n, _ in open_):
             # what is away stays away, whatever stands inside; own text stays own unless it says otherwise
-            inner = role if said == UNKNOWN or role in (-1, SITE) else said
+            stays = said == UNKNOWN or role in (-1, SITE) or (role == SOFT and said == OWN and name not in MAIN)
+            inner = role if stays else said
             if inner != role:
                 flush()
             open_.append((name, inner))
