@@ -86,7 +86,8 @@ def op7_quality(spark, sf_dir):
 
 @query
 def op8_substring_dedup(spark, sf_dir):
-    return substrings.remove_repeats(load(spark, sf_dir, "documents")).drop("kept")
+    out = substrings.remove_repeats(load(spark, sf_dir, "documents")).drop("kept")
+    return out.withColumns({"n_kept": F.col("n_bytes") - F.col("n_removed"), "repeats": F.col("n_removed") > 0})
 
 
 @query
