@@ -152,17 +152,17 @@ def test_word_count_updates(spark, tmp_path, drain):
     assert sorted((r.batch, r.word, r.n) for r in out) == [(0, "a", 2), (0, "b", 1), (1, "b", 2), (1, "c", 1)]
 
 
-@pytest.mark.parametrize("how", ["inner", "full_outer"])
-def test_interval_join(spark, source, batch, drain, how):
+@pytest.mark.parametrize("how, slot", [("inner", "10 minutes"), ("full_outer", "10 minutes"), ("full_outer", "3 seconds")])
+def test_interval_join(spark, source, batch, drain, how, slot):
     pays = stream(spark, source).where("kind = 'pay' or k = -1")
     creates = stream(spark, source).where("kind = 'create' or k = -1")
-    got = drain(live_windows.interval_join(pays, creates, ["k"], "ts", "ts", "-3 seconds", "2 seconds", how))
+    got = drain(live_windows.interval_join(pays, creates, ["k"], "ts", "ts", "-3 seconds", "2 seconds", how, slot))
     want = joins.interval_join(
         batch.where("kind = 'pay'"), batch.where("kind = 'create'"), ["k"], "ts", "ts", "-3 seconds", "2 seconds", how
     )
 
     def ids(df):
-        return df.select("k", F.col("left.id").alias("l"), F.col("right.id").alias("r"))
+        return df.select("k", F.col("left.id").alias("l"), F.col("left.ts").alias("t"), F.col("right.id").alias("r"))
 
     same(ids(got), ids(want))
 

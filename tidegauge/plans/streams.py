@@ -191,7 +191,7 @@ def stream_pay_match(spark, sf_dir):
 def stream_pay_unmatched(spark, sf_dir):
     rows = events(spark, sf_dir).select("user_id", "event_id", "ts", "event_type")
     (pays, end_pays), (receipts, end_receipts) = [closing(rows.where(of_type(kind))) for kind in ("purchase", "click")]
-    outer = windows.interval_join(pays, receipts, ["user_id"], "ts", "ts", "-30 minutes", "30 minutes", "full_outer")
+    outer = windows.interval_join(pays, receipts, ["user_id"], "ts", "ts", "-30 minutes", "30 minutes", "full_outer", "1 day")
     alone = outer.where("left is null or right is null").select(
         F.when(F.col("right").isNull(), "unmatched pay").otherwise("unmatched receipt").alias("kind"),
         "user_id",

@@ -9,14 +9,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
+import numpy as np
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions.hashing import masked_hash
 from tidegauge.functions.time import floor_micros, micros
+from tidegauge.operators.timeline import DEFAULT_SLOT
 from tidegauge.operators.windows import event_window
+from tidegauge.streaming.rules import AT, SLOT, _Keyed, _kinds, _ms, by_slot
 
-BUCKET = "__bucket"
+BUCKET, CENTRE = "__bucket", "centre_us"
+# times in JSON keep their microseconds
+EXACT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
 def unique_count(df: DataFrame, ts: str, size: str, user: str) -> DataFrame:
@@ -61,40 +66,126 @@ def interval_join(
     lower: str = "-5 seconds",
     upper: str = "5 seconds",
     how: str = "inner",
+    slot: str = DEFAULT_SLOT,
 ) -> DataFrame:
-    """Stream-stream form of ``joins.interval_join``; both sides must carry a watermark.
+    """Stream-stream form of ``joins.interval_join``; both sides must carry a watermark, and the slower one decides.
 
-    The time bounds let Spark drop state neither side can match any more, and the slower input's
-    watermark decides. ``full_outer`` emits a row without partner once its time has passed.
+    The inner join is Spark's own, on (keys, time bucket), with buckets as wide as the interval: a left row is in
+    one, a right row in the one or two it can match in, so a hot key's rows are spread and only meet rows near
+    them. The time bounds let Spark drop state neither side can match any more.
 
-    The inner join is on (keys, time bucket), with buckets as wide as the interval: a left row is in one,
-    a right row in the one or two it can match in, so a hot key's rows are spread and only meet rows near
-    them. The copies would each count as unmatched in an outer join, which is on the keys alone.
+    ``full_outer`` also tells rows without partner, once all they could meet has passed. Copies in buckets would each
+    count as unmatched there, so rows are grouped by (keys, ``slot``) and a slot lends its neighbours the rows they
+    can reach; each row is told by its own slot. Rows without time take no part.
     """
     if how not in ("inner", "full_outer"):
         raise ValueError(f"unknown how {how!r}")
-    l, r, on = left, right, list(keys)
-    if how == "inner":
-        low, high, at = micros(lower), micros(upper), F.unix_micros(rts)
-        width = max(high - low, 1)
-        ends = floor_micros(at - high, width), floor_micros(at - low, width)
-        l = left.withColumn(BUCKET, floor_micros(F.unix_micros(lts), width))
-        r = right.withColumn(BUCKET, F.explode(F.sequence(*ends, F.lit(width))))
-        on.append(BUCKET)
-    l, r = l.alias("l"), r.alias("r")
+    low, high = micros(lower), micros(upper)
+    if how == "full_outer":
+        return _outer(left, right, keys, lts, rts, low, high, slot)
+    width, at = max(high - low, 1), F.unix_micros(rts)
+    ends = floor_micros(at - high, width), floor_micros(at - low, width)
+    l = left.withColumn(BUCKET, floor_micros(F.unix_micros(lts), width)).alias("l")
+    r = right.withColumn(BUCKET, F.explode(F.sequence(*ends, F.lit(width)))).alias("r")
     # literals, so that Spark can read the state bounds off the condition
-    low, high = [F.lit(timedelta(microseconds=micros(d))) for d in (lower, upper)]
     lt, rt = F.col(f"l.{lts}"), F.col(f"r.{rts}")
-    same = (rt >= lt + low) & (rt <= lt + high)
-    for k in on:
+    same = (rt >= lt + F.lit(timedelta(microseconds=low))) & (rt <= lt + F.lit(timedelta(microseconds=high)))
+    for k in (*keys, BUCKET):
         same = same & (F.col(f"l.{k}") == F.col(f"r.{k}"))
-
-    def side(alias: str, df: DataFrame, ts: str):
-        row = F.struct(*[F.col(f"{alias}.{c}").alias(c) for c in df.columns])
-        return F.when(F.col(f"{alias}.{ts}").isNotNull(), row)
-
-    return l.join(r, same, how).select(
-        *[F.coalesce(F.col(f"l.{k}"), F.col(f"r.{k}")).alias(k) for k in keys],
-        side("l", left, lts).alias("left"),
-        side("r", right, rts).alias("right"),
+    sides = [F.struct(*[F.col(f"{a}.{c}").alias(c) for c in df.columns]).alias(n)
+             for a, n, df in (("l", "left", left), ("r", "right", right))]
+    return l.join(r, same, "inner").select(*[F.col(f"l.{k}").alias(k) for k in keys], *sides)
+
+
+class _Meeting(_Keyed):
+    """Rows of one (key, slot) and those lent to it by the slots beside it. Told when all slots that lend are in."""
+
+    names = ("home", "left_us", "left_row", "right_us", "right_row")
+
+    def __init__(self, keys, low, high, width):
+        super().__init__([*keys, CENTRE], ["left", "right"])
+        self.low, self.high, self.width = low, high, width
+
+    def init(self, handle):
+        self.handle = handle
+        kinds = "home boolean, left_us array<long>, left_row array<string>, right_us array<long>, right_row array<string>"
+        self.parts = handle.getListState("parts", kinds)
+
+    def told(self, key, parts):
+        if not any(p[0] for p in parts):
+            return
+        sides = []
+        for at in (1, 3):
+            rows = sorted((us, row, p[0]) for p in parts for us, row in zip(p[at], p[at + 1]))
+            sides.append((np.array([r[0] for r in rows], np.int64), rows))
+        (l_us, left), (r_us, right) = sides
+        if any(k is None for k in key[:-1]):
+            l_us, r_us = l_us[:0], r_us[:0]  # null keys equal nothing
+        out = []
+        first, last = np.searchsorted(r_us, l_us + self.low, "left"), np.searchsorted(r_us, l_us + self.high, "right")
+        for i, (_, row, home) in enumerate(left):
+            if home:
+                met = range(first[i], last[i]) if i < len(l_us) else ()
+                out += [(row, right[j][1]) for j in met] or [(row, None)]
+        first, last = np.searchsorted(l_us, r_us - self.high, "left"), np.searchsorted(l_us, r_us - self.low, "right")
+        out += [(None, row) for j, (_, row, home) in enumerate(right) if home and (j >= len(r_us) or first[j] == last[j])]
+        yield from self.out(key, out)
+
+    def passed(self, timerValues):
+        us = timerValues.getCurrentWatermarkInMs() * 1000
+        return us - us % self.width
+
+    def handleInputRows(self, key, rows, timerValues):
+        new = [
+            tuple(x.tolist() if isinstance(x, np.ndarray) else x for x in row)
+            for frame in rows
+            for row in zip(*(frame[n].tolist() for n in self.names))
+        ]
+        due = key[-1] + 2 * self.width
+        if due <= self.passed(timerValues):
+            held = [tuple(p) for p in self.parts.get()] if self.parts.exists() else []
+            self.parts.clear()
+            yield from self.told(key, held + new)
+        else:
+            if not self.parts.exists():
+                self.handle.registerTimer(_ms(due))
+            self.parts.appendList(new)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        if self.parts.exists():
+            held = [tuple(p) for p in self.parts.get()]
+            self.parts.clear()
+            yield from self.told(key, held)
+
+
+def _outer(left: DataFrame, right: DataFrame, keys: Sequence[str], lts: str, rts: str, low: int, high: int, slot: str):
+    width, reach = micros(slot), max(abs(low), abs(high))
+    if reach > width:
+        raise ValueError("slot must be as wide as the interval reaches")
+
+    def tagged(df: DataFrame, ts: str, side: int) -> DataFrame:
+        row = F.struct(F.unix_micros(F.col(ts)).alias("us"), F.to_json(F.struct(*df.columns), EXACT).alias("row"))
+        return df.select(*keys, F.col(ts).alias("time"), F.lit(side).alias("side"), row.alias("row"))
+
+    both = tagged(left, lts, 0).unionByName(tagged(right, rts, 1))
+    lists = {n: F.array_sort(F.collect_list(F.when(F.col("side") == i, F.col("row")))) for i, n in enumerate(("l", "r"))}
+    slots = by_slot(both, keys, "time", slot, **lists)
+    start = F.col(SLOT)
+
+    def lent(to: int, near: str) -> Column:
+        l, r = [F.expr(f"filter({n}, x -> {near})") for n in ("l", "r")]
+        return F.struct((start + to).alias(CENTRE), F.lit(False).alias("home"), l.alias("l"), r.alias("r"))
+
+    own = F.struct(start.alias(CENTRE), F.lit(True).alias("home"), F.col("l"), F.col("r"))
+    before = lent(-width, f"x.us < {SLOT} + {reach + 1}")
+    after = lent(width, f"x.us >= {SLOT} + {width - reach}")
+    parts = slots.select(*keys, AT, F.explode(F.array(own, before, after)).alias("p")).where("size(p.l) + size(p.r) > 0")
+    parts = parts.select(
+        *keys, F.col(f"p.{CENTRE}").alias(CENTRE), AT, F.col("p.home").alias("home"),
+        *[F.col(f"p.{s}.{c}").alias(f"{n}_{c}") for s, n in (("l", "left"), ("r", "right")) for c in ("us", "row")],
+    )
+    found = parts.groupBy(*keys, CENTRE).transformWithStateInPandas(
+        _Meeting(keys, low, high, width), f"{_kinds(left, keys)}, {CENTRE} long, left string, right string", "append", "EventTime"
     )
+    sides = [F.from_json(n, df.schema, EXACT).alias(n) for n, df in (("left", left), ("right", right))]
+    return found.select(*keys, *sides)
