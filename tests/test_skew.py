@@ -230,3 +230,24 @@ def test_choose_slot(case):
     df, _ = case
     assert choose_slot(df, ["k"], "ts", rows_per_slot=10_000) == "30 days"
     assert choose_slot(df, ["k"], "ts", rows_per_slot=10) in ("10 seconds", "1 second")
+
+
+@pytest.mark.parametrize("kinds", [["create", "fail"], ["fail", "fail", "ok"], ["pay"]])
+def test_every_later_match(spark, kinds):
+    """One hot key, ties in time, and rows without key or time."""
+    rnd = random.Random(3)
+    rows = [(1 if i % 3 else rnd.randint(2, 4), 1_000_000 * rnd.randint(0, 60), i, rnd.choice(["create", "fail", "ok", "pay"])) for i in range(150)]
+    extra = [(None, 5_000_000, 900, "fail"), (1, None, 901, "fail")]
+    df = spark.createDataFrame(rows + extra, "k long, us long, id long, kind string").withColumn("ts", F.timestamp_micros("us"))
+    steps = [(f"s{i}", F.col("kind") == k) for i, k in enumerate(kinds)]
+    got = patterns.match_any(df, ["k"], "ts", "id", steps, "7 seconds")
+    want = [(r,) for r in rows if r[3] == kinds[0]]
+    for kind in kinds[1:]:
+        want = [
+            (*m, r)
+            for m in want
+            for r in rows
+            if r[3] == kind and r[0] == m[0][0] and (r[1], r[2]) > m[-1][1:3] and r[1] - m[0][1] < 7_000_000
+        ]
+    found = sorted(tuple(r) for r in got.select("k", *[f"{n}.id" for n, _ in steps]).collect())
+    assert found == sorted((m[0][0], *[r[2] for r in m]) for m in want) and found

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegauge.functions.time import micros
+from tidegauge.functions.time import floor_micros, micros
 from tidegauge.operators.timeline import DEFAULT_SLOT, SLOT, carry_over, in_slot, on_timeline, with_slot
 
 NEXT = "next"
@@ -111,3 +111,49 @@ def match_sequence(
     route = F.when(in_time(F.col("__chain.__end")), "match").when(~in_time(F.col("__chain.__broke")), "timeout")
     reached = [F.when(in_time(F.col(f"__chain.{n}.{ts}")), F.col(f"__chain.{n}")).alias(n) for n in names]
     return line.where("__chain is not null").select(*keys, *reached, route.alias("route")).where("route is not null")
+
+
+def match_any(
+    df: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    seq: str,
+    steps: Sequence[tuple[str, Column]],
+    within: str,
+    columns: Sequence[str] | None = None,
+) -> DataFrame:
+    """Every way to go through ``steps`` (name, condition) per key: each step any later row that fits, not just
+    the first, all less than ``within`` after the first. Rows of one time follow each other by ``seq``.
+
+    Result: keys and one struct per step, a row per match; starts without a match give none. Rows without key or
+    time take no part.
+
+    Steps are joined one after the other on (keys, time bucket), with buckets as wide as ``within``: what is begun
+    goes to the one or two buckets its next step can be in, and a hot key is spread along its history. Only
+    matches in the making are shuffled, with the columns asked for.
+    """
+    width = micros(within)
+    names = [name for name, _ in steps]
+    columns = list(columns or [c for c in df.columns if c not in keys])
+    line = on_timeline(df, keys, ts).withColumn("__us", F.unix_micros(F.col(ts))).withColumn("__seq", F.col(seq))
+    row = F.struct(*columns)
+    found = line.where(steps[0][1]).select(*keys, row.alias(names[0]), F.col("__us").alias("__start"), "__us", "__seq")
+    for i, (name, condition) in enumerate(steps[1:], 1):
+        step = line.where(condition).select(
+            *[F.col(k).alias(f"__key{n}") for n, k in enumerate(keys)],
+            row.alias(name),
+            F.col("__us").alias("__at"),
+            F.col("__seq").alias("__next"),
+            floor_micros(F.col("__us"), width).alias("__in"),
+        )
+        ends = [floor_micros(c, width) for c in (F.col("__us"), F.col("__start") + (width - 1))]
+        begun = found.withColumn("__bucket", F.explode(F.sequence(*ends, F.lit(width))))
+        same = F.col("__bucket") == F.col("__in")
+        for n, k in enumerate(keys):
+            same = same & (F.col(k) == F.col(f"__key{n}"))
+        later = (F.col("__at") > F.col("__us")) | ((F.col("__at") == F.col("__us")) & (F.col("__next") > F.col("__seq")))
+        pairs = begun.join(step, same & later & (F.col("__at") - F.col("__start") < width))
+        found = pairs.select(
+            *keys, *names[: i + 1], "__start", F.col("__at").alias("__us"), F.col("__next").alias("__seq")
+        )
+    return found.select(*keys, *names)

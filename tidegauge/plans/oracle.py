@@ -185,6 +185,12 @@ ORACLE: dict[str, str] = {
     "order_paid_warning": f"""
         SELECT *, CASE WHEN pay_ts <= create_ts + INTERVAL 4 HOUR THEN 'order paid ok' ELSE 'order timeout' END AS msg
         FROM {DAILY} WHERE create_ts IS NOT NULL AND (pay_ts IS NULL OR pay_ts >= create_ts)""",
+    "signup_paths": """
+        SELECT s.user_id, s.event_id AS signup, c.event_id AS click, p.event_id AS purchase
+        FROM events s JOIN events c ON c.user_id = s.user_id AND (c.ts, c.event_id) > (s.ts, s.event_id)
+        JOIN events p ON p.user_id = s.user_id AND (p.ts, p.event_id) > (c.ts, c.event_id)
+        WHERE s.event_type = 'signup' AND c.event_type = 'click' AND p.event_type = 'purchase'
+          AND p.ts < s.ts + INTERVAL 48 HOUR""",
     "pay_match": f"SELECT p.user_id, p.event_id AS pay_id, r.event_id AS receipt_id FROM {PAIRS}",
     "pay_unmatched": f"""
         SELECT 'unmatched pay' AS kind, user_id, event_id FROM events

@@ -340,6 +340,15 @@ def _pays_and_receipts(spark, sf_dir):
     return rows.where(of_type("purchase")).drop("event_type"), rows.where(of_type("click")).drop("event_type")
 
 
+@query
+def signup_paths(spark, sf_dir):
+    """Every click and every later purchase within two days of a signup, not just the first ones."""
+    steps = [(n, of_type(n)) for n in ("signup", "click", "purchase")]
+    rows = events(spark, sf_dir).select("user_id", "ts", "event_id", "event_type")
+    found = patterns.match_any(rows, ["user_id"], "ts", "event_id", steps, "48 hours", ["event_id"])
+    return found.select("user_id", *[F.col(f"{n}.event_id").alias(n) for n, _ in steps])
+
+
 @query
 def pay_match(spark, sf_dir):
     pays, receipts = _pays_and_receipts(spark, sf_dir)
