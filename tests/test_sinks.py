@@ -107,3 +107,42 @@ def test_topic_payload_and_options(spark, rows):
         "startingOffsets": "latest",
         "kafka.group.id": "g",
     }
+
+
+def test_appended_changes_are_merged_on_read_and_by_size(spark, tmp_path):
+    out = str(tmp_path / "t")
+
+    def rows(ids, ts, v):
+        if isinstance(ids, range):
+            return spark.range(ids.start, ids.stop).select("id", F.lit(ts).cast("long").alias("ts"), F.lit(v).alias("v"))
+        return spark.createDataFrame([(i, ts, v) for i in ids], "id long, ts long, v string")
+
+    def state():
+        return {r.id: (r.ts, r.v) for r in tables.read_table(spark, out).collect()}
+
+    def add(ids, ts, v):
+        tables.append_table(rows(ids, ts, v), out, ["id"], ["ts"], ["v"], parts=4)
+
+    want = {}
+    for ts, ids, v in [(1, range(40_000), "a"), (2, [3], "b"), (3, [3, 50_000], "c"), (1, [3, 7], "old"), (3, [3, 50_000], "c")]:
+        add(ids, ts, v)
+        for i in ids:
+            want[i] = max(want.get(i, (0, "")), (ts, v), key=lambda x: x[0])
+        assert state() == want
+    # the first batch became the parts' first generation; the small ones after it are deltas still
+    assert tables._complete(spark, out) == [1]
+    assert len(tables._complete(spark, out, tables.DELTA)) == 5
+    before = {f.name for f in tmp_path.glob("t/gen=*/part=*/*.parquet")}
+    add(range(0, 30_000), 9, "new")
+    want |= {i: (9, "new") for i in range(30_000)}
+    assert state() == want and len(tables._complete(spark, out)) == 2
+    assert before <= {f.name for f in tmp_path.glob("t/gen=*/part=*/*.parquet")}
+    tables.expire(spark, out, keep=1)
+    assert state() == want
+    assert not list(tmp_path.glob("t/delta=*/part=*/*.parquet"))
+    with pytest.raises(ValueError):
+        tables.append_table(rows([1], 1, "x"), out, ["id"], ["v"], ["v"])
+    # a delta without its mark does not count
+    add([1], 10, "seen")
+    (tmp_path / "t" / f"delta={max(tables._complete(spark, out, tables.DELTA))}" / "_SUCCESS").unlink()
+    assert state() == want

@@ -12,7 +12,7 @@ from tidegauge.operators import ranking
 from tidegauge.session import checkpoint_dir
 from tidegauge.sinks.files import write_documents
 from tidegauge.sinks.jdbc import upsert_jdbc
-from tidegauge.sinks.tables import expire, upsert_table
+from tidegauge.sinks.tables import append_table, expire
 
 # fixed value: how often a long-running job checkpoints
 CHECKPOINT_EVERY = "60 seconds"
@@ -92,10 +92,10 @@ def to_upsert_table(
     df: DataFrame, name: str, path: str, keys: Sequence[str], order: Sequence[str], values: Sequence[str],
     parts: int = 64, mode: str = "append", every: str | None = CHECKPOINT_EVERY, keep: int = 2,
 ) -> StreamingQuery:
-    """Merge each micro-batch; of a part, its ``keep`` newest generations stay for readers."""
+    """Append each micro-batch's changes; of a part, its ``keep`` newest generations stay for readers."""
 
     def merge(batch: DataFrame, _: int) -> None:
-        upsert_table(batch, path, keys, order, values, parts)
+        append_table(batch, path, keys, order, values, parts)
         expire(batch.sparkSession, path, keep)
 
     return each_batch(df, name, merge, mode, every)
