@@ -279,6 +279,11 @@ ORACLE |= {
         SELECT {text_time('window_end')} AS window_end, province, "count"
         FROM ({sliding(GOOD_CLICKS, 'province', HOUR, 5 * SECOND)})""",
     "stream_sensor_min": ORACLE["sensor_min_window"],
+    "stream_channel_count": ORACLE["channel_count"],
+    "stream_word_sum": ORACLE["running_word_sum"],
+    "stream_value_sum": ORACLE["running_sum"],
+    "stream_running_reduce": ORACLE["running_reduce"],
+    "stream_uv_running": ORACLE["uv_running"],
     "stream_fail_times": """
         SELECT user_id, fail1, CASE WHEN second THEN e1 END AS fail2, CASE WHEN third THEN e2 END AS fail3, route FROM (
             SELECT *, CASE WHEN third THEN 'match' WHEN k1 <> 'error' AND near1 OR second AND k2 <> 'error' AND near2 THEN NULL

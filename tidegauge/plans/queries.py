@@ -144,25 +144,24 @@ def uv_running(spark, sf_dir):
 CHANNELS = ("google store", "facebook", "apple store", "wechat", "webo")
 
 
-def _marketing(spark, sf_dir):
+def marketing(rows: DataFrame) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
     channel = F.element_at(F.array(*[F.lit(c) for c in CHANNELS]), k % len(CHANNELS) + 1)
-    kept = events(spark, sf_dir).where(~of_type("error"))
-    return kept.select("ts", channel.alias("channel"), F.col("event_type").alias("behavior"))
+    return rows.where(~of_type("error")).select("ts", channel.alias("channel"), F.col("event_type").alias("behavior"))
 
 
-def _as_text(counts: DataFrame) -> DataFrame:
+def as_text(counts: DataFrame) -> DataFrame:
     return counts.withColumns({c: epoch_text(F.col(c)) for c in ("window_start", "window_end")})
 
 
 @query
 def channel_count(spark, sf_dir):
-    return _as_text(windows.sliding_count(_marketing(spark, sf_dir), "ts", "1 hour", "10 seconds", ["channel", "behavior"]))
+    return as_text(windows.sliding_count(marketing(events(spark, sf_dir)), "ts", "1 hour", "10 seconds", ["channel", "behavior"]))
 
 
 @query
 def market_total(spark, sf_dir):
-    total = _as_text(windows.sliding_count(_marketing(spark, sf_dir), "ts", "1 hour", "10 seconds"))
+    total = as_text(windows.sliding_count(marketing(events(spark, sf_dir)), "ts", "1 hour", "10 seconds"))
     return total.select(
         "window_start", "window_end", F.lit("app marketing").alias("channel"), F.lit("total").alias("behavior"), "count"
     )

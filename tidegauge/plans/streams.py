@@ -18,12 +18,12 @@ from tidegauge.functions.time import epoch_text
 from tidegauge.operators import patterns as match
 from tidegauge.operators import ranking, routing
 from tidegauge.operators.windows import window_agg, with_event_time
-from tidegauge.plans.queries import as_access_lines, of_type, query
+from tidegauge.plans.queries import as_access_lines, as_text, marketing, of_type, query
 from tidegauge.plans.tables import SCHEMAS
 from tidegauge.session import SETTINGS, checkpoint_dir
 from tidegauge.sinks.tables import read_table
 from tidegauge.sources import parse
-from tidegauge.streaming import patterns, rules, run, sliding, windows
+from tidegauge.streaming import patterns, rules, run, running, sliding, windows
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 
@@ -289,3 +289,45 @@ def stream_signup_path(spark, sf_dir):
         return found.select("user_id", *[F.col(f"{n}.event_id").alias(n) for n, _ in steps], "route")
 
     return stored(events(spark, sf_dir).select("user_id", "ts", "event_id", "event_type"), "signup_path", plan, event_type="signup")
+
+
+@query
+def stream_channel_count(spark, sf_dir):
+    def plan(rows):
+        return as_text(sliding.sliding_count(marketing(rows), "ts", "1 hour", "10 seconds", ["channel", "behavior"]))
+
+    rows = events(spark, sf_dir).select("ts", "event_type", "props")
+    return stored(rows, "channel_count", plan, event_type="view", props='{"k": 0}')
+
+
+@query
+def stream_word_sum(spark, sf_dir):
+    def plan(rows):
+        return running.running_sum(rows, ["word"], "ts", "event_id", F.lit(1), "n").drop("ts")
+
+    return stored(events(spark, sf_dir).select("ts", "event_id", F.col("event_type").alias("word")), "word_sum", plan)
+
+
+@query
+def stream_value_sum(spark, sf_dir):
+    def plan(rows):
+        summed = running.running_sum(rows, ["user_id"], "ts", "event_id", F.col("value").cast("decimal(18,2)"), scale=2)
+        return summed.select("event_id", "user_id", F.col("running").cast("double").alias("running"))
+
+    return stored(events(spark, sf_dir).select("user_id", "ts", "event_id", "value"), "value_sum", plan)
+
+
+@query
+def stream_running_reduce(spark, sf_dir):
+    def plan(rows):
+        return running.running_reduce(rows, "user_id", "ts", "value", "event_id")
+
+    return stored(events(spark, sf_dir).select("user_id", "ts", "event_id", "value"), "running_reduce", plan)
+
+
+@query
+def stream_uv_running(spark, sf_dir):
+    def plan(views):
+        return running.running_unique(views, "ts", "1 hour", "user_id", "event_id").withColumnRenamed("seq", "event_id")
+
+    return stored(events(spark, sf_dir).where(of_type("view")), "uv_running", plan)
