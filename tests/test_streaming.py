@@ -123,6 +123,27 @@ def test_top_n(spark, source, batch, tmp_path):
     same(got, ranking.top_n(counts(batch), "window_end", "n", "kind", 2), None)
 
 
+def test_late_rows_correct_a_published_ranking(spark, tmp_path):
+    def row(i, second, kind_):
+        return 1, second * 1_000_000, i, kind_, 0.0
+
+    first = [row(i, 10 + i, k) for i, k in enumerate("aaabbc")] + [row(20 + i, 70 + i, "a") for i in range(2)]
+    late = [row(40 + i, 12, "c") for i in range(3)] + [row(50, 75, "b")]
+    path, out, name = str(tmp_path / "in"), str(tmp_path / "ranks"), fresh("refined")
+    counts = windows.window_agg(stream(spark, path + "/*", "2 minutes"), "ts", "1 minute", keys=["kind"], n=F.count(F.lit(1)))
+
+    def ranks(rows, number):
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{path}/{number}")
+        run.refined_top_n(counts, name, out, "window_end", "n", "kind", 2, 4, every=None).awaitTermination(120)
+        found = read_table(spark, out).withColumn("end", F.unix_seconds("window_end"))
+        return {(r.end, r["rank"]): (r.kind, r.n, r.version) for r in found.collect()}
+
+    assert ranks(first, 0) == {(60, 1): ("a", 3, 0), (60, 2): ("b", 2, 0), (120, 1): ("a", 2, 0)}
+    after = ranks(late, 1)
+    assert {k: v[:2] for k, v in after.items()} == {(60, 1): ("c", 4), (60, 2): ("a", 3), (120, 1): ("a", 2), (120, 2): ("b", 1)}
+    assert after[60, 1][2] > 0
+
+
 def test_unique_count(spark, source, batch, drain):
     got = drain(live_windows.unique_count(stream(spark, source), "ts", "1 minute", "k"))
     same(got.where(F.unix_seconds("window_end") < FAR), distinct.unique_count(batch, "ts", "1 minute", "k"), None)

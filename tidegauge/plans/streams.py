@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 
 from tidegauge.functions.time import epoch_text
 from tidegauge.operators import patterns as match
-from tidegauge.operators import ranking, routing
+from tidegauge.operators import routing
 from tidegauge.operators.windows import window_agg, with_event_time
 from tidegauge.plans.queries import as_access_lines, as_text, marketing, of_type, query
 from tidegauge.plans.tables import SCHEMAS
@@ -161,20 +161,17 @@ def stream_ad_by_geo(spark, sf_dir):
 
 @query
 def stream_hot_urls(spark, sf_dir):
-    """Counts leave with each batch and rows late by up to a minute still correct them; the table keeps
-    each window's newest count, and the ranking is taken from it."""
+    """Counts leave with each batch and rows late by up to a minute still correct them; each window keeps its three
+    best, which later counts replace."""
     visits = routing.drop_static_urls(parse.parse_access_log(as_access_lines(events(spark, sf_dir))))
     visits = with_event_time(visits, "ts", "timestamp", delay="1 second", lateness="1 minute")
     counts = window_agg(visits, "ts", "1 hour", "5 minutes", keys=["url"], count=F.count(F.lit(1)))
     out = finish(
         spark,
         "hot_urls",
-        lambda unique, path: run.to_upsert_table(
-            counts, unique, path, ["window_end", "url"], ["count"], ["count"], 8, "update", None
-        ),
+        lambda unique, path: run.refined_top_n(counts, unique, path, "window_end", "count", "url", 3, 8, None),
     )
-    newest = read_table(spark, out).select("window_end", "url", "count")
-    return ranking.top_n(newest, "window_end", "count", "url", 3)
+    return read_table(spark, out).select("window_end", "url", "count", "rank")
 
 
 @query

@@ -125,6 +125,11 @@ def _parts(spark: SparkSession, path: str, wanted: int) -> int:
     return wanted
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether anything has been stored at ``path``."""
+    return bool(_complete(spark, path) or _complete(spark, path, DELTA))
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     stored = _stored(spark, path)
     if stored is None:

@@ -12,7 +12,7 @@ from tidegauge.operators import ranking
 from tidegauge.session import checkpoint_dir
 from tidegauge.sinks.files import write_documents
 from tidegauge.sinks.jdbc import upsert_jdbc
-from tidegauge.sinks.tables import append_table, expire
+from tidegauge.sinks.tables import append_table, exists, expire, read_table
 
 # fixed value: how often a long-running job checkpoints
 CHECKPOINT_EVERY = "60 seconds"
@@ -101,6 +101,33 @@ def to_upsert_table(
     return each_batch(df, name, merge, mode, every)
 
 
+def refined_top_n(
+    counts: DataFrame, name: str, path: str, window_col: str, order_col: str, key: str, n: int, parts: int = 64,
+    every: str | None = CHECKPOINT_EVERY, keep: int = 2,
+) -> StreamingQuery:
+    """A ranking that late rows still correct: counts leave with each micro-batch (update mode), and the table at
+    ``path`` keeps the newest ``n`` ranks of each window, with the micro-batch that set them as ``version``.
+
+    Counts only grow, so an entry outside the ranking can enter it only with a new count. The ranks of the windows
+    that a micro-batch touches, ``n`` rows each, and its own counts are thus all it takes to rank anew: no count
+    outside the ranking is kept, and no other window is looked at. Ranks are replaced, never removed.
+    """
+
+    def rank(batch: DataFrame, version: int) -> None:
+        spark, fresh = batch.sparkSession, batch.select(window_col, order_col, key)
+        if exists(spark, path):
+            touched = fresh.select(window_col).distinct()
+            # also those of a first attempt at this micro-batch: the larger count of a key is the newer
+            ranks = read_table(spark, path)
+            fresh = fresh.unionByName(ranks.join(touched, window_col, "left_semi").select(window_col, order_col, key))
+        newest = fresh.groupBy(window_col, key).agg(F.max(order_col).alias(order_col))
+        ranked = ranking.top_n(newest, window_col, order_col, key, n).withColumn("version", F.lit(version).cast("long"))
+        append_table(ranked, path, [window_col, "rank"], ["version"], ["version", order_col, key], parts)
+        expire(spark, path, keep)
+
+    return each_batch(counts, name, rank, "update", every)
+
+
 def to_jdbc(
     df: DataFrame, name: str, url: str, table: str, keys: Sequence[str], order: Sequence[str], values: Sequence[str],
     properties: dict[str, str] | None = None, every: str | None = CHECKPOINT_EVERY,
