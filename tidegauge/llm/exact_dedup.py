@@ -3,10 +3,11 @@
 A key is a text's 64-bit hash. The directory maps key prefixes to buckets; where a bucket would hold
 more than ``capacity`` keys, it is split, and the directory doubles as far as the deepest bucket needs.
 Owner tasks take key ranges (whole buckets), sort them, chain the texts of equal keys and compare their
-bytes. What they write is the index: one entry per distinct text, in files of the shared folder.
+bytes. What they write is the index, in files of the shared folder: which entry (bucket, key, place in the
+chain) each text they were sent is. Rows find their group by that entry alone.
 
 One text may make up a third of all rows: scanning tasks hand each distinct text on once per few
-megabytes they read, and rows are counted by partial sums.
+megabytes of them, rows carry a reference to it, and groups are counted from a partial sum per reference.
 """
 
 from __future__ import annotations
@@ -17,8 +18,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
-from pyspark.sql import Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.llm.common import small_batches, texts_of, written
@@ -33,64 +34,68 @@ def _keyed(raw: bytes) -> tuple[int, bytes]:
     return xxhash.xxh64_intdigest(text) - (1 << 63), text
 
 
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in small_batches(batches, "text"):
-        rows = [_keyed(raw) for raw in texts_of(batch.column("text"))]
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("doc_id"),
-                batch.column("points"),
-                pa.array([k for k, _ in rows], pa.int64()),
-                pa.array([hashlib.sha256(t).hexdigest() for _, t in rows], pa.string()),
-            ],
-            names=["doc_id", "points", "key", "text_sha256"],
-        )
-
-
-def _distinct_texts(directory: np.ndarray, depth: int, held: int = 32 << 20):
-    """Texts of a task, each once per ``held`` bytes of distinct texts, with the bucket that owns them."""
-
-    def rows(found: dict[bytes, int]) -> pa.RecordBatch:
-        keys = np.array(list(found.values()), np.int64)
-        place = (keys.astype(np.uint64) ^ np.uint64(1 << 63)) >> np.uint64(64 - depth) if depth else np.zeros(len(keys), int)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(directory[place.astype(np.int64)], pa.int32()), pa.array(keys), pa.array(list(found), pa.binary())],
-            names=["bucket", "key", "text"],
-        )
+def _scanned(held: int = 32 << 20):
+    """A row per document, with a reference to its text: of equal texts of a task, the first of each ``held`` bytes
+    of distinct texts carries the text, the others its reference only."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, size = {}, 0
+        part, number = TaskContext.get().partitionId(), 0
+        found: dict[bytes, int] = {}
+        size = 0
         for batch in small_batches(batches, "text"):
+            refs, keys, texts = [], [], []
             for raw in texts_of(batch.column("text")):
                 key, text = _keyed(raw)
-                if text not in found:
-                    found[text] = key
+                ref = found.get(text)
+                if ref is None:
+                    ref = found[text] = part << 33 | number
+                    number += 1
                     size += len(text) + 100
+                    texts.append(text)
+                else:
+                    texts.append(None)
+                refs.append(ref)
+                keys.append(key)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("points"), pa.array(refs, pa.int64()), pa.array(keys, pa.int64()),
+                 pa.array(texts, pa.binary())],
+                names=["doc_id", "points", "ref", "key", "bare"],
+            )
             if size > held:
-                yield rows(found)
                 found, size = {}, 0
-        if found:
-            yield rows(found)
+
+    return scan
+
+
+def _placed(directory: np.ndarray, depth: int):
+    """Texts with the bucket that owns their key."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column("key").to_numpy()
+            place = (keys.astype(np.uint64) ^ np.uint64(1 << 63)) >> np.uint64(64 - depth) if depth else np.zeros(len(keys), int)
+            bucket = pa.array(directory[place.astype(np.int64)], pa.int32())
+            yield pa.RecordBatch.from_arrays([bucket, *batch.columns], names=["bucket", *batch.schema.names])
 
     return scan
 
 
 def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Index entries of key ranges sorted by key: a chain per key, told apart by their bytes."""
+    """The entry of each reference, of key ranges sorted by key: a chain of texts per key, told apart by their bytes."""
     last, chain = None, []
-    for batch in small_batches(batches, "text"):
+    for batch in small_batches(batches, "bare"):
         out = []
-        for bucket, key, text in zip(*(batch.column(c).to_pylist() for c in ("bucket", "key", "text"))):
+        for bucket, key, ref, text in zip(*(batch.column(c).to_pylist() for c in ("bucket", "key", "ref", "bare"))):
             if key != last:
                 last, chain = key, []
-            if text not in chain:
-                out.append((bucket, key, len(chain), hashlib.sha256(text).hexdigest()))
-                chain.append(text)
-        if out:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int64(), pa.int32(), pa.string()))],
-                names=["bucket", "key", "slot", "text_sha256"],
-            )
+            slot = next((i for i, (known, _) in enumerate(chain) if known == text), len(chain))
+            if slot == len(chain):
+                chain.append((text, hashlib.sha256(text).hexdigest()))
+            out.append((ref, bucket, key, slot, chain[slot][1]))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.string()))],
+            names=["ref", "bucket", "key", "slot", "text_sha256"],
+        )
 
 
 def directory_of(keys: DataFrame, capacity: int) -> tuple[np.ndarray, int]:
@@ -137,23 +142,24 @@ def exact_groups(docs: DataFrame, capacity: int = 50_000) -> DataFrame:
     """
     spark = docs.sparkSession
     texts = docs.select("doc_id", "text", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("points"))
-    schema = "doc_id long, points long, key long, text_sha256 string"
-    rows = texts.mapInArrow(_digests, schema).withColumn("row", F.monotonically_increasing_id())
-    rows = written(rows, "digests")
-    directory, depth = directory_of(rows, capacity)
+    rows = texts.mapInArrow(_scanned(), "doc_id long, points long, ref long, key long, bare binary")
+    rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "scanned")
+    distinct = rows.where("bare is not null").select("key", "ref", "bare")
+    directory, depth = directory_of(distinct, capacity)
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-len(set(directory.tolist())) // 4))
     owned = (
-        docs.select("text")
-        .mapInArrow(_distinct_texts(directory, depth), "bucket int, key long, text binary")
+        distinct.mapInArrow(_placed(directory, depth), "bucket int, key long, ref long, bare binary")
         .repartition(tasks, "bucket")
         .sortWithinPartitions("key")
-        .mapInArrow(_own, "bucket int, key long, slot int, text_sha256 string")
+        .mapInArrow(_own, "ref long, bucket int, key long, slot int, text_sha256 string")
     )
     index = written(owned, "index")
     best = F.min(F.struct((-F.col("points")).alias("p"), F.col("doc_id").isNull().alias("n"), "doc_id", "row"))
-    sizes = rows.groupBy("key", "text_sha256").agg(best.alias("best"), F.count("*").alias("group_size"))
-    groups = index.join(sizes, ["key", "text_sha256"])
-    return rows.join(groups, ["key", "text_sha256"]).select(
+    partial = rows.groupBy("ref").agg(best.alias("best"), F.count("*").alias("n"))
+    entry = ["bucket", "key", "slot"]
+    groups = index.join(partial, "ref").groupBy(*entry).agg(F.min("best").alias("best"), F.sum("n").alias("group_size"))
+    found = index.join(groups, entry).select("ref", "best", "group_size", "text_sha256", "bucket")
+    return rows.select("doc_id", "row", "ref").join(found, "ref").select(
         "doc_id",
         F.col("best.doc_id").alias("keep_id"),
         "group_size",
