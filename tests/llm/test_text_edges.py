@@ -2,6 +2,7 @@
 
 import hashlib
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -217,3 +218,22 @@ def test_warc(spark):
     found = warc.read_warc(spark, path, F.col("page_id") == 2)
     assert found.select("payload").collect()[0][0] == big.encode()
     assert warc.read_warc(spark, path, payload=False).where("payload is not null").count() == 0
+
+
+def test_owners_tell_colliding_keys_apart_by_bytes():
+    """Texts of one key, over two batches: the same bytes get the same place in the chain."""
+    texts = [b"a", b"b", b"a", b"c", b"b"]
+    batches = [
+        pa.RecordBatch.from_pydict(
+            {
+                "bucket": pa.array([7] * len(part), pa.int32()),
+                "key": pa.array([5] * len(part), pa.int64()),
+                "ref": pa.array(refs, pa.int64()),
+                "bare": pa.array(part, pa.binary()),
+            }
+        )
+        for part, refs in ((texts[:3], [10, 11, 12]), (texts[3:], [13, 14]))
+    ]
+    rows = [r for batch in exact_dedup._own(iter(batches)) for r in batch.to_pylist()]
+    assert [(r["ref"], r["bucket"], r["key"], r["slot"]) for r in rows] == [(10, 7, 5, 0), (11, 7, 5, 1), (12, 7, 5, 0), (13, 7, 5, 2), (14, 7, 5, 1)]
+    assert [r["text_sha256"] for r in rows] == [hashlib.sha256(t).hexdigest() for t in texts]
