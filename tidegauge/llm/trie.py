@@ -167,8 +167,8 @@ def prefix_trie(turns: DataFrame, convs: DataFrame, block: int = BLOCK) -> DataF
     split = apart.groupBy(*NODE, "a_before", "b_before").agg(
         F.max("points").alias("points"), F.count("*").alias("n_convs"), F.min("conv_id").alias("conv_id")
     )
-    root = convs.agg(F.count("*").alias("n_convs"), F.min("conv_id").alias("conv_id")).where("n_convs > 0")
-    root = root.select(*[zero.alias(c) for c in (*NODE, "points")], "n_convs", "conv_id")
+    root = convs.groupBy(*[zero.alias(c) for c in (*NODE, "points")])
+    root = root.agg(F.count("*").alias("n_convs"), F.min("conv_id").alias("conv_id"))
     nodes = together.unionByName(split, True).unionByName(root, True)
 
     up = [F.col("depth") - 1, F.col("a_before"), F.col("b_before")]
@@ -186,7 +186,7 @@ def prefix_trie(turns: DataFrame, convs: DataFrame, block: int = BLOCK) -> DataF
     owned = written(owned, "owners")
     of_groups = blocks.select("conv_id", *key).join(owned, "conv_id").groupBy(*key).agg(*sums)
     of_split = apart.select("conv_id", *NODE).join(owned, "conv_id").groupBy(*NODE).agg(*sums)
-    of_root = owned.agg(*sums).select(*[zero.alias(c) for c in NODE], "all_saved", "n_leaves")
+    of_root = owned.groupBy(*[zero.alias(c) for c in NODE]).agg(*sums)
     whole, rest = nodes.where("from_a is not null"), nodes.where("from_a is null")
     summed = whole.join(of_groups, key).unionByName(rest.join(of_split.unionByName(of_root), list(NODE)))
 
