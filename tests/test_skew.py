@@ -11,7 +11,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidegauge.operators import distinct, joins, patterns, rules, running
-from tidegauge.operators.timeline import choose_slot
 
 SLOT = "1 second"
 N = 1200
@@ -226,12 +225,6 @@ def test_interval_join(case, low, high):
     assert sorted(r.right.id for r in outer if not r.left) == sorted(rights - right_met)
 
 
-def test_choose_slot(case):
-    df, _ = case
-    assert choose_slot(df, ["k"], "ts", rows_per_slot=10_000) == "30 days"
-    assert choose_slot(df, ["k"], "ts", rows_per_slot=10) in ("10 seconds", "1 second")
-
-
 @pytest.mark.parametrize("kinds", [["create", "fail"], ["fail", "fail", "ok"], ["pay"]])
 def test_every_later_match(spark, kinds):
     """One hot key, ties in time, and rows without key or time."""

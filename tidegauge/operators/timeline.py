@@ -25,7 +25,6 @@ from tidegauge.functions.time import bucket_start, micros
 
 SLOT = "__slot"
 DEFAULT_SLOT = "10 minutes"
-_LADDER = ("30 days", "1 day", "6 hours", "1 hour", "10 minutes", "1 minute", "10 seconds", "1 second")
 
 
 def with_slot(df: DataFrame, ts: str, width: str = DEFAULT_SLOT) -> DataFrame:
@@ -129,20 +128,3 @@ def islands(
     )
     return joined.select(*keys, ts, seq, "__row.*", F.coalesce("__local", "__inherited").alias("run_start"))
 
-
-def choose_slot(df: DataFrame, keys: Sequence[str], ts: str, rows_per_slot: int = 5_000_000) -> str:
-    """Widest slot on the ladder whose fullest ``(key, slot)`` holds at most ``rows_per_slot`` rows.
-
-    One pre-aggregated pass per width tried; a single number per width reaches the driver.
-    """
-    for width in _LADDER:
-        fullest = (
-            with_slot(df.select(*keys, ts), ts, width)
-            .groupBy(*keys, SLOT)
-            .count()
-            .agg(F.max("count"))
-            .first()[0]
-        )
-        if fullest is None or fullest <= rows_per_slot:
-            return width
-    return _LADDER[-1]
