@@ -11,12 +11,13 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from tidegauge.operators import aggregates, distinct, joins, orders, patterns, ranking, rules, windows
+from tidegauge.operators import aggregates, distinct, joins, orders, patterns, ranking, rules, running, windows
 from tidegauge.operators.windows import with_event_time
 from tidegauge.sinks.tables import read_table
 from tidegauge.streaming import patterns as live_patterns
 from tidegauge.streaming import rules as live
-from tidegauge.streaming import run
+from tidegauge.streaming import run, sliding
+from tidegauge.streaming import running as live_running
 from tidegauge.streaming import windows as live_windows
 
 SCHEMA = "k long, us long, id long, kind string, v double"
@@ -389,6 +390,44 @@ def test_sequences_of_steps(spark, jumbled, drain, pieces, name):
     same(drain(flat(got)), want)
 
 
+def with_batch(spark, jumbled):
+    path, rows = jumbled
+    batch = with_event_time(spark.createDataFrame(rows, SCHEMA), "us", "microseconds")
+    return stream(spark, path, "25 seconds"), batch
+
+
+@pytest.mark.parametrize("offset", [None, "-2 seconds"])
+def test_sliding_counts_from_panes(spark, jumbled, drain, pieces, offset):
+    rows, batch = with_batch(spark, jumbled)
+    got = drain(sliding.sliding_count(rows, "ts", "20 seconds", "5 seconds", ["k"], offset))
+    same(got.where(F.unix_seconds("window_end") < FAR), windows.sliding_count(batch, "ts", "20 seconds", "5 seconds", ["k"], offset))
+
+
+def test_sliding_minima_from_panes(spark, jumbled, drain, pieces):
+    rows, batch = with_batch(spark, jumbled)
+    got = drain(sliding.sliding_min(rows, "ts", "20 seconds", "5 seconds", ["k"], "v", "low"))
+    want = windows.sliding_agg(batch, "ts", "20 seconds", "5 seconds", ["k"], low=("min", "v")).where("low is not null")
+    same(got, want)
+
+
+def test_running_results(spark, jumbled, drain, pieces, tmp_path):
+    rows, batch = with_batch(spark, jumbled)
+    got = drain(live_running.running_sum(rows, ["k"], "ts", "id", F.col("us"), "total", slot="5 seconds"))
+    same(got, running.running_sum(batch, ["k"], "ts", "id", F.col("us"), "total").select(*got.columns))
+
+
+def test_running_fold(spark, jumbled, drain, pieces):
+    rows, batch = with_batch(spark, jumbled)
+    got = drain(live_running.running_reduce(rows, "k", "ts", "v", "id", slot="5 seconds"))
+    same(got, running.running_reduce(batch, "k", "ts", "v", "id"))
+
+
+def test_running_distinct(spark, jumbled, drain, pieces):
+    rows, batch = with_batch(spark, jumbled)
+    got = drain(live_running.running_unique(rows, "ts", "1 minute", "id", "id", "5 seconds"))
+    same(got.where(F.unix_seconds("window_end") < FAR), distinct.running_unique(batch, "ts", "1 minute", "id", "id"), None)
+
+
 def test_told_orders_leave_the_state(spark, tmp_path):
     # from second 1: the watermark begins at 0, and rows at or behind it are late
     rows = [(i, i * 1_000_000 + j, 2 * i + j, "pay" if j else "create", 0.0) for i in range(1, 201) for j in range(2)]
