@@ -1,6 +1,7 @@
 """Registered text queries against DuckDB, brute force or held-out labels on the smallest tables."""
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -9,7 +10,7 @@ from compare import assert_same, connect
 from conftest import SMALL
 
 import corpus_pipeline
-from tidegauge.llm.common import load
+from tidegauge.llm.common import SCHEMAS, load
 from tidegauge.llm.oracle import ORACLE
 from tidegauge.llm.queries import QUERIES
 
@@ -55,6 +56,34 @@ def test_substrings_against_brute_force(spark, texts):
         assert (r.n_removed, r.n_spans, r.kept_sha256) == (removed, runs, hashlib.sha256(rest).hexdigest())
 
 
+def test_planted_passages_go_from_400_bytes_on(spark, tmp_path):
+    rng = random.Random(8)
+
+    def prose(n, letters="abcdefghijklmnopqrstuvwxyz"):
+        return " ".join("".join(rng.choices(letters, k=rng.randint(2, 8))) for _ in range(n))
+
+    texts, sizes = {0: None, 1: "", 2: prose(20)}, {}
+    for size in (330, 399, 400, 401, 700):
+        passage = prose(200)[: size - 1] + "."
+        assert len(passage.split()) > 50
+        for text in (f"{prose(30)} <{passage}>", f"({passage}) {prose(90)}", f"{prose(50)} [{passage}] {prose(9)}"):
+            sizes[len(texts)] = size
+            texts[len(texts)] = text
+    within, copied, accents = prose(200)[:420], prose(90), prose(120, "aeéñßü")
+    texts |= {100: f"<{within}> {prose(5)} ({within})", 101: copied, 102: copied, 103: f"<{accents}> {prose(9)}", 104: f"{prose(9)} [{accents}]"}
+    rows = [(k, t, "en", "s", len(t or "")) for k, t in texts.items()]
+    spark.createDataFrame(rows, SCHEMAS["documents"]).write.parquet(f"{tmp_path}/documents.parquet")
+    want = plain_removal({k: t or "" for k, t in texts.items()}, 400)
+    rows = QUERIES["op8_substring_dedup"](spark, str(tmp_path)).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        removed, runs, rest = want[r.doc_id]
+        assert (r.n_removed, r.n_spans, r.kept_sha256) == (removed, runs, hashlib.sha256(rest).hexdigest())
+        assert r.n_bytes == len((texts[r.doc_id] or "").encode()) and r.repeats == (removed > 0)
+        if r.doc_id in sizes:
+            assert r.n_removed == (sizes[r.doc_id] if sizes[r.doc_id] >= 400 else 0)
+
+
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
 IP = r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"
 CARD = r"[0-9]([\x20-]?[0-9])+"
