@@ -7,6 +7,9 @@ what it takes from the slots before, a value or a few, goes on to the state of t
 slots in order. So answers do not depend on the order of arrival within the watermark's delay, and come
 when the slot has ended; a shorter ``slot`` tells earlier. ``slot`` divides a day.
 
+Where keys are many and each has few slots, a call of Python per key costs more than the rule. ``InBundles`` takes
+keys in bundles by their hash, and keeps what it knows of a bundle's keys together.
+
 Rows without key or time take no part. Times travel as microseconds (``us``); timers are in milliseconds,
 rounded up so that they fire no earlier than due.
 
@@ -15,13 +18,15 @@ rounded up so that they fire no earlier than due.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import json
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import StructType
 
 from tidegauge.functions.time import micros
 from tidegauge.operators import orders
@@ -31,6 +36,9 @@ from tidegauge.operators.timeline import DEFAULT_SLOT, on_timeline
 _DAY = 86_400_000_000
 # names with a leading underscore do not reach a stateful processor
 SLOT, AT, DAY = "slot_us", "slot_at", "click_day"
+BUNDLE, NAME = "bundle", "key_text"
+# times in JSON keep their microseconds
+EXACT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 NEVER = (1 << 63) - 1  # stands for a time that is not known
 SILENT = ""  # an outcome that is not reported
 
@@ -156,25 +164,80 @@ class InSlots(_Keyed):
         yield from self.batches(key, self.take(iter(()), self.passed(timerValues)))
 
 
+def bundled(keys: Sequence[str], bundles: int) -> list[Column]:
+    """The bundle of a row's keys, and the keys as text."""
+    return [F.pmod(F.xxhash64(*keys), F.lit(bundles)).cast("int").alias(BUNDLE), F.to_json(F.struct(*keys), EXACT).alias(NAME)]
+
+
+def unbundled(df: DataFrame, keys: Sequence[str], kinds: StructType) -> DataFrame:
+    """``df`` with the keys, of the types they have in ``kinds``, in place of their text."""
+    keys_of = F.from_json(NAME, StructType([kinds[k] for k in keys]), EXACT).alias("key")
+    rest = [c for c in df.columns if c != NAME]
+    return df.select(keys_of, *rest).select("key.*", *rest)
+
+
+class InBundles(StatefulProcessor):
+    """Base of the rules that take the closed slots of many keys, a bundle, at a time. What is known of the keys, by
+    their texts, is a log of JSON objects in state, of which the newest entry of a key counts (null: forgotten). So a
+    trigger writes what it changed, and reads a bundle at once; a log that is mostly out of date is written anew."""
+
+    def __init__(self, width: int):
+        self.width = width
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.log = handle.getListState("log", "entries string")
+
+    def read(self) -> dict:
+        known, self.logged = {}, 0
+        if self.log.exists():
+            for (text,) in self.log.get():
+                entries = json.loads(text)
+                known.update(entries)
+                self.logged += len(entries)
+        return {name: held for name, held in known.items() if held is not None}
+
+    def write(self, known: dict, changed: Iterable[str]) -> None:
+        entries = {name: known.get(name) for name in changed}
+        if not known:
+            if self.logged:
+                self.log.clear()
+        elif entries and self.logged + len(entries) > 2 * len(known):
+            self.log.put([(json.dumps(known),)])
+        elif entries:
+            self.log.appendValue((json.dumps(entries),))
+
+    def wake(self, us: int) -> None:
+        """Set a timer for when all slots up to the one of ``us`` have been handed over."""
+        self.handle.registerTimer(_ms(us - us % self.width + self.width))
+
+    def passed(self, timerValues) -> int:
+        us = timerValues.getCurrentWatermarkInMs() * 1000
+        return us - us % self.width
+
+    def close(self) -> None:
+        pass
+
+
 class _Carry(InSlots):
-    """Hands each slot what the key's slot before it held (``adds``: the sum of ``held`` over all before), along
-    with its own payload, which is not looked at."""
+    """Hands each slot what the key's slot before it held, along with its own payload, which is not looked at."""
+
+    fields = "held string, own string"
 
-    def __init__(self, keys, width, adds, keep):
+    def __init__(self, keys, width, keep):
         super().__init__(keys, [SLOT, "before", "own"], width)
-        self.adds, self.keep = adds, keep
-        self.fields = f"held {'long' if adds else 'string'}, own string"
+        self.keep = keep
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
-        self.state = handle.getValueState("carried", f"held {'long' if self.adds else 'string'}, until long")
+        self.state = handle.getValueState("carried", "held string, until long")
 
     def take(self, slots, passed):
-        before, until = tuple(self.state.get()) if self.state.exists() else (0 if self.adds else None, None)
+        before, until = tuple(self.state.get()) if self.state.exists() else (None, None)
         slot = None
         for slot, held, own in slots:
             yield slot, before, own
-            before = before + held if self.adds else held
+            before = held
         if slot is not None:
             until = slot + self.width + self.keep if self.keep is not None else NEVER
             self.state.update((before, until))
@@ -185,14 +248,11 @@ class _Carry(InSlots):
 
 
 def _carried(slots: DataFrame, keys: Sequence[str], width: str, held: Column, own: Column, keep: str | None = None) -> DataFrame:
-    """(keys, slot, before, own): ``held`` of the slot before, a struct as JSON or a long to be added up, and the
-    JSON ``own``. What a key holds is forgotten ``keep`` after its last slot."""
-    rows = slots.select(*keys, SLOT, AT, held.alias("held"), own.alias("own"))
-    adds = dict(rows.dtypes)["held"] == "bigint"
-    if not adds:
-        rows = rows.withColumn("held", F.to_json("held"))
-    carry = _Carry(keys, micros(width), adds, micros(keep) if keep else None)
-    kinds = f"{_kinds(slots, keys)}, {SLOT} long, before {'long' if adds else 'string'}, own string"
+    """(keys, slot, before, own): ``held`` of the slot before, a struct as JSON, and the JSON ``own``. What a key
+    holds is forgotten ``keep`` after its last slot."""
+    rows = slots.select(*keys, SLOT, AT, F.to_json(held).alias("held"), own.alias("own"))
+    carry = _Carry(keys, micros(width), micros(keep) if keep else None)
+    kinds = f"{_kinds(slots, keys)}, {SLOT} long, before string, own string"
     return rows.groupBy(*keys).transformWithStateInPandas(carry, kinds, "append", "EventTime")
 
 
@@ -270,25 +330,64 @@ def rising_alert(df: DataFrame, key: str, ts: str, value: str, seq: str, hold: s
     )
 
 
+class _Counts(InBundles):
+    """A day's counts of a bundle of keys. Hands each slot the sum of ``held`` over the key's slots before it in the
+    day, if that is at most ``most``. When the day has passed, nothing is kept of it."""
+
+    def __init__(self, most, width):
+        super().__init__(width)
+        self.most = most
+
+    def handleInputRows(self, key, rows, timerValues):
+        frames = list(rows)  # a day's slots of one bundle at most
+        frame = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+        known, end = self.read(), (key[1] + 1) * _DAY
+        codes, names = pd.factorize(frame[NAME].to_numpy())
+        order = np.lexsort((frame[SLOT].to_numpy(), codes))
+        codes, held = codes[order], frame["held"].to_numpy()[order]
+        total = np.cumsum(held)
+        first = np.searchsorted(codes, np.arange(len(names)))
+        last = np.append(first[1:], len(codes)) - 1
+        counted = np.array([known.get(name, 0) for name in names], np.int64)
+        base = counted - total[first] + held[first]
+        before = total - held + base[codes]
+        low = before <= self.most
+        yield pd.DataFrame({NAME: names[codes[low]], "before": before[low], "own": frame["own"].to_numpy()[order][low]})
+        if end <= self.passed(timerValues):
+            self.log.clear()
+        else:
+            known.update(zip(names.tolist(), (total[last] + base).tolist()))
+            self.write(known, names.tolist())
+            self.wake(end - 1)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.log.clear()
+        yield from ()
+
+
 def click_blacklist(
-    df: DataFrame, keys: Sequence[str], ts: str, seq: str, max_count: int = 100, slot: str = DEFAULT_SLOT
+    df: DataFrame, keys: Sequence[str], ts: str, seq: str, max_count: int = 100, slot: str = DEFAULT_SLOT, bundles: int = 128
 ) -> DataFrame:
     """(keys, ts, seq, route) of clicks let through and of the one that set off the warning. A slot sends at most
-    ``max_count`` + 1 clicks on; a day's count is forgotten a day later."""
-    day = F.floor(F.unix_micros(F.col(ts)) / _DAY).cast("long").alias(DAY)
-    slots = _slotted(df.withColumn(DAY, day), [*keys, DAY], ts, seq, slot)
-    own = _told(F.slice("rows", 1, max_count + 1))
-    found = _carried(slots, [*keys, DAY], slot, F.size("rows").cast("long"), own, keep="1 day")
-    clicks = found.where(F.col("before") <= max_count).select(
-        *keys, "before", F.posexplode(F.from_json("own", "array<struct<us: bigint, seq: bigint>>")).alias("at", "click")
+    ``max_count`` + 1 clicks on. Counts are kept in ``bundles`` a day, until the day has passed."""
+    slots = _slotted(df, keys, ts, seq, slot)
+    own = F.to_json(F.slice("rows", 1, max_count + 1))
+    day = F.floor(F.col(SLOT) / _DAY).cast("long").alias(DAY)
+    rows = slots.select(*bundled(keys, bundles), day, SLOT, F.size("rows").cast("long").alias("held"), own.alias("own"))
+    found = rows.groupBy(BUNDLE, DAY).transformWithStateInPandas(
+        _Counts(max_count, micros(slot)), f"{NAME} string, before long, own string", "append", "EventTime"
+    )
+    clicks = found.select(
+        NAME, "before", F.posexplode(F.from_json("own", "array<struct<us: bigint, seq: bigint>>")).alias("at", "click")
     )
     n = F.col("before") + F.col("at") + 1
-    return clicks.where(n <= max_count + 1).select(
-        *keys,
+    clicks = clicks.where(n <= max_count + 1).select(
+        NAME,
         F.timestamp_micros("click.us").alias(ts),
         F.col("click.seq").alias(seq),
         F.when(n <= max_count, "main").otherwise("warning").alias("route"),
     )
+    return unbundled(clicks, keys, df.schema)
 
 
 class _Burst(InSlots):
