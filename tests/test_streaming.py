@@ -464,6 +464,38 @@ def test_many_keys_share_a_blacklist_state(spark, tmp_path):
     assert state_rows(query) < 1500
 
 
+def test_many_orders_share_a_state(spark, tmp_path):
+    """A state and a timer for each of 4,000 orders took most of the time."""
+    rows = [(i, i * 1_000 + 1_000_000, i, "create", 0.0) for i in range(4000)]
+    rows += [(i, 5_000_000 + i * 1_500, 10_000 + i, "pay", 0.0) for i in range(0, 4000, 2)]
+    rows += [(i, 500_000 + i, 20_000 + i, "pay", 0.0) for i in range(0, 4000, 5)]
+    path = feed(spark, str(tmp_path / "in"), sorted(rows, key=lambda r: r[1]), pieces=1)
+    told = live.order_warning(stream(spark, path), ["k"], "ts", "id", kind("create"), kind("pay"), "6 seconds", "1000 days")
+    query = run.to_parquet(told, fresh("orders"), str(tmp_path / "out"), every=None)
+    query.awaitTermination(120)
+    batch = with_event_time(spark.createDataFrame(rows, SCHEMA), "us", "microseconds")
+    want = orders.order_warning(batch, ["k"], "ts", kind("create"), kind("pay"), "6 seconds").select("k", "msg")
+    same(spark.read.schema(told.schema).parquet(str(tmp_path / "out")), want)
+    assert want.select("msg").distinct().count() == 2
+    assert state_rows(query) < 2500
+
+
+def test_orders_of_one_bundle_are_told_and_forgotten_each_in_its_time(spark, tmp_path):
+    """Orders paid without create, which are never told, stand among the others."""
+    rows = [(k, (10 * k + 1) * 1_000_000, 10 * k, "pay" if k % 4 == 0 else "create", 0.0) for k in range(40)]
+    rows += [(k, (10 * k + 4) * 1_000_000, 10 * k + 1, "pay", 0.0) for k in range(0, 40, 3)]
+    again = [(k, (10 * k + 900) * 1_000_000, 10 * k + 2, "create", 0.0) for k in range(1, 40, 2)]
+    path = feed(spark, str(tmp_path / "in"), sorted(rows + again, key=lambda r: r[1]), pieces=8)
+    args = [["k"], "ts", "id", kind("create"), kind("pay"), "5 seconds"]
+    told = live.order_warning(stream(spark, path), *args, remember="60 seconds", slot="10 seconds", bundles=1)
+    query = run.to_parquet(told, fresh("bundle"), str(tmp_path / "out"), every=None)
+    query.awaitTermination(120)
+    got = spark.read.schema(told.schema).parquet(str(tmp_path / "out")).where("k <> -1")
+    want = [(k, orders.WARN_PAID if k % 3 == 0 else orders.WARN_UNPAID) for k in range(40) if k % 4]
+    want += [(k, orders.WARN_UNPAID) for k in range(1, 40, 2)]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
 def test_the_closing_row_ends_a_bounded_stream(spark, tmp_path):
     path = feed(spark, str(tmp_path / "in"), ROWS, sentinel=False)
     raw = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(path)

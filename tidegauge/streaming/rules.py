@@ -496,19 +496,13 @@ def fail_pair(
     )
 
 
-class _Orders(InSlots):
-    """One order: first create, first pay, and what was said of it last."""
+class _Orders(InBundles):
+    """Orders, each as (first create, first pay, what was said of it last)."""
 
-    fields = "create_us long, pay_us long"
-
-    def __init__(self, keys, threshold, disorder, remember, width):
-        super().__init__(keys, ["msg"], width)
+    def __init__(self, threshold, disorder, remember, width):
+        super().__init__(width)
         self.threshold, self.disorder, self.remember = threshold, disorder, remember
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.state = handle.getValueState("order", "create_us long, pay_us long, msg string")
-
     def told(self, create, pay, msg, due, passed):
         if create != NEVER and pay != NEVER and msg in (None, orders.UNPAID):
             if create - pay > self.disorder:
@@ -524,32 +518,53 @@ class _Orders(InSlots):
     def due(self, create, pay):
         return create + self.threshold if create != NEVER else pay + self.disorder
 
-    def take(self, slots, passed):
-        held = tuple(self.state.get()) if self.state.exists() else (NEVER, NEVER, None)
-        create, pay, msg = held
-        for _, slot_create, slot_pay in slots:
-            create, pay = min(create, slot_create), min(pay, slot_pay)
-        if create == pay == NEVER:
-            return
-        due = self.due(create, pay)
-        said = self.told(create, pay, msg, due, passed)
-        if said:
-            msg = said
-            if said != SILENT:
-                yield (said,)
-        if msg is not None and due + self.remember < passed:
-            self.state.clear()
-        else:
-            self.wake(due if msg is None else due + self.remember)
-            if (create, pay, msg) != held:
-                self.state.update((create, pay, msg))
+    def take(self, rows, passed):
+        known, changed, told, soonest = self.read(), set(), [], NEVER
+        for frame in rows:
+            for name, create, pay in zip(*(frame[n].tolist() for n in (NAME, "create_us", "pay_us"))):
+                held = known.get(name, (NEVER, NEVER, None))
+                if create < held[0] or pay < held[1]:
+                    known[name] = min(create, held[0]), min(pay, held[1]), held[2]
+                    changed.add(name)
+        for name, (create, pay, msg) in list(known.items()):
+            due = self.due(create, pay)
+            said = self.told(create, pay, msg, due, passed)
+            if said == SILENT:
+                continue  # waits for nothing
+            if said:
+                told.append((name, said))
+                msg = said
+                known[name] = create, pay, msg
+                changed.add(name)
+            until = due if msg is None else due + self.remember
+            if msg is not None and until < passed:
+                del known[name]
+                changed.add(name)
+            else:
+                soonest = min(soonest, until)
+        self.write(known, changed)
+        if soonest != NEVER:
+            self.wake(soonest)
+        if told:
+            yield pd.DataFrame(told, columns=[NAME, "msg"])
 
+    def handleInputRows(self, key, rows, timerValues):
+        yield from self.take(rows, self.passed(timerValues))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        yield from self.take((), self.passed(timerValues))
 
-def _order_slots(df: DataFrame, keys: Sequence[str], ts: str, slot: str, is_create: Column, is_pay: Column) -> DataFrame:
+
+def _orders(
+    df: DataFrame, keys: Sequence[str], ts: str, slot: str, is_create: Column, is_pay: Column, rule: _Orders, bundles: int
+) -> DataFrame:
+    """(keys, msg): what ``rule`` tells of orders."""
     rows = on_timeline(df.where(is_create | is_pay), keys, ts)
     first = {n: F.coalesce(F.min(F.when(c, F.unix_micros(F.col(ts)))), F.lit(NEVER))
              for n, c in (("create_us", is_create), ("pay_us", is_pay))}
-    return by_slot(rows, keys, ts, slot, **first)
+    slots = by_slot(rows, keys, ts, slot, **first).select(*bundled(keys, bundles), *first)
+    told = slots.groupBy(BUNDLE).transformWithStateInPandas(rule, f"{NAME} string, msg string", "append", "EventTime")
+    return unbundled(told, keys, df.schema)
 
 
 def order_match(
@@ -563,6 +578,7 @@ def order_match(
     disorder: str = "0 seconds",
     remember: str = "30 days",
     slot: str = DEFAULT_SLOT,
+    bundles: int = 1024,
 ) -> DataFrame:
     """Outcome per order as in ``operators.orders.order_match``, told once the watermark has passed the slot of
     what decides it. A slot sends its first create and first pay.
@@ -572,12 +588,8 @@ def order_match(
     its outcome is told and the watermark is ``remember`` past its deadline; rows that come after that
     begin a new one.
     """
-    told = _order_slots(df, keys, ts, slot, is_create, is_pay).groupBy(*keys).transformWithStateInPandas(
-        _Orders(keys, micros(threshold), micros(disorder), micros(remember), micros(slot)),
-        f"{_kinds(df, keys)}, msg string",
-        "append",
-        "EventTime",
-    )
+    rule = _Orders(micros(threshold), micros(disorder), micros(remember), micros(slot))
+    told = _orders(df, keys, ts, slot, is_create, is_pay, rule, bundles)
     return told.withColumn("route", F.when(F.col("msg") == orders.PAID, "main").otherwise("side"))
 
 
@@ -603,9 +615,9 @@ def order_warning(
     threshold: str = "120 seconds",
     remember: str = "30 days",
     slot: str = DEFAULT_SLOT,
+    bundles: int = 1024,
 ) -> DataFrame:
     """Warning per created order as in ``operators.orders.order_warning``, told when the watermark passes
     the slot of the deadline. An order is forgotten ``remember`` later."""
-    return _order_slots(df, keys, ts, slot, is_create, is_pay).groupBy(*keys).transformWithStateInPandas(
-        _Warnings(keys, micros(threshold), 0, micros(remember), micros(slot)), f"{_kinds(df, keys)}, msg string", "append", "EventTime"
-    )
+    rule = _Warnings(micros(threshold), 0, micros(remember), micros(slot))
+    return _orders(df, keys, ts, slot, is_create, is_pay, rule, bundles)
