@@ -496,6 +496,36 @@ def test_orders_of_one_bundle_are_told_and_forgotten_each_in_its_time(spark, tmp
     assert sorted(map(tuple, got.collect())) == sorted(want)
 
 
+@pytest.mark.parametrize("whole", [True, False])
+def test_many_keys_share_an_outer_join(spark, tmp_path, request, whole):
+    """A state and a timer for each of 600 keys and the slots beside theirs took most of the time."""
+    if not whole:
+        request.getfixturevalue("pieces")
+    rnd = random.Random(3)
+    rows = [(i if i % 50 else None, rnd.randrange(1, 3_600_000_000), 10 * i + j, "pay" if j else "create", 0.0)
+            for i in range(600) for j in range(1 + i % 3)]
+    rows += [(k, us + step, 10_000 + 10 * i + step % 7, "pay", v) for k, us, i, _, v in rows[:20] for step in (-900, 0, 900)]
+    rows += [(601, 5_400_000_000, 90_000, "create", 0.0), (601, 5_400_000_001, 90_001, "pay", 0.0)]
+    path = feed(spark, str(tmp_path / "in"), rows, pieces=1)
+    batch = with_event_time(spark.createDataFrame(rows, SCHEMA), "us", "microseconds")
+
+    def joined(df, far, join, *more):
+        sides = [df.where(kind(k) | (F.lit(far) & (F.col("k") == SENTINEL))) for k in ("pay", "create")]
+        return join(*sides, ["k"], "ts", "ts", "-30 minutes", "20 minutes", "full_outer", *more)
+
+    got = joined(stream(spark, path), True, live_windows.interval_join, "1 hour")
+    query = run.to_parquet(got, fresh("outer"), str(tmp_path / "out"), every=None)
+    query.awaitTermination(120)
+
+    def told(df):
+        return sorted(map(tuple, df.where("k is null or k <> -1").select("k", "left.id", "left.ts", "right.id").collect()), key=repr)
+
+    want = told(joined(batch, False, joins.interval_join))
+    assert told(spark.read.schema(got.schema).parquet(str(tmp_path / "out"))) == want
+    assert {(r[1] is None, r[3] is None) for r in want} == {(True, False), (False, True), (False, False)}
+    assert state_rows(query) < 500 or not whole
+
+
 def test_the_closing_row_ends_a_bounded_stream(spark, tmp_path):
     path = feed(spark, str(tmp_path / "in"), ROWS, sentinel=False)
     raw = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(path)

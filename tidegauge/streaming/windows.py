@@ -6,22 +6,23 @@ functions of ``routing`` and ``parse`` take a stream as it is.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from datetime import timedelta
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
 from tidegauge.functions.hashing import masked_hash
 from tidegauge.functions.time import floor_micros, micros
 from tidegauge.operators.timeline import DEFAULT_SLOT
 from tidegauge.operators.windows import event_window
-from tidegauge.streaming.rules import AT, SLOT, _Keyed, _kinds, _ms, by_slot
+from tidegauge.streaming.rules import BUNDLE, EXACT, NAME, SLOT, _ms, bundled, by_slot, unbundled
 
 BUCKET, CENTRE = "__bucket", "centre_us"
-# times in JSON keep their microseconds
-EXACT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
 def unique_count(df: DataFrame, ts: str, size: str, user: str) -> DataFrame:
@@ -67,6 +68,7 @@ def interval_join(
     upper: str = "5 seconds",
     how: str = "inner",
     slot: str = DEFAULT_SLOT,
+    bundles: int = 128,
 ) -> DataFrame:
     """Stream-stream form of ``joins.interval_join``; both sides must carry a watermark, and the slower one decides.
 
@@ -76,13 +78,13 @@ def interval_join(
 
     ``full_outer`` also tells rows without partner, once all they could meet has passed. Copies in buckets would each
     count as unmatched there, so rows are grouped by (keys, ``slot``) and a slot lends its neighbours the rows they
-    can reach; each row is told by its own slot. Rows without time take no part.
+    can reach; each row is told by its own slot. A slot's keys meet in ``bundles``. Rows without time take no part.
     """
     if how not in ("inner", "full_outer"):
         raise ValueError(f"unknown how {how!r}")
     low, high = micros(lower), micros(upper)
     if how == "full_outer":
-        return _outer(left, right, keys, lts, rts, low, high, slot)
+        return _outer(left, right, keys, lts, rts, low, high, slot, bundles)
     width, at = max(high - low, 1), F.unix_micros(rts)
     ends = floor_micros(at - high, width), floor_micros(at - low, width)
     l = left.withColumn(BUCKET, floor_micros(F.unix_micros(lts), width)).alias("l")
@@ -97,68 +99,89 @@ def interval_join(
     return l.join(r, same, "inner").select(*[F.col(f"l.{k}").alias(k) for k in keys], *sides)
 
 
-class _Meeting(_Keyed):
-    """Rows of one (key, slot) and those lent to it by the slots beside it. Told when all slots that lend are in."""
+PAIRS = 50_000  # in one frame
 
-    names = ("home", "left_us", "left_row", "right_us", "right_row")
 
-    def __init__(self, keys, low, high, width):
-        super().__init__([*keys, CENTRE], ["left", "right"])
+class _Meeting(StatefulProcessor):
+    """Rows of one slot and a bundle of keys, and those lent to it by the slots beside it. Told when all slots that lend
+    are in; until then, what a trigger brings is an entry of a list in state."""
+
+    names = (NAME, "keyed", "home", "side", "us", "row")
+
+    def __init__(self, low, high, width):
         self.low, self.high, self.width = low, high, width
 
     def init(self, handle):
         self.handle = handle
-        kinds = "home boolean, left_us array<long>, left_row array<string>, right_us array<long>, right_row array<string>"
-        self.parts = handle.getListState("parts", kinds)
-
-    def told(self, key, parts):
-        if not any(p[0] for p in parts):
-            return
-        sides = []
-        for at in (1, 3):
-            rows = sorted((us, row, p[0]) for p in parts for us, row in zip(p[at], p[at + 1]))
-            sides.append((np.array([r[0] for r in rows], np.int64), rows))
-        (l_us, left), (r_us, right) = sides
-        if any(k is None for k in key[:-1]):
-            l_us, r_us = l_us[:0], r_us[:0]  # null keys equal nothing
-        out = []
-        first, last = np.searchsorted(r_us, l_us + self.low, "left"), np.searchsorted(r_us, l_us + self.high, "right")
-        for i, (_, row, home) in enumerate(left):
-            if home:
-                met = range(first[i], last[i]) if i < len(l_us) else ()
-                out += [(row, right[j][1]) for j in met] or [(row, None)]
-        first, last = np.searchsorted(l_us, r_us - self.high, "left"), np.searchsorted(l_us, r_us - self.low, "right")
-        out += [(None, row) for j, (_, row, home) in enumerate(right) if home and (j >= len(r_us) or first[j] == last[j])]
-        yield from self.out(key, out)
-
-    def passed(self, timerValues):
+        self.parts = handle.getListState("parts", "columns string")
+
+    def close(self) -> None:
+        pass
+
+    def told(self, frame: pd.DataFrame):
+        key, us, row, home = pd.factorize(frame[NAME].to_numpy())[0], *[frame[n].to_numpy() for n in ("us", "row", "home")]
+        # times by rank, so that (key, time) is one number
+        times = np.unique(us)
+        sides = [np.flatnonzero(frame["side"].to_numpy() == side) for side in (0, 1)]
+        left, right = [at[np.lexsort((us[at], key[at]))] for at in sides]
+
+        def met(own, others, low, high):
+            """Of each row of ``own``, the first of ``others`` it meets, and how many."""
+            place = key[others] * (len(times) + 1) + np.searchsorted(times, us[others])
+            first, last = [
+                np.searchsorted(place, key[own] * (len(times) + 1) + np.searchsorted(times, us[own] + by, at))
+                for by, at in ((low, "left"), (high, "right"))
+            ]
+            # null keys equal nothing
+            return first, np.where(frame["keyed"].to_numpy()[own], last - first, 0)
+
+        own = left[home[left]]
+        first, n = met(own, right, self.low, self.high)
+        total, begin = np.cumsum(n), 0
+        while begin < len(own):
+            end = max(np.searchsorted(total, total[begin] - n[begin] + PAIRS, "right"), begin + 1)
+            count = n[begin:end]
+            l = np.repeat(own[begin:end], count)
+            r = right[np.arange(len(l)) - np.repeat(np.cumsum(count) - count - first[begin:end], count)]
+            yield self.out(frame, l, row[l], row[r])
+            begin = end
+        alone = own[n == 0]
+        yield self.out(frame, alone, row[alone], None)
+        own = right[home[right]]
+        alone = own[met(own, left, -self.high, -self.low)[1] == 0]
+        yield self.out(frame, alone, None, row[alone])
+
+    @staticmethod
+    def out(frame, at, left, right) -> pd.DataFrame:
+        return pd.DataFrame({NAME: frame[NAME].to_numpy()[at], "left": left, "right": right}, dtype=object)
+
+    def held(self) -> list[pd.DataFrame]:
+        frames = [pd.DataFrame(json.loads(text)) for (text,) in self.parts.get()] if self.parts.exists() else []
+        self.parts.clear()
+        return frames
+
+    def passed(self, timerValues) -> int:
         us = timerValues.getCurrentWatermarkInMs() * 1000
         return us - us % self.width
 
     def handleInputRows(self, key, rows, timerValues):
-        new = [
-            tuple(x.tolist() if isinstance(x, np.ndarray) else x for x in row)
-            for frame in rows
-            for row in zip(*(frame[n].tolist() for n in self.names))
-        ]
-        due = key[-1] + 2 * self.width
+        due = key[1] + 2 * self.width
         if due <= self.passed(timerValues):
-            held = [tuple(p) for p in self.parts.get()] if self.parts.exists() else []
-            self.parts.clear()
-            yield from self.told(key, held + new)
+            yield from self.told(pd.concat([*self.held(), *[frame[list(self.names)] for frame in rows]], ignore_index=True))
         else:
             if not self.parts.exists():
                 self.handle.registerTimer(_ms(due))
-            self.parts.appendList(new)
+            for frame in rows:
+                self.parts.appendValue((json.dumps({n: frame[n].tolist() for n in self.names}),))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        if self.parts.exists():
-            held = [tuple(p) for p in self.parts.get()]
-            self.parts.clear()
-            yield from self.told(key, held)
+        if frames := self.held():
+            yield from self.told(pd.concat(frames, ignore_index=True))
 
 
-def _outer(left: DataFrame, right: DataFrame, keys: Sequence[str], lts: str, rts: str, low: int, high: int, slot: str):
+def _outer(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], lts: str, rts: str, low: int, high: int, slot: str, bundles: int
+) -> DataFrame:
     width, reach = micros(slot), max(abs(low), abs(high))
     if reach > width:
         raise ValueError("slot must be as wide as the interval reaches")
@@ -168,24 +191,26 @@ def _outer(left: DataFrame, right: DataFrame, keys: Sequence[str], lts: str, rts
         return df.select(*keys, F.col(ts).alias("time"), F.lit(side).alias("side"), row.alias("row"))
 
     both = tagged(left, lts, 0).unionByName(tagged(right, rts, 1))
-    lists = {n: F.array_sort(F.collect_list(F.when(F.col("side") == i, F.col("row")))) for i, n in enumerate(("l", "r"))}
-    slots = by_slot(both, keys, "time", slot, **lists)
+    rows = F.collect_list(F.struct("side", F.col("row.us").alias("us"), F.col("row.row").alias("row")))
+    slots = by_slot(both, keys, "time", slot, rows=rows)
     start = F.col(SLOT)
 
     def lent(to: int, near: str) -> Column:
-        l, r = [F.expr(f"filter({n}, x -> {near})") for n in ("l", "r")]
-        return F.struct((start + to).alias(CENTRE), F.lit(False).alias("home"), l.alias("l"), r.alias("r"))
+        return F.struct((start + to).alias(CENTRE), F.lit(False).alias("home"), F.expr(f"filter(rows, x -> {near})").alias("rows"))
 
-    own = F.struct(start.alias(CENTRE), F.lit(True).alias("home"), F.col("l"), F.col("r"))
+    own = F.struct(start.alias(CENTRE), F.lit(True).alias("home"), F.col("rows"))
     before = lent(-width, f"x.us < {SLOT} + {reach + 1}")
     after = lent(width, f"x.us >= {SLOT} + {width - reach}")
-    parts = slots.select(*keys, AT, F.explode(F.array(own, before, after)).alias("p")).where("size(p.l) + size(p.r) > 0")
+    keyed = F.lit(True)
+    for k in keys:
+        keyed = keyed & F.col(k).isNotNull()
+    parts = slots.select(*bundled(keys, bundles), keyed.alias("keyed"), F.explode(F.array(own, before, after)).alias("p"))
     parts = parts.select(
-        *keys, F.col(f"p.{CENTRE}").alias(CENTRE), AT, F.col("p.home").alias("home"),
-        *[F.col(f"p.{s}.{c}").alias(f"{n}_{c}") for s, n in (("l", "left"), ("r", "right")) for c in ("us", "row")],
-    )
-    found = parts.groupBy(*keys, CENTRE).transformWithStateInPandas(
-        _Meeting(keys, low, high, width), f"{_kinds(left, keys)}, {CENTRE} long, left string, right string", "append", "EventTime"
+        BUNDLE, F.col(f"p.{CENTRE}").alias(CENTRE), NAME, "keyed", F.col("p.home").alias("home"), F.explode("p.rows").alias("r")
+    ).select(BUNDLE, CENTRE, NAME, "keyed", "home", "r.*")
+    found = parts.groupBy(BUNDLE, CENTRE).transformWithStateInPandas(
+        _Meeting(low, high, width), f"{NAME} string, left string, right string", "append", "EventTime"
     )
+    found = unbundled(found, keys, left.schema)
     sides = [F.from_json(n, df.schema, EXACT).alias(n) for n, df in (("left", left), ("right", right))]
     return found.select(*keys, *sides)
