@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.operators import aggregates, distinct, joins, orders, patterns, ranking, rules, running, windows
 from tidegauge.operators.windows import with_event_time
+from tidegauge.plans import streams
 from tidegauge.sinks.tables import read_table
 from tidegauge.streaming import patterns as live_patterns
 from tidegauge.streaming import rules as live
@@ -464,6 +465,25 @@ def test_many_keys_share_a_blacklist_state(spark, tmp_path):
     assert state_rows(query) < 1500
 
 
+def test_many_users_are_counted_after_the_blacklist(spark, tmp_path, monkeypatch):
+    """Both streams of ``stream_ad_by_geo`` over a table of 1,800 users with three clicks each."""
+    rnd = random.Random(9)
+    rows = [(u, rnd.randrange(1, 600_000_000), 3 * u + i, ["x", "y"][u % 2], 0.0) for u in range(1800) for i in range(3)]
+    table = spark.createDataFrame(rows, SCHEMA).select(
+        F.col("id").alias("event_id"), F.timestamp_micros("us").cast("timestamp_ntz").alias("ts"), F.col("k").alias("user_id"),
+        F.col("kind").alias("event_type"), F.col("v").alias("value"), F.lit("{}").alias("props"),
+    )
+    table.write.parquet(str(tmp_path / "events.parquet"))
+    started, start = [], run.to_parquet
+    monkeypatch.setattr(run, "to_parquet", lambda *a, **b: started.append(start(*a, **b)) or started[-1])
+    got = streams.stream_ad_by_geo(spark, str(tmp_path))
+    batch = with_event_time(spark.createDataFrame(rows, SCHEMA), "us", "microseconds")
+    clicks = rules.click_blacklist(batch, ["k", "kind"], "ts", "id", 2).where("route = 'main'")
+    want = windows.sliding_count(clicks, "ts", "1 hour", "5 seconds", ["kind"])
+    same(got, want.select(F.date_format("window_end", "yyyy-MM-dd HH:mm:ss.S").alias("window_end"), F.col("kind").alias("province"), "count"), None)
+    assert max(map(state_rows, started)) < 500
+
+
 def test_many_orders_share_a_state(spark, tmp_path):
     """A state and a timer for each of 4,000 orders took most of the time."""
     rows = [(i, i * 1_000 + 1_000_000, i, "create", 0.0) for i in range(4000)]
